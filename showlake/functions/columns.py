@@ -79,3 +79,14 @@ def between(column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetim
 def on_level(season: str = "season_id", episode: str = "episode_id", part: str = "part_id") -> Column:
     """Ratings given to the title as a whole."""
     return F.col(season).isNull() & F.col(episode).isNull() & F.col(part).isNull()
+
+
+def micros(column: str | Column) -> Column:
+    """Microseconds since 1970 of a timestamp without time zone.
+
+    Built from its calendar parts, so the session's time zone plays no role.
+    """
+    moment = F.col(column) if isinstance(column, str) else column
+    days = F.date_diff(moment.cast("date"), F.lit(dt.date(1970, 1, 1))).cast("bigint")
+    minutes = (days * 24 + F.hour(moment)) * 60 + F.minute(moment)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("bigint")
