@@ -219,7 +219,7 @@ ROW_RULES = {
     "content": {"series_without_duration": "content_type = 'Movie' or duration_minutes is null"},
     "content_availability": {"window_order": "available_to > available_from"},
     "subscriptions": {
-        "billing_date_while_running": "status in ('active', 'paused') = (next_billing_date is not null)",
+        "billing_date_while_running": "(status in ('active', 'paused')) = (next_billing_date is not null)",
         "end_after_start": "end_date > start_date",
     },
     "payments": {
