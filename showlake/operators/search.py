@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at, between, count_if, micros, pct, ratio
@@ -87,96 +87,89 @@ def search_conversion(
     span = minutes * 60_000_000
     searches = T["search_history"].filter(between("searched_at", start, end))
     sessions = T["watch_history"].filter(between("watched_at", start, _minutes_after(end, minutes)))
+    group = ["search_query", "profile_id", "slot"]
 
-    totals = searches.groupBy("search_query").agg(F.count("search_id").alias("total_searches"))
-
-    moments = searches.select("search_query", "profile_id", micros("searched_at").alias("t"))
-    slot = F.floor(F.col("t") / F.lit(span)).cast("bigint")
-    ends = moments.groupBy("search_query", "profile_id", slot.alias("slot")).agg(
-        F.min("t").alias("first"), F.max("t").alias("last")
-    )
-    here = F.struct("slot", F.col("first").alias("from"), F.lit(None).cast("bigint").alias("upto"))
+    t = F.col("t")
+    here = F.struct(_floor(t, span).alias("slot"), t.alias("from"), F.lit(None).cast("bigint").alias("upto"))
     following = F.struct(
-        (F.col("slot") + 1).alias("slot"),
+        (_floor(t, span) + span).alias("slot"),
         F.lit(None).cast("bigint").alias("from"),
-        (F.col("last") + span).alias("upto"),
+        (t + span).alias("upto"),
     )
     bounds = (
-        ends.select("search_query", "profile_id", F.explode(F.array(here, following)).alias("b"))
-        .groupBy("search_query", "profile_id", F.col("b.slot").alias("slot"))
-        .agg(F.max("b.from").alias("from"), F.max("b.upto").alias("upto"))
+        searches.select("search_query", "profile_id", micros("searched_at").alias("t"))
+        .select("search_query", "profile_id", F.inline(F.array(here, following)))
+        .groupBy(*group)
+        .agg(F.min("from").alias("from"), F.max("upto").alias("upto"), F.count("from").alias("searches"))
     )
-
-    kinds = F.array(
-        F.struct(F.lit("from").alias("kind"), F.col("from").alias("t")),
-        F.struct(F.lit("upto").alias("kind"), F.col("upto").alias("t")),
+    ends = F.array(
+        F.struct(F.lit("from").alias("kind"), F.col("from").alias("t"), "searches"),
+        F.struct(F.lit("upto").alias("kind"), F.col("upto").alias("t"), F.lit(0).cast("bigint").alias("searches")),
     )
-    group = ["search_query", "profile_id", "slot"]
-    marks = bounds.select(*group, F.inline(kinds)).filter("t is not null")
-    counts = _running_counts(sessions, marks, span)
+    marks = bounds.select(*group, F.inline(ends)).filter("t is not null")
+
+    moments = sessions.select("profile_id", micros("watched_at").alias("t")).groupBy("profile_id", "t")
+    counted = moments.agg(F.count("*").alias("n")).withColumn("slot", _floor(t, span))
+
     is_from = F.col("kind") == "from"
-    read = (
-        marks.join(counts, ["profile_id", "t"])
+    per_slot = (
+        _running_counts(marks.unionByName(counted, allowMissingColumns=True))
         .groupBy(*group)
         .agg(
-            F.max(F.when(is_from, F.col("before"))).alias("n_before"),
+            F.sum("searches").alias("searches"),
+            F.max(F.when(is_from, F.col("before"))).alias("before"),
             F.max(F.when(is_from, F.col("in_slot"))).alias("in_slot"),
-            F.max(F.when(~is_from, F.col("through"))).alias("n_upto"),
+            F.max(F.when(~is_from, F.col("through"))).alias("through"),
         )
     )
-    # ``least`` passes over a NULL, so sessions counted on both sides count once.
-    early = F.when(F.col("n_upto").isNotNull(), F.least("n_upto", "n_before")).otherwise(0)
-    late = F.coalesce(F.col("in_slot") - F.col("n_before"), F.lit(0))
-    watched = read.groupBy("search_query").agg(F.sum(early + late).alias("n"))
+    # ``least`` passes over a NULL; sessions that both bounds cover count once.
+    early = F.when(F.col("through").isNotNull(), F.least("through", "before")).otherwise(0)
+    late = F.coalesce(F.col("in_slot") - F.col("before"), F.lit(0))
     rows = (
-        totals.join(watched, "search_query", "left")
-        .select("search_query", "total_searches", F.coalesce("n", F.lit(0)).alias("resulting_watches"))
+        per_slot.groupBy("search_query")
+        .agg(F.sum("searches").alias("total_searches"), F.sum(early + late).alias("resulting_watches"))
         .withColumn("conversion_rate_pct", pct(F.col("resulting_watches"), F.col("total_searches")))
         .orderBy(F.desc("total_searches"), F.asc("search_query"))
     )
     return rows if k is None else rows.limit(k)
 
 
-def _running_counts(sessions: DataFrame, marks: DataFrame, span: int) -> DataFrame:
-    """Sessions of a profile's slot before, and up to and including, every mark.
+def _floor(t: Column, unit: int) -> Column:
+    """Start of the unit that a moment lies in."""
+    return t - F.pmod(t, F.lit(unit))
 
-    Sessions are first counted per moment.  The running count is taken in two
-    steps, over the seconds of a slot and within each second, so that a busy
-    profile is spread over many tasks.
+
+def _running_counts(rows: DataFrame) -> DataFrame:
+    """For every mark the sessions of its slot ``before`` it, ``through`` it and ``in_slot``.
+
+    ``rows`` are marks (with a ``kind``) and sessions counted per moment (with
+    ``n``).  Counts run within each second first; then each second's total,
+    carried by one row, runs over the seconds of the slot.  A busy profile is
+    so spread over its seconds, and no join is needed to read the counts.
     """
-    second = F.floor(F.col("t") / F.lit(1_000_000)).cast("bigint")
-    slot = F.floor(F.col("t") / F.lit(span)).cast("bigint")
-    per_moment = (
-        sessions.select("profile_id", micros("watched_at").alias("t"), F.lit(1).cast("bigint").alias("n"))
-        .unionByName(marks.select("profile_id", "t", F.lit(0).cast("bigint").alias("n")))
-        .groupBy("profile_id", "t")
-        .agg(F.sum("n").alias("n"))
-        .select("profile_id", "t", "n", slot.alias("slot"), second.alias("second"))
-    )
-    in_slot = Window.partitionBy("profile_id", "slot")
-    earlier = in_slot.orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
-    per_second = (
-        per_moment.groupBy("profile_id", "slot", "second")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            "profile_id",
-            "second",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("carry"),
-            F.sum("n").over(in_slot).alias("in_slot"),
-        )
-    )
-    within = (
-        Window.partitionBy("profile_id", "second").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    second = Window.partitionBy("profile_id", "second")
+    in_order = second.orderBy("t")
+    slot = Window.partitionBy("profile_id", "slot")
+    first = F.row_number().over(in_order) == 1
+    inside = rows.withColumn("second", _floor(F.col("t"), 1_000_000)).select(
+        *rows.columns,
+        "second",
+        F.sum("n").over(in_order.rangeBetween(Window.unboundedPreceding, -1)).alias("before"),
+        F.sum("n").over(in_order.rangeBetween(Window.unboundedPreceding, 0)).alias("through"),
+        F.when(first, F.sum("n").over(second)).alias("total"),
+        first.alias("first"),
     )
+    earlier = slot.orderBy("second").rangeBetween(Window.unboundedPreceding, -1)
+    carry = F.coalesce(F.sum("total").over(earlier), F.lit(0))
     return (
-        per_moment.withColumn("run", F.sum("n").over(within))
-        .join(per_second, ["profile_id", "second"])
-        .select(
-            "profile_id",
-            "t",
-            (F.col("carry") + F.col("run")).alias("through"),
-            (F.col("carry") + F.col("run") - F.col("n")).alias("before"),
-            "in_slot",
+        inside.filter(F.col("kind").isNotNull() | F.col("first"))
+        .withColumns({"carry": carry, "in_slot": F.coalesce(F.sum("total").over(slot), F.lit(0))})
+        .filter("kind is not null")
+        .withColumns(
+            {
+                "before": F.col("carry") + F.coalesce("before", F.lit(0)),
+                "through": F.col("carry") + F.coalesce("through", F.lit(0)),
+            }
         )
     )
 
