@@ -28,10 +28,10 @@ def active_titles(T: Tables) -> DataFrame:
     return T["content"].filter("status = 'Active'")
 
 
-def average_ratings(T: Tables, titles: DataFrame | None = None, digits: int = 1) -> DataFrame:
+def average_ratings(T: Tables, digits: int = 1) -> DataFrame:
     """``content_id, avg_rating, rating_count``; one row per rated title."""
     return (
-        only_keys(T["ratings"], titles)
+        T["ratings"]
         .groupBy("content_id")
         .agg(F.sum("rating_value").alias("_sum"), F.count("rating_value").alias("_n"), F.count("rating_id").alias("n"))
         .select(
@@ -93,8 +93,7 @@ def titles_by_genre(
         )
     )
     cut = top_per_key(tagged, ["genre_id"], [newest_release(), F.asc("content_id")], limit, offset)
-    averages = average_ratings(T, cut.select("content_id") if limit is not None else None)
-    return cut.join(averages.drop("rating_count"), "content_id", "left").select(
+    return cut.join(average_ratings(T).drop("rating_count"), "content_id", "left").select(
         "genre_id", "genre_name", "content_id", "title", "content_type", "poster_url", "release_date", "avg_rating"
     )
 

@@ -85,11 +85,11 @@ def launch_windows(T: Tables) -> DataFrame:
 
 
 def replace_genres(T: Tables) -> DataFrame:
-    """Kids profiles get the genres of their watched titles; an unknown one is left out."""
+    """Kids profiles get the genres of their watched titles; unknown ones are left out."""
     kids = T["profiles"].filter("is_kids").select("profile_id")
     watched = T["watch_history"].select(*PAIR).distinct().join(T["content_genres"], "content_id")
     new = watched.select("profile_id", "genre_id").unionByName(
-        kids.withColumn("genre_id", F.lit(99).cast("bigint"))
+        kids.withColumn("genre_id", F.col("profile_id") % 11 + 90)
     )
     return changes.replace_children(
         T["profile_preferred_genres"], kids, new, T["genres"], "genre_id"

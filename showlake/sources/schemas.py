@@ -6,7 +6,8 @@ differs.  Types are Spark DDL, so ``schema()`` is a plain ``StructType``.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
 
 _AUDIT = "created_at timestamp_ntz not null, updated_at timestamp_ntz not null"
 
@@ -290,13 +291,36 @@ def tables(gen: int = 2) -> list[str]:
     return ["content_rating_levels"] + [t for t in GEN2 if t not in GEN1_ABSENT]
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "smallint": T.ShortType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(5,2)": T.DecimalType(5, 2),
+    "decimal(8,2)": T.DecimalType(8, 2),
+    "decimal(10,2)": T.DecimalType(10, 2),
+}
+
+
+def _fields(ddl: str) -> list[StructField]:
+    """Fields of a column list; needs no session, unlike ``StructType.fromDDL``."""
+    out = []
+    for column in ddl.split(", "):
+        name, kind, *rest = column.split(" ")
+        out.append(StructField(name, _TYPES[kind], nullable=not rest))
+    return out
+
+
 def schema(table: str, gen: int = 2) -> StructType:
     """``StructType`` of a table; ``not null`` columns are non-nullable."""
     if table not in tables(gen):
         raise KeyError(f"generation {gen} has no table {table!r}")
-    base = StructType.fromDDL(GEN2[table]).fields if table in GEN2 else []
+    base = _fields(GEN2[table]) if table in GEN2 else []
     if gen == 2:
         return StructType(base)
     kept = [f for f in base if f.name not in GEN1_DROPS.get(table, [])]
-    added = StructType.fromDDL(GEN1_ADDS[table]).fields if table in GEN1_ADDS else []
+    added = _fields(GEN1_ADDS[table]) if table in GEN1_ADDS else []
     return StructType(kept + added)
