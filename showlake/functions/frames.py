@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import at
+
+DAY_PARTITION = "event_date"
+
 
 def top_per_key(
     df: DataFrame,
@@ -45,7 +50,30 @@ def page(df: DataFrame, order: Sequence[Column], limit: int | None, offset: int
 
 def only_keys(df: DataFrame, keys: DataFrame | None) -> DataFrame:
     """Restrict to the rows whose key columns appear in ``keys`` (None: all)."""
-    return df if keys is None else df.join(keys, keys.columns, "left_semi")
+    return df if keys is None else df.join(keys, keys.columns, "left_semi").select(*df.columns)
+
+
+def without_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Leave out the rows whose key columns appear in ``keys``."""
+    return df.join(keys, keys.columns, "left_anti").select(*df.columns)
+
+
+def in_range(
+    log: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime | None = None
+) -> DataFrame:
+    """Log rows from ``start`` to ``end``, both included; plain dates stand for midnight.
+
+    A log stored by day is also cut by its day partitions, so the files of
+    other days are not read.
+    """
+    moment, wanted = F.col(column), F.col(column) >= at(start)
+    if end is not None:
+        wanted = wanted & (moment <= at(end))
+    if DAY_PARTITION in log.columns:
+        wanted = wanted & (F.col(DAY_PARTITION) >= at(start).cast("date"))
+        if end is not None:
+            wanted = wanted & (F.col(DAY_PARTITION) <= at(end).cast("date"))
+    return log.filter(wanted)
 
 
 def for_screen(df: DataFrame, keys: DataFrame | None, order: Sequence[Column]) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import top_per_key
+from ..functions.frames import only_keys, top_per_key, without_keys
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
 from ..sources.tables import Tables
 
@@ -205,10 +205,10 @@ def replace_children(
     New rows of other owners, and those whose ``parent_key`` is not in
     ``parent``, are left out.
     """
-    keep = target.join(owners, owners.columns, "left_anti")
-    rows = new.join(owners, owners.columns, "left_semi")
+    keep = without_keys(target, owners)
+    rows = only_keys(new, owners)
     if parent is not None and parent_key is not None:
-        rows = rows.join(parent.select(parent_key), parent_key, "left_semi")
+        rows = only_keys(rows, parent.select(parent_key))
     rows = rows.distinct()
     return Change(_append_rows(keep, rows), _append_rows(target.limit(0), rows))
 
@@ -219,7 +219,7 @@ def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> Change:
     ``changed`` holds the added rows.
     """
     pairs = _one_per_key(pairs, keys, [F.asc(c) for c in pairs.columns if c not in keys] or [F.lit(1)])
-    keep = target.join(pairs.select(*keys), list(keys), "left_anti")
+    keep = without_keys(target, pairs.select(*keys))
     added = _absent_rows(target, pairs, keys, False)
     return Change(_append_rows(keep, added), _append_rows(target.limit(0), added))
 
@@ -230,13 +230,19 @@ def update_where(df: DataFrame, predicate: str | Column, values: Mapping[str, ob
     ``values`` are literals or Columns; Columns see the old values.
     """
     hit = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
-    new = {c: v if isinstance(v, Column) else F.lit(v) for c, v in values.items()}
+    new = {c: _literal(v) for c, v in values.items()}
     types = {f.name: f.dataType for f in df.schema}
     changed = {c: F.when(hit, v.cast(types[c])).otherwise(F.col(c)) for c, v in new.items()}
     only = {c: v.cast(types[c]) for c, v in new.items()}
     return Change(df.withColumns(changed), df.filter(hit).withColumns(only))
 
 
+def _literal(value: object) -> Column:
+    if isinstance(value, dt.datetime):
+        return at(value)
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def patch(
     target: DataFrame,
     changes: DataFrame,
@@ -428,7 +434,7 @@ def delete_where(df: DataFrame, predicate: str | Column) -> Change:
 
 
 def delete_keys(df: DataFrame, keys: DataFrame) -> Change:
-    return Change(df.join(keys, keys.columns, "left_anti"), df.join(keys, keys.columns, "left_semi"))
+    return Change(without_keys(df, keys), only_keys(df, keys))
 
 
 class Deletion(NamedTuple):
@@ -447,7 +453,7 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
     """
     references = [fk for fk in foreign_keys(gen) if fk.child in T and fk.parent in T]
     doomed = {table: keys}
-    after: dict[str, DataFrame] = {table: T[table].join(keys, keys.columns, "left_anti")}
+    after: dict[str, DataFrame] = {table: without_keys(T[table], keys)}
     blocked: list[DataFrame] = []
     for child in _parents_first(references, table):
         rows = T[child]
@@ -464,14 +470,14 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
                     fk.column, F.when(F.col("_gone").isNull(), F.col(fk.column))
                 ).select(*rows.columns)
             elif fk.on_delete == RESTRICT:
-                hits = rows.join(gone, fk.column, "left_semi").agg(F.count("*").alias("references"))
+                hits = only_keys(rows, gone).agg(F.count("*").alias("references"))
                 blocked.append(hits.select(F.lit(child).alias("child"), F.lit(fk.column).alias("column"), "references"))
         if cascades:
             key = PRIMARY_KEYS[child]
             for gone in cascades:
-                after[child] = after.get(child, rows).join(gone, gone.columns, "left_anti")
+                after[child] = without_keys(after.get(child, rows), gone)
             if any(fk.parent == child for fk in references):
-                parts = [rows.join(gone, gone.columns, "left_semi").select(*key) for gone in cascades]
+                parts = [only_keys(rows, gone).select(*key) for gone in cascades]
                 doomed[child] = parts[0]
                 for part in parts[1:]:
                     doomed[child] = doomed[child].union(part)

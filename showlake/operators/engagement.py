@@ -12,8 +12,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import between, count_if, month_of, pct, ratio
-from ..functions.frames import only_keys, top_per_key
+from ..functions.columns import count_if, month_of, pct, ratio
+from ..functions.frames import for_screen, in_range, only_keys, top_per_key
 from ..sources.tables import Tables
 from .browse import active_titles
 
@@ -32,7 +32,7 @@ def completed() -> Column:
 
 def _watched(T: Tables, start: dt.date | None, end: dt.date | None) -> DataFrame:
     log = T["watch_history"]
-    return log if start is None else log.filter(between("watched_at", start, end))
+    return log if start is None else in_range(log, "watched_at", start, end)
 
 
 def title_engagement(T: Tables, start: dt.date, end: dt.date, k: int = 10) -> DataFrame:
@@ -66,7 +66,7 @@ def title_engagement(T: Tables, start: dt.date, end: dt.date, k: int = 10) -> Da
 
 def daily_trend(T: Tables, start: dt.date, end: dt.date, keys: DataFrame | None = None) -> DataFrame:
     """Views per title and day."""
-    return (
+    days = (
         only_keys(_watched(T, start, end), keys)
         .groupBy("content_id", F.col("watched_at").cast("date").alias("view_date"))
         .agg(views().alias("views"), F.countDistinct("profile_id").alias("unique_viewers"), seconds().alias("_seconds"))
@@ -77,8 +77,8 @@ def daily_trend(T: Tables, start: dt.date, end: dt.date, keys: DataFrame | None
             "unique_viewers",
             ratio(F.col("_seconds"), F.col("views") * 60, 1).alias("avg_minutes"),
         )
-        .orderBy("content_id", "view_date")
     )
+    return for_screen(days, keys, [F.asc("content_id"), F.asc("view_date")])
 
 
 def episode_dropoff(T: Tables, keys: DataFrame | None = None) -> DataFrame:
@@ -106,7 +106,7 @@ def episode_dropoff(T: Tables, keys: DataFrame | None = None) -> DataFrame:
         )
     )
     before = F.lag("total_views").over(Window.partitionBy("season_id").orderBy("episode_number"))
-    return (
+    out = (
         rows.withColumn("_before", before)
         .select(
             "content_id",
@@ -118,8 +118,8 @@ def episode_dropoff(T: Tables, keys: DataFrame | None = None) -> DataFrame:
             pct(F.col("completions"), F.col("total_views")).alias("completion_rate_pct"),
             pct(F.col("total_views"), F.col("_before")).alias("pct_retained_from_prev_episode"),
         )
-        .orderBy("content_id", "season_number", "episode_number")
     )
+    return for_screen(out, keys, [F.asc("content_id"), F.asc("season_number"), F.asc("episode_number")])
 
 
 def title_reach(T: Tables, start: dt.date, end: dt.date, k: int = 10) -> DataFrame:

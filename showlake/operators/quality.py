@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.frames import only_keys, without_keys
 from ..sources import constraints, schemas
 from ..sources.tables import Tables
 
@@ -263,7 +264,7 @@ def _cross_rows(T: Tables, rule: Rule) -> DataFrame:
         return joined.filter("_n > max_profiles").select(*rows.columns)
     if rule.name == "parts_only_for_movies":
         series = T["content"].filter("content_type <> 'Movie'").select("content_id")
-        return rows.join(series, "content_id", "left_semi")
+        return only_keys(rows, series)
     if rule.name == "device_in_plan":
         # A user has one active subscription, so this holds one row per user and device type.
         entitled = (
@@ -274,7 +275,7 @@ def _cross_rows(T: Tables, rule: Rule) -> DataFrame:
             .select("user_id", "device_type")
         )
         subscribed = T["subscriptions"].filter("status = 'active'").select("user_id")
-        return rows.join(subscribed, "user_id", "left_semi").join(entitled, ["user_id", "device_type"], "left_anti")
+        return without_keys(only_keys(rows, subscribed), entitled)
     level = rule.columns[1]
     owners = {
         "season_id": lambda: T["seasons"].select("season_id", F.col("content_id").alias("_owner")),
@@ -294,10 +295,10 @@ def violations(T: Tables, rule: Rule) -> DataFrame:
     if rule.kind == "row":
         return rows.filter(_broken(rule))
     if rule.kind == "unique":
-        return _keyed(T, rule).join(_repeated(T, rule).drop("_n"), list(rule.columns), "left_semi")
+        return only_keys(_keyed(T, rule), _repeated(T, rule).drop("_n"))
     if rule.kind == "reference":
         missing, column = _orphans(T, rule)
-        return rows.join(missing.select(column), column, "left_semi")
+        return only_keys(rows, missing.select(column))
     if rule.kind == "overlap":
         return _overlap_rows(T)
     return _cross_rows(T, rule)

@@ -7,15 +7,15 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import at, between, count_if, micros, pct, ratio
+from ..functions.columns import at, count_if, micros, pct, ratio
+from ..functions.frames import in_range
 from ..sources.tables import Tables
 
 
 def search_top(T: Tables, start: dt.date, end: dt.date, k: int = 10) -> DataFrame:
     """Most frequent searches with what they returned and who asked."""
     return (
-        T["search_history"]
-        .filter(between("searched_at", start, end))
+        in_range(T["search_history"], "searched_at", start, end)
         .groupBy("search_query")
         .agg(
             F.count("*").alias("search_count"),
@@ -45,8 +45,8 @@ def _most_searched(rows: DataFrame, k: int) -> DataFrame:
 
 def search_zero(T: Tables, start: dt.date, end: dt.date, k: int = 10) -> DataFrame:
     """Searches that found nothing."""
-    found_nothing = (F.col("result_count") == 0) & between("searched_at", start, end)
-    return _most_searched(T["search_history"].filter(found_nothing), k)
+    searches = in_range(T["search_history"], "searched_at", start, end)
+    return _most_searched(searches.filter(F.col("result_count") == 0), k)
 
 
 def top_searches(T: Tables, k: int = 20) -> DataFrame:
@@ -56,12 +56,10 @@ def top_searches(T: Tables, k: int = 20) -> DataFrame:
 def trending_searches(T: Tables, as_of: dt.date, min_count: int = 5, k: int = 25) -> DataFrame:
     """Searches of the last 7 days against the 7 before, in one pass."""
     week = at(as_of - dt.timedelta(days=7))
-    two_weeks = at(as_of - dt.timedelta(days=14))
     moment = F.col("searched_at")
     now, before = F.col("this_week_searches"), F.col("last_week_searches")
     return (
-        T["search_history"]
-        .filter(moment >= two_weeks)
+        in_range(T["search_history"], "searched_at", as_of - dt.timedelta(days=14))
         .groupBy("search_query")
         .agg(count_if(moment >= week).alias("this_week_searches"), count_if(moment < week).alias("last_week_searches"))
         .filter(now >= min_count)
@@ -85,8 +83,8 @@ def search_conversion(
     off running counts.
     """
     span = minutes * 60_000_000
-    searches = T["search_history"].filter(between("searched_at", start, end))
-    sessions = T["watch_history"].filter(between("watched_at", start, _minutes_after(end, minutes)))
+    searches = in_range(T["search_history"], "searched_at", start, end)
+    sessions = in_range(T["watch_history"], "watched_at", start, _minutes_after(end, minutes))
     group = ["search_query", "profile_id", "slot"]
 
     t = F.col("t")

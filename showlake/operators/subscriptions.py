@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MONEY, at, between, count_if, month_of, pct, ratio
+from ..functions.frames import in_range
 from ..sources.tables import Tables
 
 
@@ -285,7 +286,8 @@ def exec_dashboard(T: Tables, start: dt.date, end: dt.date) -> DataFrame:
     users = T["users"].filter(between("created_at", start, end))
     paid = T["payments"].filter((F.col("payment_status") == "completed") & between("paid_at", start, end))
     net = F.sum(F.col("amount") - F.col("refund_amount")).cast(MONEY)
-    views = T["watch_history"].filter(between("watched_at", start, end))
+    watched = in_range(T["watch_history"], "watched_at", start, end)
+    views = watched.agg(F.struct(F.count("*").alias("n"), F.countDistinct("profile_id").alias("viewers"))).scalar()
     rated = (
         T["ratings"]
         .filter(between("created_at", start, end))
@@ -299,7 +301,7 @@ def exec_dashboard(T: Tables, start: dt.date, end: dt.date) -> DataFrame:
         "new_subscriptions",
         "cancellations",
         paid.agg(F.coalesce(net, F.lit(0).cast(MONEY))).scalar().alias("net_revenue"),
-        _total(views).alias("total_views"),
-        views.agg(F.countDistinct("profile_id")).scalar().alias("active_viewers"),
+        views["n"].alias("total_views"),
+        views["viewers"].alias("active_viewers"),
         rated.scalar().alias("avg_new_rating"),
     )

@@ -307,6 +307,7 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
     def lines() -> DataFrame:
         """Lines with their account; the natural key of a line is its id."""
         key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+        key.append(F.col("l_extendedprice").cast("decimal(10,2)").cast("string"))
         return (
             raw["lineitem"]
             .join(

@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import at
+from ..functions.frames import DAY_PARTITION
 from . import schemas
 
 # The age-rating scale, most to least suitable for children per system.
@@ -82,7 +84,7 @@ def with_defaults(df: DataFrame, table: str, as_of: dt.datetime, gen: int = 2) -
             column = F.col(field.name)
         else:
             value = defaults.get(field.name)
-            column = F.lit(as_of if value is schemas.NOW else value)
+            column = at(as_of) if value is schemas.NOW else F.lit(value)
         columns.append(column.cast(field.dataType).alias(field.name))
     return df.select(*columns)
 
@@ -105,5 +107,5 @@ def _write(df: DataFrame, path: str, partition_by: str | None, mode: str) -> Non
     if partition_by is None:
         df.write.mode(mode).parquet(path)
     else:
-        dated = df.withColumn("event_date", F.col(partition_by).cast("date"))
-        dated.write.mode(mode).partitionBy("event_date").parquet(path)
+        dated = df.withColumn(DAY_PARTITION, F.col(partition_by).cast("date"))
+        dated.write.mode(mode).partitionBy(DAY_PARTITION).parquet(path)
