@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import at
 from ..functions.frames import only_keys, top_per_key, without_keys
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
-from ..sources.tables import Tables
+from ..sources.tables import Tables, with_defaults
 
 
 class Change(NamedTuple):
@@ -181,6 +181,19 @@ def number_rows(
     )
 
 
+def insert_rows(
+    target: DataFrame, rows: DataFrame, table: str, by: Sequence[str], as_of: dt.datetime, gen: int = 2
+) -> Change:
+    """Append entity rows with fresh ids and the table's defaults.
+
+    ``by`` must identify a new row; ids that ``rows`` brings are kept.
+    """
+    (key,) = PRIMARY_KEYS[table]
+    numbered = rows if key in rows.columns else number_rows(target, rows, key, by)
+    complete = with_defaults(numbered, table, as_of, gen)
+    return Change(target.unionByName(complete, allowMissingColumns=True), complete)
+
+
 def expand_insert(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
     """One child row per element of parallel arrays, e.g. ``{"country_codes": "country_code"}``.
 
@@ -193,6 +206,40 @@ def expand_insert(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
     )
 
 
+def create_titles(T: Tables, new: DataFrame, by: Sequence[str], as_of: dt.datetime, gen: int = 2) -> Tables:
+    """Add titles with their genres and language tracks at once.
+
+    ``new`` has title columns and the arrays genre_ids, language_ids,
+    language_types and is_default.  Ids do not change when a task is run again,
+    so the children get the ids of their titles.
+    """
+    numbered = number_rows(T["content"], new, "content_id", by)
+    titles = insert_rows(T["content"], numbered, "content", by, as_of, gen)
+    genres = expand_insert(numbered.select("content_id", "genre_ids"), {"genre_ids": "genre_id"})
+    lists = {"language_ids": "language_id", "language_types": "language_type", "is_default": "is_default"}
+    tracks = expand_insert(numbered.select("content_id", *lists), lists)
+    track = ["content_id", "language_id", "language_type"]
+    return T.replace(
+        content=titles.snapshot,
+        content_genres=insert_ignore(T["content_genres"], genres, ["content_id", "genre_id"]).snapshot,
+        content_languages=insert_rows(
+            T["content_languages"], tracks, "content_languages", track, as_of, gen
+        ).snapshot,
+    )
+
+
+def create_profiles(T: Tables, new: DataFrame, by: Sequence[str], as_of: dt.datetime, gen: int = 2) -> Tables:
+    """Add profiles, each with a row of default preferences."""
+    profiles = insert_rows(T["profiles"], new, "profiles", by, as_of, gen)
+    blank = profiles.changed.select("profile_id")
+    return T.replace(
+        profiles=profiles.snapshot,
+        profile_preferences=insert_rows(
+            T["profile_preferences"], blank, "profile_preferences", ["profile_id"], as_of, gen
+        ).snapshot,
+    )
+
+
 def replace_children(
     target: DataFrame,
     owners: DataFrame,

@@ -75,6 +75,16 @@ BODIES = {
                         and d.device_id = f.device_id)""",
     "d03_append_valid": """
     select rating_id, review_text, coalesce(trim(review_text), '') <> '' as accepted from ratings""",
+    "d04_insert_rows": """
+    select 'pending' as account_status, false as email_verified, timestamp '2024-01-31' as created_at,
+           count(*) as rows, count(*) as ids, (select max(user_id) from users) + 1 as first_id,
+           (select max(user_id) from users) + count(*) as last_id
+    from search_history""",
+    "d05_create_titles": """
+    select genre_id, count(*) as titles
+    from (select content_id, content_id % 11 + 1 as genre_id from content where content_type = 'Movie'
+          union select content_id, content_id % 3 + 1 from content where content_type = 'Movie')
+    group by genre_id""",
     "d05_expand_insert": """
     select content_id, release_date as available_from, unnest(['US', 'IN', 'GB']) as country_code
     from content where release_date is not null""",

@@ -73,6 +73,40 @@ def split_reviews(T: Tables) -> DataFrame:
     )
 
 
+def signups(T: Tables) -> DataFrame:
+    """Accounts that follow shop events; which one gets which id depends on the engine."""
+    new = T["search_history"].select(
+        F.concat(F.lit("s"), F.col("search_id").cast("string"), F.lit("@example.com")).alias("email"),
+        F.lit("x").alias("password_hash"),
+        F.col("search_query").alias("full_name"),
+        F.lit(dt.date(1990, 1, 1)).alias("date_of_birth"),
+        F.lit("IN").alias("country_code"),
+    )
+    added = changes.insert_rows(T["users"], new, "users", ["email"], dt.datetime(2024, 1, 31)).changed
+    return added.groupBy("account_status", "email_verified", "created_at").agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("user_id").alias("ids"),
+        F.min("user_id").alias("first_id"),
+        F.max("user_id").alias("last_id"),
+    )
+
+
+def new_titles(T: Tables) -> DataFrame:
+    """A sequel of every film with genres and tracks, counted with what they hang on."""
+    sequels = T["content"].filter("content_type = 'Movie'").select(
+        F.concat_ws(" ", "title", F.col("content_id").cast("string")).alias("title"),
+        "content_type",
+        F.array(F.col("content_id") % 11 + 1, F.col("content_id") % 3 + 1).alias("genre_ids"),
+        F.array(F.lit(1).cast("bigint"), F.lit(2).cast("bigint")).alias("language_ids"),
+        F.array(F.lit("Audio"), F.lit("Subtitle")).alias("language_types"),
+        F.array(F.lit(True), F.lit(False)).alias("is_default"),
+    )
+    after = changes.create_titles(T, sequels, ["title"], dt.datetime(2024, 1, 31))
+    new = after["content"].filter("title rlike '[0-9]$'").select("content_id")
+    new_genres = after["content_genres"].join(new, "content_id", "left_semi").groupBy("genre_id")
+    return new_genres.agg(F.count("*").alias("titles"))
+
+
 def launch_windows(T: Tables) -> DataFrame:
     """Every released title's window in several countries at once."""
     rows = T["content"].filter(F.col("release_date").isNotNull()).select(
@@ -215,6 +249,8 @@ CHANGES: dict[str, Query] = {
     "d02_insert_ignore": ignore_listed,
     "d02_insert_ignore_partial": ignore_active_downloads,
     "d03_append_valid": split_reviews,
+    "d04_insert_rows": signups,
+    "d05_create_titles": new_titles,
     "d05_expand_insert": launch_windows,
     "d06_replace_children": replace_genres,
     "d07_toggle": toggle_list,

@@ -75,6 +75,37 @@ def test_numbered_rows_are_consecutive(make):
     assert changes.number_rows(None, new, "id", ["name"]).agg(F.min("id"), F.max("id")).first()[:] == (1, 200)
 
 
+def test_create_titles_and_profiles(make, rows):
+    T = Tables(
+        {
+            "content": lambda: make("content_id long, title string, content_type string, status string", (5, "old", "Movie", "Active")),
+            "content_genres": lambda: make("content_id long, genre_id long", (5, 1)),
+            "content_languages": lambda: make(
+                "content_language_id long, content_id long, language_id long, language_type string, is_default boolean"
+            ),
+            "profiles": lambda: make("profile_id long, user_id long, profile_name string", (3, 1, "a")),
+            "profile_preferences": lambda: make("preference_id long, profile_id long, ui_theme string", (30, 3, "light")),
+        }
+    )
+    new = make(
+        "title string, content_type string, genre_ids array<long>, language_ids array<long>, "
+        "language_types array<string>, is_default array<boolean>",
+        ("one", "Movie", [1, 2], [7], ["Audio"], [True]),
+        ("two", "Series", [], [7, 8], ["Both", "Audio"], [False, None]),
+    )
+    after = changes.create_titles(T, new, ["title"], TS(2024, 1, 1))
+    ids = {r.title: r.content_id for r in after["content"].collect()}
+    assert sorted(ids.values()) == [5, 6, 7] and ids["old"] == 5
+    assert rows(after["content"].filter("title <> 'old'"), "status") == [("Active",), ("Active",)]
+    assert rows(after["content_genres"]) == sorted([(5, 1), (ids["one"], 1), (ids["one"], 2)])
+    tracks = rows(after["content_languages"], "content_language_id", "content_id")
+    assert sorted(t[0] for t in tracks) == [1, 2, 3]
+    assert sorted(t[1] for t in tracks) == sorted([ids["one"], ids["two"], ids["two"]])
+    after = changes.create_profiles(T, make("user_id long, profile_name string", (1, "b")), ["user_id", "profile_name"], TS(2024, 1, 1))
+    assert rows(after["profiles"], "profile_id", "is_kids") == [(3, None), (4, False)]
+    assert rows(after["profile_preferences"], "preference_id", "profile_id", "ui_theme") == [(30, 3, "light"), (31, 4, "dark")]
+
+
 def test_expand(make, rows):
     title = make("content_id long, langs array<long>, kinds array<string>", (1, [5, 6], ["Audio", "Subtitle"]), (2, [], []))
     out = changes.expand_insert(title, {"langs": "language_id", "kinds": "language_type"})
