@@ -25,7 +25,8 @@ def top_per_key(
 
     Spark cuts to ``offset + k`` rows per key in every input partition before
     the shuffle, so a key that holds most rows does not land in one task whole.
-    ``order`` should end with a unique column.  ``k=None`` keeps all rows.
+    (Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows, 1000 unless
+    set.)  ``order`` should end with a unique column.  ``k=None`` keeps all rows.
     """
     if k is None and not offset and rank is None:
         return df
@@ -76,13 +77,13 @@ def in_range(
     return log.filter(wanted)
 
 
-def for_screen(df: DataFrame, keys: DataFrame | None, order: Sequence[Column]) -> DataFrame:
+def for_screen(df: DataFrame, asked: object | None, order: Sequence[Column]) -> DataFrame:
     """Sort when a screen asks for certain keys; leave whole-table results unsorted.
 
     A total order over every key of the platform would cost a range shuffle
     that nobody reads.
     """
-    return df if keys is None else df.orderBy(*order)
+    return df if asked is None else df.orderBy(*order)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_by: Sequence[str], salts: int = 16):

@@ -92,10 +92,13 @@ def titles_by_genre(
             "content_id",
         )
     )
-    cut = top_per_key(tagged, ["genre_id"], [newest_release(), F.asc("content_id")], limit, offset)
-    return cut.join(average_ratings(T).drop("rating_count"), "content_id", "left").select(
+    order = [newest_release(), F.asc("content_id")]
+    cut = top_per_key(tagged, ["genre_id"], order, limit, offset)
+    rows = cut.join(average_ratings(T).drop("rating_count"), "content_id", "left").select(
         "genre_id", "genre_name", "content_id", "title", "content_type", "poster_url", "release_date", "avg_rating"
     )
+    asked = genre_id if genre_id is not None else genre_name
+    return for_screen(rows, asked, [F.asc("genre_id"), *order])
 
 
 def titles_with_all_genres(T: Tables, genre_ids: list[int], limit: int | None = 10, offset: int = 0) -> DataFrame:
@@ -126,7 +129,8 @@ def titles_by_language(
         .join(active_titles(T).select("content_id", "title", "content_type", "poster_url"), "content_id")
         .select("language_id", "content_id", "title", "content_type", "poster_url")
     )
-    return top_per_key(rows, ["language_id"], [F.asc("title"), F.asc("content_id")], limit, offset)
+    order = [F.asc("title"), F.asc("content_id")]
+    return for_screen(top_per_key(rows, ["language_id"], order, limit, offset), language_id, order)
 
 
 def title_languages(T: Tables, keys: DataFrame | None = None) -> DataFrame:
@@ -154,7 +158,7 @@ def available_in(
         "country_code", "content_id", "title", "poster_url", "available_from", "available_to"
     )
     order = [F.desc("available_from"), F.asc("content_id")]
-    return top_per_key(rows, ["country_code"], order, limit, offset)
+    return for_screen(top_per_key(rows, ["country_code"], order, limit, offset), country, order)
 
 
 def leaving_soon(T: Tables, as_of: dt.date, days: int, country: str | None = None, k: int | None = 20) -> DataFrame:
@@ -166,7 +170,8 @@ def leaving_soon(T: Tables, as_of: dt.date, days: int, country: str | None = Non
     rows = windows.join(active_titles(T).select("content_id", "title", "poster_url"), "content_id").select(
         "country_code", "content_id", "title", "poster_url", "available_to"
     )
-    return top_per_key(rows, ["country_code"], [F.asc("available_to"), F.asc("content_id")], k)
+    order = [F.asc("available_to"), F.asc("content_id")]
+    return for_screen(top_per_key(rows, ["country_code"], order, k), country, order)
 
 
 def resume_points(T: Tables, keys: DataFrame | None = None) -> DataFrame:
@@ -213,7 +218,7 @@ def continue_watching(
     cut = top_per_key(latest, ["profile_id"], [F.asc("content_id")], k)
     titles = T["content"].select("content_id", "title", "poster_url", "content_type")
     episodes = T["episodes"].select("episode_id", F.col("title").alias("episode_title"))
-    return (
+    rows = (
         cut.join(titles, "content_id")
         .join(episodes, "episode_id", "left")
         .select(
@@ -230,6 +235,7 @@ def continue_watching(
             "watched_at",
         )
     )
+    return for_screen(rows, keys, [F.asc("profile_id"), F.asc("content_id")])
 
 
 def next_episode(T: Tables, keys: DataFrame | None = None) -> DataFrame:
@@ -294,10 +300,12 @@ def title_reviews(
         written = written & ~is_blank("review_text")
     verdict, stamp = ("rating_value", "updated_at") if gen == 1 else ("is_liked", "created_at")
     rows = only_keys(T["ratings"], keys).filter(written)
-    cut = top_per_key(rows, ["content_id"], [F.desc(stamp), F.asc("rating_id")], limit, offset)
-    return cut.join(T["profiles"].select("profile_id", "profile_name"), "profile_id").select(
+    order = [F.desc(stamp), F.asc("rating_id")]
+    cut = top_per_key(rows, ["content_id"], order, limit, offset)
+    named = cut.join(T["profiles"].select("profile_id", "profile_name"), "profile_id").select(
         "content_id", "rating_id", verdict, "review_text", stamp, "profile_name"
     )
+    return for_screen(named, keys, [F.asc("content_id"), *order])
 
 
 def my_list_view(
@@ -314,7 +322,8 @@ def my_list_view(
         .join(titles.select("content_id", "title", "poster_url", "content_type"), "content_id")
         .select("profile_id", "my_list_id", "content_id", "title", "poster_url", "content_type", "added_at")
     )
-    return top_per_key(rows, ["profile_id"], [F.desc("added_at"), F.asc("content_id")], limit, offset)
+    order = [F.desc("added_at"), F.asc("content_id")]
+    return for_screen(top_per_key(rows, ["profile_id"], order, limit, offset), keys, [F.asc("profile_id"), *order])
 
 
 def in_my_list(T: Tables, pairs: DataFrame) -> DataFrame:
@@ -411,15 +420,15 @@ def billing_history(
     T: Tables, keys: DataFrame | None = None, limit: int | None = 10, offset: int = 0
 ) -> DataFrame:
     """A page of payments per user with the plan they were for, newest first."""
-    cut = top_per_key(
-        only_keys(T["payments"], keys), ["user_id"], [F.desc("created_at"), F.asc("payment_id")], limit, offset
-    )
+    order = [F.desc("created_at"), F.asc("payment_id")]
+    cut = top_per_key(only_keys(T["payments"], keys), ["user_id"], order, limit, offset)
     plans = (
         T["subscriptions"]
         .select("subscription_id", "plan_id")
         .join(T["subscription_plans"].select("plan_id", "plan_name"), "plan_id")
     )
-    return cut.join(plans, "subscription_id").select(
+    rows = for_screen(cut.join(plans, "subscription_id"), keys, [F.asc("user_id"), *order])
+    return rows.select(
         "user_id",
         "payment_id",
         "amount",
@@ -612,19 +621,19 @@ def plan_impact(T: Tables) -> DataFrame:
 
 
 def recent_watches(T: Tables, keys: DataFrame | None = None, k: int = 8) -> DataFrame:
-    cut = top_per_key(
-        only_keys(T["watch_history"], keys), ["profile_id"], [F.desc("watched_at"), F.desc("watch_id")], k
-    )
-    return cut.join(T["content"].select("content_id", "title"), "content_id").select(
+    order = [F.desc("watched_at"), F.desc("watch_id")]
+    cut = top_per_key(only_keys(T["watch_history"], keys), ["profile_id"], order, k)
+    rows = cut.join(T["content"].select("content_id", "title"), "content_id").select(
         "profile_id", "watch_id", "title", "episode_id", "watched_at", "progress_seconds", "completed"
     )
+    return for_screen(rows, keys, [F.asc("profile_id"), *order])
 
 
 def recent_searches(T: Tables, keys: DataFrame | None = None, k: int = 8) -> DataFrame:
-    cut = top_per_key(
-        only_keys(T["search_history"], keys), ["profile_id"], [F.desc("searched_at"), F.desc("search_id")], k
-    )
-    return cut.select("profile_id", "search_query", "searched_at", "result_count")
+    order = [F.desc("searched_at"), F.desc("search_id")]
+    cut = top_per_key(only_keys(T["search_history"], keys), ["profile_id"], order, k)
+    rows = for_screen(cut, keys, [F.asc("profile_id"), *order])
+    return rows.select("profile_id", "search_query", "searched_at", "result_count")
 
 
 def preferences(T: Tables, keys: DataFrame | None = None) -> DataFrame:

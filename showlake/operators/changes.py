@@ -320,16 +320,20 @@ def stamped(df: DataFrame, values: Mapping[str, object], as_of: dt.date | dt.dat
 # State transitions -----------------------------------------------------------------------------
 
 
-def verify_email(users: DataFrame, as_of: dt.date) -> Change:
-    """Mark pending accounts verified and active; filter ``users`` by ``update_where`` for some."""
+def _chosen(who: str | Column) -> Column:
+    return F.expr(who) if isinstance(who, str) else who
+
+
+def verify_email(users: DataFrame, who: str | Column, as_of: dt.date) -> Change:
+    """Mark pending accounts that satisfy ``who`` verified and active."""
     values = {"email_verified": True, "account_status": "active"}
-    return update_where(users, "account_status = 'pending'", stamped(users, values, as_of))
+    return update_where(users, (F.col("account_status") == "pending") & _chosen(who), stamped(users, values, as_of))
 
 
-def set_status(df: DataFrame, old: str | None, new: str, as_of: dt.date, column: str = "status") -> Change:
-    """Publish, retire, reinstate, pause: one state to another."""
-    predicate = "true" if old is None else F.col(column) == old
-    return update_where(df, predicate, stamped(df, {column: new}, as_of))
+def set_status(df: DataFrame, who: str | Column, old: str | None, new: str, as_of: dt.date) -> Change:
+    """Publish, retire, reinstate or pause the rows that satisfy ``who``; ``old=None`` takes any state."""
+    hit = _chosen(who) if old is None else _chosen(who) & (F.col("status") == old)
+    return update_where(df, hit, stamped(df, {"status": new}, as_of))
 
 
 def expire_downloads(downloads: DataFrame, as_of: dt.date) -> Change:
@@ -340,7 +344,6 @@ def expire_downloads(downloads: DataFrame, as_of: dt.date) -> Change:
 
 def cancel(subscriptions: DataFrame, who: str | Column, reason: str | None, as_of: dt.date) -> Change:
     """Cancel active subscriptions that satisfy ``who``."""
-    chosen = F.expr(who) if isinstance(who, str) else who
     values = {
         "status": "cancelled",
         "auto_renew": False,
@@ -349,16 +352,15 @@ def cancel(subscriptions: DataFrame, who: str | Column, reason: str | None, as_o
         "next_billing_date": None,
     }
     return update_where(
-        subscriptions, (F.col("status") == "active") & chosen, stamped(subscriptions, values, as_of)
+        subscriptions, (F.col("status") == "active") & _chosen(who), stamped(subscriptions, values, as_of)
     )
 
 
 def resume(subscriptions: DataFrame, who: str | Column, as_of: dt.date) -> Change:
     """Paused subscriptions run again and are billed a month from ``as_of``."""
-    chosen = F.expr(who) if isinstance(who, str) else who
     values = {"status": "active", "next_billing_date": F.add_months(F.lit(as_of), 1)}
     return update_where(
-        subscriptions, (F.col("status") == "paused") & chosen, stamped(subscriptions, values, as_of)
+        subscriptions, (F.col("status") == "paused") & _chosen(who), stamped(subscriptions, values, as_of)
     )
 
 
@@ -537,6 +539,12 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
     return Deletion(T.replace(**after), report.filter("references > 0"))
 
 
+def delete_profiles(T: Tables, keys: DataFrame, gen: int = 2) -> Deletion:
+    """Delete profiles with all that hangs on them; an account's primary profile stays."""
+    others = T["profiles"].filter("not is_primary").select("profile_id")
+    return delete_cascade(T, "profiles", only_keys(keys, others), gen)
+
+
 def _parents_first(references: Sequence, table: str) -> list[str]:
     """Tables below ``table``, each after all of its parents."""
     below: list[str] = []

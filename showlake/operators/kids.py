@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import contains_ci
-from ..functions.frames import only_keys, salted_join, top_per_key
+from ..functions.frames import for_screen, only_keys, salted_join, top_per_key
 from ..sources.tables import Tables
 from .browse import active_titles, average_ratings, newest_release
 
@@ -61,9 +61,11 @@ def _best_per_limit(
     return top_per_key(allowed, [*keys, LIMIT], order, k, rank="rank_in_row")
 
 
-def _give(profiles: DataFrame, lists: DataFrame, on: Sequence[str]) -> DataFrame:
+def _give(profiles: DataFrame, lists: DataFrame, on: Sequence[str], keys: DataFrame | None) -> DataFrame:
     """Hand lists of at most ``k`` rows per key to the profiles that share it."""
-    return salted_join(profiles, lists, on, ["profile_id"])
+    rows = salted_join(profiles, lists, on, ["profile_id"])
+    rows_of = [F.asc("genre_name"), F.asc("genre_id")] if "genre_name" in rows.columns else []
+    return for_screen(rows, keys, [F.asc("profile_id"), *rows_of, F.asc("rank_in_row")])
 
 
 def kids_browse(T: Tables, k: int = 10, keys: DataFrame | None = None, mode: str = "reference") -> DataFrame:
@@ -72,7 +74,7 @@ def kids_browse(T: Tables, k: int = 10, keys: DataFrame | None = None, mode: str
         "content_id", "title", "poster_url", "age_certification", "content_type", "release_date"
     )
     lists = _best_per_limit(T, titles, [], [newest_release(), F.asc("content_id")], k, mode)
-    return _give(kids_limits(T, keys), lists, [LIMIT]).select(
+    return _give(kids_limits(T, keys), lists, [LIMIT], keys).select(
         "profile_id", "content_id", "title", "poster_url", "age_certification", "content_type"
     )
 
@@ -118,7 +120,7 @@ def kids_genre_row(
     if genre_id is not None:
         titles = titles.filter(F.col("genre_id") == genre_id)
     lists = _best_per_limit(T, titles, ["genre_id"], [newest_release(), F.asc("content_id")], k, mode)
-    return _give(kids_limits(T, keys, kids_only=False), lists, [LIMIT]).select(
+    return _give(kids_limits(T, keys, kids_only=False), lists, [LIMIT], keys).select(
         "profile_id", "genre_id", "content_id", "title", "poster_url"
     )
 
@@ -128,7 +130,7 @@ def kids_home(T: Tables, k: int = 10, keys: DataFrame | None = None, mode: str =
     lists = _best_per_limit(T, _tagged_titles(T), ["genre_id"], [newest_release(), F.asc("content_id")], k, mode)
     named = lists.join(T["genres"].select("genre_id", "genre_name"), "genre_id")
     wishes = T["profile_preferred_genres"].join(kids_limits(T, keys, kids_only=False), "profile_id")
-    return _give(wishes, named, ["genre_id", LIMIT]).select(
+    return _give(wishes, named, ["genre_id", LIMIT], keys).select(
         "profile_id", "genre_id", "genre_name", "content_id", "title", "poster_url", "rank_in_row"
     )
 
@@ -142,7 +144,7 @@ def kids_fallback(T: Tables, k: int = 10, keys: DataFrame | None = None, mode: s
     )
     lists = _best_per_limit(T, titles, [], [F.desc_nulls_last("avg_rating"), F.asc("content_id")], k, mode)
     waiting = kids_limits(T, keys, kids_only=False).join(T["profile_preferred_genres"], "profile_id", "left_anti")
-    return _give(waiting, lists, [LIMIT]).select("profile_id", "content_id", "title", "poster_url", "avg_rating")
+    return _give(waiting, lists, [LIMIT], keys).select("profile_id", "content_id", "title", "poster_url", "avg_rating")
 
 
 def kids_search(
@@ -155,7 +157,7 @@ def kids_search(
         .select("content_id", "title", "poster_url", "age_certification")
     )
     lists = _best_per_limit(T, titles, [], [F.asc("title"), F.asc("content_id")], k, mode)
-    return _give(kids_limits(T, keys, kids_only=False), lists, [LIMIT]).select(
+    return _give(kids_limits(T, keys, kids_only=False), lists, [LIMIT], keys).select(
         "profile_id", "content_id", "title", "poster_url", "age_certification"
     )
 
@@ -165,9 +167,10 @@ def kids_profiles(T: Tables, keys: DataFrame | None = None) -> DataFrame:
     levels = T["content_rating_levels"].select(
         F.col("rating_code").alias(LIMIT), F.col("description").alias("limit_description")
     )
-    return (
+    rows = (
         only_keys(T["profiles"], keys)
         .filter("is_kids")
         .join(levels, LIMIT, "left")
         .select("user_id", "profile_id", "profile_name", "avatar_url", LIMIT, "limit_description")
     )
+    return for_screen(rows, keys, [F.asc("user_id"), F.asc("profile_name"), F.asc("profile_id")])

@@ -139,13 +139,13 @@ def test_updates(make, rows):
         "user_id long, account_status string, email_verified boolean, updated_at timestamp_ntz",
         (1, "pending", False, TS(2020, 1, 1)), (2, "suspended", False, TS(2020, 1, 1)),
     )
-    out = changes.verify_email(users, DAY)
+    out = changes.verify_email(users, "user_id < 9", DAY)
     assert rows(out.snapshot) == [(1, "active", True, TS(2024, 1, 31)), (2, "suspended", False, TS(2020, 1, 1))]
     assert rows(out.changed, "user_id") == [(1,)]
     moved = changes.update_where(users, "user_id = 2", {"updated_at": TS(2024, 3, 10, 2, 30)})
     assert rows(moved.changed, "updated_at") == [(TS(2024, 3, 10, 2, 30),)]
     titles = make("content_id long, status string", (1, "ComingSoon"), (2, "Inactive"), (3, None))
-    assert rows(changes.set_status(titles, "ComingSoon", "Active", DAY).snapshot) == [(1, "Active"), (2, "Inactive"), (3, None)]
+    assert rows(changes.set_status(titles, "content_id < 9", "ComingSoon", "Active", DAY).snapshot) == [(1, "Active"), (2, "Inactive"), (3, None)]
 
 
 def test_patch(make, rows):
@@ -273,6 +273,13 @@ def test_delete_title_leaves_no_orphans(make, rows, small):
     assert (before, after) == (0, 0)
 
 
+def test_primary_profiles_stay(make, rows, small):
+    T = small.replace(profiles=make("profile_id long, user_id long, is_primary boolean", (11, 1, True), (21, 2, False)))
+    out = changes.delete_profiles(T, make("profile_id long", (11,), (21,)))
+    assert rows(out.tables["profiles"], "profile_id") == [(11,)]
+    assert rows(out.tables["ratings"], "rating_id") == [(1,)]
+
+
 def test_deletes(make, rows):
     log = make("watch_id long, profile_id long", (1, 1), (2, 2), (3, None))
     assert rows(changes.delete_keys(log, make("profile_id long", (1,))).snapshot, "watch_id") == [(2,), (3,)]

@@ -256,6 +256,13 @@ def test_kids_lists(gated, make, rows):
     assert rows(kids.effective_ceiling(gated)) == [(1, 6), (2, 1), (3, 1), (4, 10)]
 
 
+def test_screens_are_sorted(gated, make, content, watched):
+    keys = make("profile_id long", (1,))
+    assert [r.content_id for r in kids.kids_browse(gated, keys=keys).collect()] == [3, 2, 1]
+    T = {"content": content, "watch_history": watched}
+    assert [r.watch_id for r in browse.recent_watches(T, keys, k=3).collect()] == [4, 3, 2]
+
+
 def test_playback(gated, make, rows):
     pairs = make("profile_id long, content_id long", (1, 1), (2, 2), (3, 1), (4, 4), (9, 1), (1, 99))
     assert rows(kids.playback_allowed(gated, pairs)) == [
