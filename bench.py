@@ -32,6 +32,7 @@ HEADLINE = [
     "a11_monthly_revenue",
     "a22_search_conversion",
     "d01_merge_upsert",
+    "d01_merge_upsert_bulk",
     "d13_delete_cascade",
 ]
 

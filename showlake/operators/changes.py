@@ -5,7 +5,9 @@ a new path, or ``append`` the changed rows of a log.
 
 Change sets are usually small against their table.  The snapshots are therefore
 built so that the table is the streamed side of every join: with a small change
-set Spark broadcasts that and never shuffles the table.
+set Spark broadcasts that and never shuffles the table.  The change set is read
+several times for it.  ``bulk=True`` is for change sets about as large as the
+table: each side is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -56,9 +58,11 @@ def _present(target: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe:
     return held.join(wanted, _same(held, wanted, keys, null_safe), "left_semi").distinct()
 
 
-def _absent_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """Rows of the (small) change set whose key the (large) table does not hold."""
-    held = _keys_only(_present(target, rows, keys, null_safe), keys)
+def _absent_rows(
+    target: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe: bool, bulk: bool = False
+) -> DataFrame:
+    """Rows of the change set whose key the table does not hold."""
+    held = _keys_only(target if bulk else _present(target, rows, keys, null_safe), keys)
     return rows.join(held, _same(rows, held, keys, null_safe), "left_anti")
 
 
@@ -84,6 +88,7 @@ def merge_upsert(
     as_of: dt.date | dt.datetime | None = None,
     order: Sequence[Column] | None = None,
     null_safe: bool = False,
+    bulk: bool = False,
 ) -> Change:
     """Insert new keys; for known keys take ``update_cols`` from the change.
 
@@ -95,6 +100,8 @@ def merge_upsert(
     keyed = changes if null_safe else changes.filter(_all_present(keys))
     loose = changes.limit(0) if null_safe else changes.filter(~_all_present(keys))
     keyed = _one_per_key(keyed, keys, order)
+    if bulk:
+        return _merge_all(target, keyed, loose, keys, update_cols, as_of, null_safe)
     incoming = keyed.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[F.col(c).alias(f"_n_{c}") for c in update_cols],
@@ -113,6 +120,44 @@ def merge_upsert(
     return Change(_append_rows(kept, inserted), _append_rows(updated, inserted))
 
 
+def _merge_all(
+    target: DataFrame,
+    keyed: DataFrame,
+    loose: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    as_of: dt.date | dt.datetime | None,
+    null_safe: bool,
+) -> Change:
+    """The upsert as one full outer join.
+
+    Table rows with a NULL key match nothing and would all hash alike, so they
+    bypass the join.
+    """
+    joinable = target if null_safe else target.filter(_all_present(keys))
+    given = [c for c in keyed.columns if c in target.columns]
+    incoming = keyed.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        *[F.col(c).alias(f"_n_{c}") for c in given],
+        F.lit(True).alias("_hit"),
+    )
+    left = joinable.withColumn("_old", F.lit(True))
+    merged = left.join(incoming, _same(left, incoming, keys, null_safe), "full")
+    both = F.col("_hit") & F.col("_old")
+    values = {}
+    for c in target.columns:
+        new, old = (F.col(f"_n_{c}") if c in given else F.lit(None)), F.col(c)
+        if c == "updated_at" and as_of is not None:
+            values[c] = F.when(both, at(as_of)).otherwise(F.coalesce(old, new))
+        elif c in update_cols:
+            values[c] = F.when(F.col("_hit"), new).otherwise(old)
+        else:
+            values[c] = F.when(F.col("_old"), old).otherwise(new)
+    merged = merged.select(*[v.alias(c) for c, v in values.items()], "_hit")
+    kept = merged.drop("_hit") if null_safe else merged.drop("_hit").unionByName(target.filter(~_all_present(keys)))
+    return Change(_append_rows(kept, loose), _append_rows(merged.filter("_hit").drop("_hit"), loose))
+
+
 def insert_ignore(
     target: DataFrame,
     new: DataFrame,
@@ -120,6 +165,7 @@ def insert_ignore(
     where: str | None = None,
     null_safe: bool = False,
     order: Sequence[Column] | None = None,
+    bulk: bool = False,
 ) -> Change:
     """Insert rows whose key is not there yet.
 
@@ -134,7 +180,7 @@ def insert_ignore(
         order = [F.asc(c) for c in new.columns if c not in keys] or [F.lit(1)]
     candidates = _one_per_key(new.filter(competes), keys, order)
     rivals = target.filter(where) if where else target
-    fresh = _absent_rows(rivals, candidates, keys, null_safe).unionByName(new.filter(~competes))
+    fresh = _absent_rows(rivals, candidates, keys, null_safe, bulk).unionByName(new.filter(~competes))
     return Change(_append_rows(target, fresh), _append_rows(target.limit(0), fresh))
 
 
@@ -260,14 +306,14 @@ def replace_children(
     return Change(_append_rows(keep, rows), _append_rows(target.limit(0), rows))
 
 
-def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str]) -> Change:
+def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str], bulk: bool = False) -> Change:
     """Remove the pairs that are there, add those that are not.
 
     ``changed`` holds the added rows.
     """
     pairs = _one_per_key(pairs, keys, [F.asc(c) for c in pairs.columns if c not in keys] or [F.lit(1)])
     keep = without_keys(target, pairs.select(*keys))
-    added = _absent_rows(target, pairs, keys, False)
+    added = _absent_rows(target, pairs, keys, False, bulk)
     return Change(_append_rows(keep, added), _append_rows(target.limit(0), added))
 
 

@@ -255,5 +255,5 @@ def _checks(kind: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    bodies = {**BODIES, **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
+    bodies = {**BODIES, "d01_merge_upsert_bulk": BODIES["d01_merge_upsert"], **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
     return {name: with_views(body) for name, body in bodies.items()}

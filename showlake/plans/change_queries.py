@@ -33,10 +33,10 @@ def _watch_ratings(T: Tables) -> DataFrame:
     )
 
 
-def upsert_ratings(T: Tables) -> DataFrame:
+def upsert_ratings(T: Tables, bulk: bool = False) -> DataFrame:
     votes = T["ratings"].select("rating_id", *PAIR, "rating_value", "review_text", "updated_at")
     return changes.merge_upsert(
-        votes, _watch_ratings(T), PAIR, ["rating_value", "review_text"], ORDERS_AS_OF
+        votes, _watch_ratings(T), PAIR, ["rating_value", "review_text"], ORDERS_AS_OF, bulk=bulk
     ).snapshot
 
 
@@ -45,7 +45,7 @@ def ignore_listed(T: Tables) -> DataFrame:
         F.concat(F.lit("n-"), "watch_id").alias("my_list_id"), *PAIR, F.col("watched_at").alias("added_at")
     )
     order = [F.asc("added_at"), F.asc("my_list_id")]
-    return changes.insert_ignore(T["my_list"], started, PAIR, order=order).snapshot
+    return changes.insert_ignore(T["my_list"], started, PAIR, order=order, bulk=True).snapshot
 
 
 def ignore_active_downloads(T: Tables) -> DataFrame:
@@ -246,6 +246,7 @@ def shipping_windows(T: Tables) -> Tables:
 
 CHANGES: dict[str, Query] = {
     "d01_merge_upsert": upsert_ratings,
+    "d01_merge_upsert_bulk": lambda T: upsert_ratings(T, bulk=True),
     "d02_insert_ignore": ignore_listed,
     "d02_insert_ignore_partial": ignore_active_downloads,
     "d03_append_valid": split_reviews,

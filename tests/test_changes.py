@@ -18,24 +18,26 @@ def votes(make):
     return make(VOTES, (1, 1, 1, 3, TS(2023, 1, 1)), (2, 1, 2, 4, TS(2023, 1, 1)), (3, None, 2, 1, TS(2023, 1, 1)))
 
 
-def test_upsert(make, rows, votes):
+@pytest.mark.parametrize("bulk", [False, True])
+def test_upsert(make, rows, votes, bulk):
     new = make(VOTES, (9, 1, 2, 5, TS(2024, 1, 1)), (10, 2, 2, 2, TS(2024, 1, 1)), (11, None, 2, 2, TS(2024, 1, 1)))
-    out = changes.merge_upsert(votes, new, ["profile_id", "content_id"], ["stars"], DAY)
+    out = changes.merge_upsert(votes, new, ["profile_id", "content_id"], ["stars"], DAY, bulk=bulk)
     assert rows(out.snapshot, "rating_id", "stars") == [(1, 3), (2, 5), (3, 1), (10, 2), (11, 2)]
     assert rows(out.changed, "rating_id", "updated_at") == [
         (2, TS(2024, 1, 31)), (10, TS(2024, 1, 1)), (11, TS(2024, 1, 1)),
     ]
-    again = changes.merge_upsert(out.snapshot, new.filter("profile_id is not null"), ["profile_id", "content_id"], ["stars"], DAY)
+    again = changes.merge_upsert(out.snapshot, new.filter("profile_id is not null"), ["profile_id", "content_id"], ["stars"], DAY, bulk=bulk)
     same = ["rating_id", "profile_id", "content_id", "stars"]
     assert rows(again.snapshot, *same) == rows(out.snapshot, *same)
     assert again.snapshot.columns == votes.columns
 
 
-def test_upsert_null_safe(make, rows):
+@pytest.mark.parametrize("bulk", [False, True])
+def test_upsert_null_safe(make, rows, bulk):
     ddl = "id int, season_id long, liked boolean"
     out = changes.merge_upsert(
         make(ddl, (1, None, False), (2, 5, False)), make(ddl, (8, None, True), (9, 6, True)), ["season_id"], ["liked"],
-        null_safe=True,
+        null_safe=True, bulk=bulk,
     )
     assert rows(out.snapshot) == [(1, None, True), (2, 5, False), (9, 6, True)]
 
@@ -49,15 +51,16 @@ def test_upsert_of_a_repeated_key(make, rows, votes):
     assert rows(last.snapshot, "rating_id", "stars")[0] == (1, 2)
 
 
-def test_insert_ignore(make, rows):
+@pytest.mark.parametrize("bulk", [False, True])
+def test_insert_ignore(make, rows, bulk):
     ddl = "id int, k int, state string"
     target = make(ddl, (1, 1, "Active"), (2, 2, "Deleted"), (3, None, "Active"))
     new = make(ddl, (4, 1, "Active"), (5, 2, "Active"), (7, 3, "Active"), (6, 3, "Active"), (8, None, "Active"))
-    out = changes.insert_ignore(target, new, ["k"])
+    out = changes.insert_ignore(target, new, ["k"], bulk=bulk)
     assert rows(out.changed, "id") == [(6,), (8,)]
-    partial = changes.insert_ignore(target, new, ["k"], where="state = 'Active'")
+    partial = changes.insert_ignore(target, new, ["k"], where="state = 'Active'", bulk=bulk)
     assert rows(partial.changed, "id") == [(5,), (6,), (8,)]
-    same = changes.insert_ignore(target, new, ["k"], null_safe=True)
+    same = changes.insert_ignore(target, new, ["k"], null_safe=True, bulk=bulk)
     assert rows(same.changed, "id") == [(6,)]
 
 
