@@ -86,6 +86,15 @@ def for_screen(df: DataFrame, asked: object | None, order: Sequence[Column]) ->
     return df if asked is None else df.orderBy(*order)
 
 
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by name, merged in pairs so that a long list is analysed in few steps."""
+    parts = list(parts)
+    while len(parts) > 1:
+        pairs = [parts[i : i + 2] for i in range(0, len(parts), 2)]
+        parts = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return parts[0]
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_by: Sequence[str], salts: int = 16):
     """Inner join on a key with few distinct values.
 

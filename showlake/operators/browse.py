@@ -18,8 +18,6 @@ from ..functions.frames import for_screen, only_keys, page, top_per_key
 from ..sources.tables import Tables
 
 
-
-
 def newest_release() -> Column:
     return F.desc_nulls_first("release_date")
 

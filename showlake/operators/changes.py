@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import only_keys, top_per_key, without_keys
+from ..functions.frames import only_keys, top_per_key, union_all, without_keys
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
 from ..sources.tables import Tables, with_defaults
 
@@ -580,9 +580,7 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
     report = T[table].limit(0).select(
         F.lit("").alias("child"), F.lit("").alias("column"), F.lit(0).cast("bigint").alias("references")
     )
-    for part in blocked:
-        report = report.union(part)
-    return Deletion(T.replace(**after), report.filter("references > 0"))
+    return Deletion(T.replace(**after), union_all([report, *blocked]).filter("references > 0"))
 
 
 def delete_profiles(T: Tables, keys: DataFrame, gen: int = 2) -> Deletion:

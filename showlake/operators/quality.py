@@ -7,13 +7,13 @@ that holds most rows does not reach a task as rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import only_keys, without_keys
+from ..functions.frames import only_keys, union_all, without_keys
 from ..sources import constraints, schemas
 from ..sources.tables import Tables
 
@@ -39,10 +39,10 @@ class Rule:
     parent: tuple[str, str] | None = None
     reads: tuple[str, ...] = field(default=())
 
-    def applies(self, T: Tables) -> bool:
-        """Whether the tables and columns the rule reads are there."""
+    def applies(self, columns: Mapping[str, set[str]]) -> bool:
+        """Whether the tables and columns (by table) the rule reads are there."""
         tables = [self.table, *self.reads] + ([self.parent[0]] if self.parent else [])
-        return all(t in T for t in tables) and set(self.columns) <= set(T[self.table].columns)
+        return all(t in columns for t in tables) and set(self.columns) <= columns[self.table]
 
 
 def not_null_rules(gen: int = 2) -> list[Rule]:
@@ -318,16 +318,19 @@ def _count(T: Tables, rule: Rule) -> DataFrame:
 
 def _count_row_rules(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
     """All single-row rules of a table in one scan."""
-    sums = T[table].agg(*[F.count(F.when(_broken(r), 1)).alias(f"c{i}") for i, r in enumerate(wanted)])
-    pairs = F.array(
-        *[F.struct(F.lit(r.name).alias("rule"), F.col(f"c{i}").alias("violations")) for i, r in enumerate(wanted)]
+    sums = T[table].selectExpr(
+        *[f"count(case when not coalesce({r.valid}, true) then 1 end) as c{i}" for i, r in enumerate(wanted)]
     )
-    return sums.select(F.lit(table).alias("table"), F.inline(pairs))
+    pairs = ", ".join(f"struct('{r.name}' as rule, c{i} as violations)" for i, r in enumerate(wanted))
+    return sums.selectExpr(f"'{table}' as `table`", f"inline(array({pairs}))")
 
 
 def validate(T: Tables, wanted: Sequence[Rule] | None = None) -> DataFrame:
     """``table, rule, violations`` of every rule whose columns are there."""
-    wanted = [rule for rule in (rules() if wanted is None else wanted) if rule.applies(T)]
+    wanted = rules() if wanted is None else wanted
+    named = {t for r in wanted for t in (r.table, *r.reads, *(r.parent or ())[:1]) if t in T}
+    columns = {t: set(T[t].columns) for t in named}
+    wanted = [rule for rule in wanted if rule.applies(columns)]
     per_table: dict[str, list[Rule]] = {}
     for rule in wanted:
         if rule.kind == "row":
@@ -336,7 +339,4 @@ def validate(T: Tables, wanted: Sequence[Rule] | None = None) -> DataFrame:
     parts += [_count(T, rule) for rule in wanted if rule.kind != "row"]
     if not parts:
         raise ValueError("no rule applies to these tables")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return union_all(parts)

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import union_all
 from ..operators import changes, quality
 from ..sources.derive import ORDERS_AS_OF
 from ..sources.tables import Tables
@@ -193,11 +194,9 @@ def upgrade_plans(T: Tables) -> DataFrame:
 
 
 def _sizes(T: Tables, names: list[str]) -> DataFrame:
-    out = None
-    for name in names:
-        part = T[name].agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return union_all(
+        [T[name].agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows") for name in names]
+    )
 
 
 def delete_inactive_titles(T: Tables) -> DataFrame:

@@ -39,6 +39,9 @@ class Tables(Mapping[str, DataFrame]):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 
