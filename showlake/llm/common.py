@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,16 @@ def texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def in_arrow(df: DataFrame, run, schema, pandas: bool = False) -> DataFrame:
+    """``mapInArrow`` (or ``mapInPandas``) whose workers also look for modules where this package lies."""
+    found = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in found.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        found["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInPandas(run, schema) if pandas else df.mapInArrow(run, schema)
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str) -> DataFrame:
     """Every row with the columns of its group; ``groups`` has one row per key, with the number of its rows in ``size``.
 

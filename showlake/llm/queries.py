@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from showlake.llm import decontaminate, exact_dedup, language_id, sentencepiece, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,14 +20,42 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from showlake.llm import sentencepiece
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    labelled = language_id.identify(documents, language_id.train(documents))
+    return labelled.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": op4_decontaminate,
+    "op5_simhash": op5_simhash,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_language_id": op9_language_id,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_exact_dedup": """
+        select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
+        from (
+            select *, max(doc_id) over (partition by body) as keep_id, count(*) over (partition by body) as group_size
+            from (select doc_id, coalesce(text, '') as body from documents)
+        )
+    """,
+}

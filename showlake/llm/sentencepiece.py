@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from showlake.llm.common import texts
+from showlake.llm.common import in_arrow, texts
 
 SPACE = "▁"
 #: Documents per batch that a worker returns.
@@ -227,7 +227,7 @@ def encode(documents: DataFrame, model: str) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), *lists], schema=schema)
 
-    return texts(documents).mapInArrow(run, "doc_id long, ids array<int>, begins array<int>, ends array<int>")
+    return in_arrow(texts(documents), run, "doc_id long, ids array<int>, begins array<int>, ends array<int>")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -245,7 +245,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.string())], [*part.schema.names, "decoded"])
 
     kept = encoded.select(*(f.name for f in fields_))
-    return kept.mapInArrow(run, kept.withColumn("decoded", F.lit("")).schema)
+    return in_arrow(kept, run, kept.withColumn("decoded", F.lit("")).schema)
 
 
 def digests(documents: DataFrame, model: str) -> DataFrame:
