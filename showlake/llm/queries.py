@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showlake.llm import decontaminate, exact_dedup, language_id, sentencepiece, simhash
+from showlake.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    licenses,
+    pii,
+    sentencepiece,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+from showlake.llm.common import new_path, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +32,20 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.grade(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return licenses.Scanner(documents).scan(documents)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,6 +54,27 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.resolve(warc.captures_of(table(spark, sf_dir, "pages"))))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents inserted, a tenth deleted (committed twice, as after a lost driver), another tenth revised to its text twice over."""
+    import public_tokenizers
+
+    how = ("byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    documents = table(spark, sf_dir, "documents")
+    counts = stored(token_counts.counted(documents, *how), "token-counts")
+    gone, old = counts.filter("doc_id % 10 = 3"), counts.filter("doc_id % 10 = 7")
+    twice = documents.filter("doc_id % 10 = 7").withColumn("text", F.concat_ws(" ", "text", "text"))
+    rollup = token_counts.Rollup(spark, new_path(spark, "token-rollup"))
+    rollup.commit(1, token_counts.inserted(counts))
+    rollup.commit(2, token_counts.deleted(gone))
+    rollup.commit(3, token_counts.revised(old, token_counts.counted(twice, *how)))
+    rollup.commit(2, token_counts.deleted(gone))
+    return rollup.totals()
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.digests(table(spark, sf_dir, "documents"), piece_model())
 
@@ -43,14 +90,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
+    "op3_licenses": op3_licenses,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_revisits": op6_revisits,
+    "op7_token_counts": op7_token_counts,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_revisits": warc.ORACLE,
     "op10_exact_dedup": """
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
         from (
