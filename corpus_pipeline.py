@@ -1,7 +1,8 @@
 """Documents to tokens: the stages of the corpus pipeline, each applied to all that the one before it kept.
 
 Stages work on rows whose doc_id may be null or repeated: decisions are taken
-by doc_id (and text, for exact copies), nulls being a value like any other.
+by doc_id (and text, for exact copies), nulls being a value like any other, so
+rows that share one stay or go together.
 """
 
 from __future__ import annotations
