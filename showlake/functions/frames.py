@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import at
 
-DAY_PARTITION = "event_date"
+DAY_PREFIX = "day_of_"
+
+
+def day_column(column: str) -> str:
+    """The partition column of a table laid out by the day of ``column``."""
+    return f"{DAY_PREFIX}{column}"
+
+
+def undated(df: DataFrame) -> DataFrame:
+    """Without the day a stored table is laid out by, which would be missing or stale in changed rows."""
+    return df.drop(*[c for c in df.columns if c.startswith(DAY_PREFIX)])
 
 
 def top_per_key(
@@ -59,21 +71,35 @@ def without_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys, keys.columns, "left_anti").select(*df.columns)
 
 
+def without_references(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """``without_keys`` for a column that may be NULL: such rows stay, and do not meet in one task of the join."""
+    (column,) = keys.columns
+    present = without_keys(df.filter(F.col(column).isNotNull()), keys.filter(F.col(column).isNotNull()))
+    return present.unionByName(df.filter(F.col(column).isNull()))
+
+
+def look_up(df: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
+    """Left join on columns that are NULL in many rows; those pass by the join and get NULLs."""
+    present = reduce(and_, [F.col(c).isNotNull() for c in columns])
+    known = df.filter(present).join(found, list(columns), "left")
+    return known.unionByName(df.filter(~present), allowMissingColumns=True)
+
+
 def in_range(
     log: DataFrame, column: str, start: dt.date | dt.datetime, end: dt.date | dt.datetime | None = None
 ) -> DataFrame:
     """Log rows from ``start`` to ``end``, both included; plain dates stand for midnight.
 
-    A log stored by day is also cut by its day partitions, so the files of
-    other days are not read.
+    A log stored by the day of this column is also cut by its day partitions,
+    so the files of other days are not read.
     """
     moment, wanted = F.col(column), F.col(column) >= at(start)
     if end is not None:
         wanted = wanted & (moment <= at(end))
-    if DAY_PARTITION in log.columns:
-        wanted = wanted & (F.col(DAY_PARTITION) >= at(start).cast("date"))
+    if day_column(column) in log.columns:
+        wanted = wanted & (F.col(day_column(column)) >= at(start).cast("date"))
         if end is not None:
-            wanted = wanted & (F.col(DAY_PARTITION) <= at(end).cast("date"))
+            wanted = wanted & (F.col(day_column(column)) <= at(end).cast("date"))
     return log.filter(wanted)
 
 

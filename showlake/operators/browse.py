@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import contains_ci, is_blank, ratio, starts_ci, window_open
-from ..functions.frames import for_screen, only_keys, page, top_per_key
+from ..functions.frames import for_screen, look_up, only_keys, page, top_per_key
 from ..sources.tables import Tables
 
 
@@ -217,8 +217,7 @@ def continue_watching(
     titles = T["content"].select("content_id", "title", "poster_url", "content_type")
     episodes = T["episodes"].select("episode_id", F.col("title").alias("episode_title"))
     rows = (
-        cut.join(titles, "content_id")
-        .join(episodes, "episode_id", "left")
+        look_up(cut.join(titles, "content_id"), episodes, "episode_id")
         .select(
             "profile_id",
             "content_id",
@@ -365,9 +364,11 @@ def device_downloads(T: Tables, keys: DataFrame | None = None) -> DataFrame:
     )
     episodes = T["episodes"].select("episode_id", F.col("title").alias("episode_title"))
     rows = (
-        active.join(totals, device)
-        .join(T["content"].select("content_id", "title", "poster_url"), "content_id")
-        .join(episodes, "episode_id", "left")
+        look_up(
+            active.join(totals, device).join(T["content"].select("content_id", "title", "poster_url"), "content_id"),
+            episodes,
+            "episode_id",
+        )
         .select(
             *device,
             "download_id",

@@ -3,11 +3,13 @@
 Nothing is written here; store a result with ``sources.tables.overwrite`` under
 a new path, or ``append`` the changed rows of a log.
 
-Change sets are usually small against their table.  The snapshots are therefore
-built so that the table is the streamed side of every join: with a small change
-set Spark broadcasts that and never shuffles the table.  The change set is read
-several times for it.  ``bulk=True`` is for change sets about as large as the
-table: each side is read and shuffled once.
+Upserts and inserts read each side once and join once; table rows with a NULL
+key pass by the join.  ``bulk=False`` is for change sets that are tiny against
+their table: there the table is the streamed side of every join, so Spark can
+broadcast the change set, read several times for it, and never shuffles the table.
+
+Snapshots do not have the day column that a stored log is laid out by, since it
+would be NULL or stale in changed rows; writing a snapshot adds it again.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import only_keys, top_per_key, union_all, without_keys
+from ..functions.frames import look_up, only_keys, top_per_key, undated, union_all, without_keys, without_references
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
 from ..sources.tables import Tables, with_defaults
 
@@ -62,6 +64,8 @@ def _absent_rows(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], null_safe: bool, bulk: bool = False
 ) -> DataFrame:
     """Rows of the change set whose key the table does not hold."""
+    if bulk and not null_safe:
+        target = target.filter(_all_present(keys))
     held = _keys_only(target if bulk else _present(target, rows, keys, null_safe), keys)
     return rows.join(held, _same(rows, held, keys, null_safe), "left_anti")
 
@@ -88,7 +92,7 @@ def merge_upsert(
     as_of: dt.date | dt.datetime | None = None,
     order: Sequence[Column] | None = None,
     null_safe: bool = False,
-    bulk: bool = False,
+    bulk: bool = True,
 ) -> Change:
     """Insert new keys; for known keys take ``update_cols`` from the change.
 
@@ -97,6 +101,7 @@ def merge_upsert(
     whole title, say).  ``order`` picks the row to use when ``changes`` names a
     key twice; without it that is an error.
     """
+    target = undated(target)
     keyed = changes if null_safe else changes.filter(_all_present(keys))
     loose = changes.limit(0) if null_safe else changes.filter(~_all_present(keys))
     keyed = _one_per_key(keyed, keys, order)
@@ -165,7 +170,7 @@ def insert_ignore(
     where: str | None = None,
     null_safe: bool = False,
     order: Sequence[Column] | None = None,
-    bulk: bool = False,
+    bulk: bool = True,
 ) -> Change:
     """Insert rows whose key is not there yet.
 
@@ -173,6 +178,7 @@ def insert_ignore(
     sides; other rows are always inserted.  Of new rows with the same key the
     first in ``order`` is used (by default in the order of their other columns).
     """
+    target = undated(target)
     competes = F.coalesce(F.expr(where), F.lit(False)) if where else F.lit(True)
     if not null_safe:
         competes = competes & _all_present(keys)
@@ -209,7 +215,8 @@ def number_rows(
 ) -> DataFrame:
     """Give new rows consecutive ids after the highest one of ``target``.
 
-    ``by`` must identify a new row.  Rows are numbered inside hash buckets and
+    ``by`` must identify a new row; it is an error if two rows share it, since
+    their ids could differ from one evaluation to the next.  Rows are numbered inside hash buckets and
     every bucket starts where the one before it ends, so no task sorts all of
     them and a recomputed task gives the same ids.
     """
@@ -217,7 +224,9 @@ def number_rows(
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
-    nth = F.row_number().over(Window.partitionBy("_bucket").orderBy(*by))
+    ordered = Window.partitionBy("_bucket").orderBy(*by)
+    tied = F.raise_error(F.lit(f"two new rows share {', '.join(by)}")).cast("int")
+    nth = F.when(F.row_number().over(ordered) == F.rank().over(ordered), F.row_number().over(ordered)).otherwise(tied)
     base = F.lit(0) if target is None else F.coalesce(target.agg(F.max(id_column)).scalar(), F.lit(0))
     return (
         bucketed.withColumn("_nth", nth)
@@ -228,14 +237,22 @@ def number_rows(
 
 
 def insert_rows(
-    target: DataFrame, rows: DataFrame, table: str, by: Sequence[str], as_of: dt.datetime, gen: int = 2
+    target: DataFrame,
+    rows: DataFrame,
+    table: str,
+    by: Sequence[str],
+    as_of: dt.datetime,
+    gen: int = 2,
+    buckets: int = 1024,
 ) -> Change:
     """Append entity rows with fresh ids and the table's defaults.
 
     ``by`` must identify a new row; ids that ``rows`` brings are kept.
+    ``buckets`` is the number of tasks over which new rows are numbered.
     """
+    target = undated(target)
     (key,) = PRIMARY_KEYS[table]
-    numbered = rows if key in rows.columns else number_rows(target, rows, key, by)
+    numbered = rows if key in rows.columns else number_rows(target, rows, key, by, buckets)
     complete = with_defaults(numbered, table, as_of, gen)
     return Change(target.unionByName(complete, allowMissingColumns=True), complete)
 
@@ -298,6 +315,7 @@ def replace_children(
     New rows of other owners, and those whose ``parent_key`` is not in
     ``parent``, are left out.
     """
+    target = undated(target)
     keep = without_keys(target, owners)
     rows = only_keys(new, owners)
     if parent is not None and parent_key is not None:
@@ -306,11 +324,12 @@ def replace_children(
     return Change(_append_rows(keep, rows), _append_rows(target.limit(0), rows))
 
 
-def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str], bulk: bool = False) -> Change:
+def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str], bulk: bool = True) -> Change:
     """Remove the pairs that are there, add those that are not.
 
     ``changed`` holds the added rows.
     """
+    target = undated(target)
     pairs = _one_per_key(pairs, keys, [F.asc(c) for c in pairs.columns if c not in keys] or [F.lit(1)])
     keep = without_keys(target, pairs.select(*keys))
     added = _absent_rows(target, pairs, keys, False, bulk)
@@ -322,6 +341,7 @@ def update_where(df: DataFrame, predicate: str | Column, values: Mapping[str, ob
 
     ``values`` are literals or Columns; Columns see the old values.
     """
+    df = undated(df)
     hit = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
     new = {c: _literal(v) for c, v in values.items()}
     types = {f.name: f.dataType for f in df.schema}
@@ -548,11 +568,13 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
     """
     references = [fk for fk in foreign_keys(gen) if fk.child in T and fk.parent in T]
     doomed = {table: keys}
+    # Rows that go are taken out first, so that only the rest looks for references to clear.  Rows without a
+    # reference pass by every join; they may be most of a log.
     after: dict[str, DataFrame] = {table: without_keys(T[table], keys)}
     blocked: list[DataFrame] = []
     for child in _parents_first(references, table):
         rows = T[child]
-        cascades = []
+        cascades, cleared = [], []
         for fk in references:
             if fk.child != child or fk.parent not in doomed or fk.column not in rows.columns:
                 continue
@@ -560,23 +582,24 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
             if fk.on_delete == CASCADE:
                 cascades.append(gone)
             elif fk.on_delete == SET_NULL:
-                flagged = after.get(child, rows).join(gone.withColumn("_gone", F.lit(True)), fk.column, "left")
-                after[child] = flagged.withColumn(
-                    fk.column, F.when(F.col("_gone").isNull(), F.col(fk.column))
-                ).select(*rows.columns)
+                cleared.append((fk.column, gone))
             elif fk.on_delete == RESTRICT:
                 hits = only_keys(rows, gone).agg(F.count("*").alias("references"))
                 blocked.append(hits.select(F.lit(child).alias("child"), F.lit(fk.column).alias("column"), "references"))
         if cascades:
             key = PRIMARY_KEYS[child]
             for gone in cascades:
-                after[child] = without_keys(after.get(child, rows), gone)
+                after[child] = without_references(after.get(child, rows), gone)
             if any(fk.parent == child for fk in references):
                 parts = [only_keys(rows, gone).select(*key) for gone in cascades]
                 doomed[child] = parts[0]
                 for part in parts[1:]:
                     doomed[child] = doomed[child].union(part)
                 doomed[child] = doomed[child].distinct()
+        for column, gone in cleared:
+            flagged = look_up(after.get(child, rows), gone.withColumn("_gone", F.lit(True)), column)
+            kept = F.when(F.col("_gone").isNull(), F.col(column))
+            after[child] = flagged.withColumn(column, kept).select(*rows.columns)
     report = T[table].limit(0).select(
         F.lit("").alias("child"), F.lit("").alias("column"), F.lit(0).cast("bigint").alias("references")
     )

@@ -229,11 +229,10 @@ def category_performance(T: Tables) -> DataFrame:
 def favourite_genre(T: Tables) -> DataFrame:
     """The genre every profile spent most seconds on; ties go to the first name."""
     per_title = T["watch_history"].groupBy("profile_id", "content_id").agg(seconds().alias("s"))
+    names = T["genres"].select("genre_id", "genre_name")
+    named = T["content_genres"].select("content_id", "genre_id").join(names, "genre_id").drop("genre_id")
     per_genre = (
-        per_title.join(T["content_genres"], "content_id")
-        .groupBy("profile_id", "genre_id")
-        .agg(F.sum("s").alias("s"))
-        .join(T["genres"].select("genre_id", "genre_name"), "genre_id")
+        per_title.join(named, "content_id")
         .groupBy("profile_id", "genre_name")
         .agg(F.sum("s").alias("total_seconds"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import contains_ci
-from ..functions.frames import for_screen, only_keys, salted_join, top_per_key
+from ..functions.frames import for_screen, look_up, only_keys, salted_join, top_per_key
 from ..sources.tables import Tables
 from .browse import active_titles, average_ratings, newest_release
 
@@ -84,9 +84,7 @@ def effective_ceiling(T: Tables, keys: DataFrame | None = None) -> DataFrame:
     levels = T["content_rating_levels"].select(F.col("rating_code").alias(LIMIT), "sort_order")
     lowest = T["content_rating_levels"].agg(F.min("sort_order")).scalar()
     return (
-        only_keys(T["profiles"], keys)
-        .select("profile_id", LIMIT)
-        .join(levels, LIMIT, "left")
+        look_up(only_keys(T["profiles"], keys).select("profile_id", LIMIT), levels, LIMIT)
         .select("profile_id", F.coalesce("sort_order", lowest).alias("effective_rating_ceiling"))
     )
 
@@ -99,10 +97,9 @@ def playback_allowed(T: Tables, pairs: DataFrame, mode: str = "reference") -> Da
     limits = kids_limits(T, kids_only=False)
     certificates = T["content"].select("content_id", "age_certification")
     allowed = gate(T, mode).withColumn("_ok", F.lit(True))
+    known = pairs.join(limits, "profile_id", "left").join(certificates, "content_id", "left")
     return (
-        pairs.join(limits, "profile_id", "left")
-        .join(certificates, "content_id", "left")
-        .join(allowed, [LIMIT, "age_certification"], "left")
+        look_up(known, allowed, LIMIT, "age_certification")
         .select("profile_id", "content_id", F.coalesce("_ok", F.lit(False)).alias("is_playback_allowed"))
     )
 
@@ -168,9 +165,7 @@ def kids_profiles(T: Tables, keys: DataFrame | None = None) -> DataFrame:
         F.col("rating_code").alias(LIMIT), F.col("description").alias("limit_description")
     )
     rows = (
-        only_keys(T["profiles"], keys)
-        .filter("is_kids")
-        .join(levels, LIMIT, "left")
+        look_up(only_keys(T["profiles"], keys).filter("is_kids"), levels, LIMIT)
         .select("user_id", "profile_id", "profile_name", "avatar_url", LIMIT, "limit_description")
     )
     return for_screen(rows, keys, [F.asc("user_id"), F.asc("profile_name"), F.asc("profile_id")])

@@ -38,11 +38,15 @@ class Rule:
     where: str | None = None
     parent: tuple[str, str] | None = None
     reads: tuple[str, ...] = field(default=())
+    #: Columns that ``where`` names.
+    needs: tuple[str, ...] = field(default=())
 
     def applies(self, columns: Mapping[str, set[str]]) -> bool:
         """Whether the tables and columns (by table) the rule reads are there."""
         tables = [self.table, *self.reads] + ([self.parent[0]] if self.parent else [])
-        return all(t in columns for t in tables) and set(self.columns) <= columns[self.table]
+        if not all(t in columns for t in tables) or not {*self.columns, *self.needs} <= columns[self.table]:
+            return False
+        return self.parent is None or self.parent[1] in columns[self.parent[0]]
 
 
 def not_null_rules(gen: int = 2) -> list[Rule]:
@@ -82,7 +86,14 @@ def unique_rules(gen: int = 2) -> list[Rule]:
 def partial_unique_rules(gen: int = 2) -> list[Rule]:
     sources = [constraints.PARTIAL_UNIQUE] + ([constraints.PARTIAL_UNIQUE_GEN2] if gen == 2 else [])
     return [
-        Rule(table, f"one_{'_'.join(keys)}_where_{where.replace(' ', '_')}", "unique", tuple(keys), where=where)
+        Rule(
+            table,
+            f"one_{'_'.join(keys)}_where_{where.replace(' ', '_')}",
+            "unique",
+            tuple(keys),
+            where=where,
+            needs=tuple(c for c in schemas.schema(table, gen).names if c in where.replace("(", " ").split()),
+        )
         for source in sources
         for table, many in source.items()
         for keys, where in many
@@ -326,10 +337,11 @@ def _count_row_rules(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame
 
 
 def validate(T: Tables, wanted: Sequence[Rule] | None = None) -> DataFrame:
-    """``table, rule, violations`` of every rule whose columns are there."""
+    """``table, rule, violations`` of every rule; NULL violations where its tables or columns are not there."""
     wanted = rules() if wanted is None else wanted
     named = {t for r in wanted for t in (r.table, *r.reads, *(r.parent or ())[:1]) if t in T}
     columns = {t: set(T[t].columns) for t in named}
+    absent = [rule for rule in wanted if not rule.applies(columns)]
     wanted = [rule for rule in wanted if rule.applies(columns)]
     per_table: dict[str, list[Rule]] = {}
     for rule in wanted:
@@ -339,4 +351,8 @@ def validate(T: Tables, wanted: Sequence[Rule] | None = None) -> DataFrame:
     parts += [_count(T, rule) for rule in wanted if rule.kind != "row"]
     if not parts:
         raise ValueError("no rule applies to these tables")
+    if absent:
+        names = F.array(*(F.struct(F.lit(r.table).alias("table"), F.lit(r.name).alias("rule")) for r in absent))
+        unknown = parts[0].sparkSession.range(1).select(F.inline(names))
+        parts.append(unknown.withColumn("violations", F.lit(None).cast("bigint")))
     return union_all(parts)

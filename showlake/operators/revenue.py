@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, at, between, count_if, micros, money_sum, month_of, pct, ratio
+from ..functions.columns import MONEY, count_if, micros, money_sum, month_of, pct, ratio
+from ..functions.frames import in_range
 from ..sources.tables import Tables
-from .subscriptions import months_before
+from .subscriptions import day_before
 
 
 def net() -> Column:
@@ -29,8 +30,7 @@ def _earned(T: Tables, include_refunded: bool) -> DataFrame:
 def monthly_revenue(T: Tables, months: int, as_of: dt.date, include_refunded: bool = False) -> DataFrame:
     """Gross, refunds and net per month with growth over the previous month present."""
     monthly = (
-        _earned(T, include_refunded)
-        .filter(F.col("paid_at") >= months_before(as_of, months))
+        in_range(_earned(T, include_refunded), "paid_at", day_before(as_of, months))
         .groupBy(month_of("paid_at").alias("revenue_month"))
         .agg(
             money_sum(F.col("amount")).alias("gross_revenue"),
@@ -58,8 +58,7 @@ def plan_revenue(T: Tables, start: dt.date, end: dt.date, include_refunded: bool
     many payments reaches the join as one row.
     """
     per_subscription = (
-        _earned(T, include_refunded)
-        .filter(between("paid_at", start, end))
+        in_range(_earned(T, include_refunded), "paid_at", start, end)
         .groupBy("subscription_id")
         .agg(
             F.count("payment_id").alias("n"),
@@ -90,12 +89,12 @@ def plan_revenue(T: Tables, start: dt.date, end: dt.date, include_refunded: bool
 def refund_stats(T: Tables) -> DataFrame:
     """Share of payments with a refund and the days refunds took."""
     took = (micros("refunded_at") - micros("paid_at")).cast("decimal(20,0)")
-    day = F.lit(86_400_000_000).cast("decimal(11,0)")
+    day = F.lit(86_400_000_000).cast("decimal(11,0)")  # microseconds
     sums = T["payments"].filter(F.col("payment_status").isin("completed", "refunded")).agg(
         count_if(F.col("refund_amount") > 0).alias("refunded_payments"),
         F.count("*").alias("total_payments"),
         F.sum(took).alias("_micros"),
-        F.count(took).cast("decimal(11,0)").alias("_n"),
+        F.count(took).cast("decimal(19,0)").alias("_n"),
     )
     return sums.select(
         "refunded_payments",
@@ -113,8 +112,8 @@ def failed_payments(T: Tables, start: dt.date, end: dt.date) -> DataFrame:
         .join(T["subscription_plans"].select("plan_id", "plan_name"), "plan_id")
     )
     return (
-        T["payments"]
-        .filter((F.col("payment_status") == "failed") & between("created_at", start, end))
+        in_range(T["payments"], "created_at", start, end)
+        .filter(F.col("payment_status") == "failed")
         .select("payment_id", "user_id", "subscription_id", "amount", "payment_method", "created_at")
         .join(T["users"].select("user_id", "email"), "user_id")
         .join(plans, "subscription_id")
@@ -154,8 +153,8 @@ def revenue_by_method(T: Tables) -> DataFrame:
 
 def failed_payment_totals(T: Tables, as_of: dt.date, days: int = 30) -> DataFrame:
     """Number and value of recent failures; the value of none is NULL."""
-    since = at(as_of - dt.timedelta(days=days))
-    failed = T["payments"].filter((F.col("payment_status") == "failed") & (F.col("created_at") >= since))
+    recent = in_range(T["payments"], "created_at", as_of - dt.timedelta(days=days))
+    failed = recent.filter(F.col("payment_status") == "failed")
     return failed.agg(
         F.count("*").alias("failed_payment_count"), money_sum(F.col("amount")).alias("failed_payment_value")
     )

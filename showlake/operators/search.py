@@ -83,14 +83,15 @@ def search_conversion(
     off running counts.
     """
     span = minutes * 60_000_000
+    slot = max(span, 1)
     searches = in_range(T["search_history"], "searched_at", start, end)
     sessions = in_range(T["watch_history"], "watched_at", start, _minutes_after(end, minutes))
     group = ["search_query", "profile_id", "slot"]
 
     t = F.col("t")
-    here = F.struct(_floor(t, span).alias("slot"), t.alias("from"), F.lit(None).cast("bigint").alias("upto"))
+    here = F.struct(_floor(t, slot).alias("slot"), t.alias("from"), F.lit(None).cast("bigint").alias("upto"))
     following = F.struct(
-        (_floor(t, span) + span).alias("slot"),
+        (_floor(t, slot) + slot).alias("slot"),
         F.lit(None).cast("bigint").alias("from"),
         (t + span).alias("upto"),
     )
@@ -107,7 +108,7 @@ def search_conversion(
     marks = bounds.select(*group, F.inline(ends)).filter("t is not null")
 
     moments = sessions.select("profile_id", micros("watched_at").alias("t")).groupBy("profile_id", "t")
-    counted = moments.agg(F.count("*").alias("n")).withColumn("slot", _floor(t, span))
+    counted = moments.agg(F.count("*").alias("n")).withColumn("slot", _floor(t, slot))
 
     is_from = F.col("kind") == "from"
     per_slot = (
@@ -145,7 +146,7 @@ def _running_counts(rows: DataFrame) -> DataFrame:
     carried by one row, runs over the seconds of the slot.  A busy profile is
     so spread over its seconds, and no join is needed to read the counts.
     """
-    second = Window.partitionBy("profile_id", "second")
+    second = Window.partitionBy("profile_id", "slot", "second")
     in_order = second.orderBy("t")
     slot = Window.partitionBy("profile_id", "slot")
     first = F.row_number().over(in_order) == 1

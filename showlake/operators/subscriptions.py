@@ -6,6 +6,7 @@ few plans, so joining first would put most rows under one key.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,9 +25,15 @@ def is_active() -> Column:
     return F.col("status") == "active"
 
 
+def day_before(as_of: dt.date, months: int) -> dt.date:
+    """The same day ``months`` earlier (last day of a shorter month)."""
+    years, month = divmod(as_of.year * 12 + as_of.month - 1 - months, 12)
+    return dt.date(years, month + 1, min(as_of.day, calendar.monthrange(years, month + 1)[1]))
+
+
 def months_before(as_of: dt.date, months: int) -> Column:
-    """Midnight of the same day ``months`` earlier (last day of a shorter month)."""
-    return F.add_months(F.lit(as_of), -months).cast("timestamp_ntz")
+    """Midnight of the same day ``months`` earlier."""
+    return at(day_before(as_of, months))
 
 
 def cancellations_mom(T: Tables, months: int, as_of: dt.date) -> DataFrame:
@@ -284,7 +291,7 @@ def exec_dashboard(T: Tables, start: dt.date, end: dt.date) -> DataFrame:
         )
     )
     users = T["users"].filter(between("created_at", start, end))
-    paid = T["payments"].filter((F.col("payment_status") == "completed") & between("paid_at", start, end))
+    paid = in_range(T["payments"], "paid_at", start, end).filter(F.col("payment_status") == "completed")
     net = F.sum(F.col("amount") - F.col("refund_amount")).cast(MONEY)
     watched = in_range(T["watch_history"], "watched_at", start, end)
     views = watched.agg(F.struct(F.count("*").alias("n"), F.countDistinct("profile_id").alias("viewers"))).scalar()

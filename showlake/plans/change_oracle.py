@@ -250,10 +250,19 @@ def _count(rule: quality.Rule) -> str:
 
 
 def _checks(kind: str) -> str:
-    known = [r for r in quality_rules(kind) if set(r.columns) <= set(DERIVED_COLUMNS[r.table])]
-    return "\nunion all ".join(_count(rule) for rule in known)
+    def there(rule: quality.Rule) -> bool:
+        have = set(DERIVED_COLUMNS[rule.table])
+        return {*rule.columns, *rule.needs} <= have and (not rule.parent or rule.parent[1] in DERIVED_COLUMNS[rule.parent[0]])
+
+    return "\nunion all ".join(_count(r) if there(r) else _unknown(r) for r in quality_rules(kind))
+
+
+def _unknown(rule: quality.Rule) -> str:
+    name = rule.name.replace("'", "''")
+    return f"""select '{rule.table}' as "table", '{name}' as rule, cast(null as bigint) as violations"""
 
 
 def statements() -> dict[str, str]:
-    bodies = {**BODIES, "d01_merge_upsert_bulk": BODIES["d01_merge_upsert"], **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
+    forms = {f"d01_merge_upsert_{form}": BODIES["d01_merge_upsert"] for form in ("bulk", "small")}
+    bodies = {**BODIES, **forms, **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
     return {name: with_views(body) for name, body in bodies.items()}

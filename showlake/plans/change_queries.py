@@ -34,7 +34,7 @@ def _watch_ratings(T: Tables) -> DataFrame:
     )
 
 
-def upsert_ratings(T: Tables, bulk: bool = False) -> DataFrame:
+def upsert_ratings(T: Tables, bulk: bool = True) -> DataFrame:
     votes = T["ratings"].select("rating_id", *PAIR, "rating_value", "review_text", "updated_at")
     return changes.merge_upsert(
         votes, _watch_ratings(T), PAIR, ["rating_value", "review_text"], ORDERS_AS_OF, bulk=bulk
@@ -246,6 +246,7 @@ def shipping_windows(T: Tables) -> Tables:
 CHANGES: dict[str, Query] = {
     "d01_merge_upsert": upsert_ratings,
     "d01_merge_upsert_bulk": lambda T: upsert_ratings(T, bulk=True),
+    "d01_merge_upsert_small": lambda T: upsert_ratings(T, bulk=False),
     "d02_insert_ignore": ignore_listed,
     "d02_insert_ignore_partial": ignore_active_downloads,
     "d03_append_valid": split_reviews,

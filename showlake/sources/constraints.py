@@ -216,10 +216,11 @@ RANGES = {
 
 # Rules between columns of one row.
 ROW_RULES = {
-    "content": {"series_without_duration": "content_type = 'Movie' or duration_minutes is null"},
+    "content": {"series_without_duration": "(content_type = 'Series' and duration_minutes is null) or content_type = 'Movie'"},
     "content_availability": {"window_order": "available_to > available_from"},
     "subscriptions": {
-        "billing_date_while_running": "(status in ('active', 'paused')) = (next_billing_date is not null)",
+        "billing_date_while_running": "(status in ('active', 'paused') and next_billing_date is not null) "
+        "or (status in ('cancelled', 'expired') and next_billing_date is null)",
         "end_after_start": "end_date > start_date",
     },
     "payments": {

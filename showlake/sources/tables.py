@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import DAY_PARTITION
+from ..functions.frames import day_column, undated
 from . import schemas
 
 # The age-rating scale, most to least suitable for children per system.
@@ -92,23 +92,27 @@ def with_defaults(df: DataFrame, table: str, as_of: dt.datetime, gen: int = 2) -
     return df.select(*columns)
 
 
-def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def append(df: DataFrame, path: str, partition_by: str | None = None, files_per_day: int = 4) -> None:
     """Append rows to a stored table or log.
 
     ``partition_by`` names a date or timestamp column; files are laid out by
-    its day so later reads of a date range skip the other days.
+    its day so later reads of a date range skip the other days.  Rows of a day
+    go to at most ``files_per_day`` files, however many tasks write.
     """
-    _write(df, path, partition_by, "append")
+    _write(df, path, partition_by, "append", files_per_day)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None, files_per_day: int = 4) -> None:
     """Rebuild a stored table.  ``path`` must not be one that ``df`` reads."""
-    _write(df, path, partition_by, "overwrite")
+    _write(df, path, partition_by, "overwrite", files_per_day)
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None, mode: str) -> None:
+def _write(df: DataFrame, path: str, partition_by: str | None, mode: str, files_per_day: int) -> None:
+    plain = undated(df)
     if partition_by is None:
-        df.write.mode(mode).parquet(path)
+        plain.write.mode(mode).parquet(path)
     else:
-        dated = df.withColumn(DAY_PARTITION, F.col(partition_by).cast("date"))
-        dated.write.mode(mode).partitionBy(DAY_PARTITION).parquet(path)
+        day = day_column(partition_by)
+        part = F.pmod(F.xxhash64(*plain.columns), F.lit(files_per_day))
+        dated = plain.withColumn(day, F.col(partition_by).cast("date")).repartition(F.col(day), part)
+        dated.write.mode(mode).partitionBy(day).parquet(path)

@@ -288,3 +288,9 @@ def test_deletes(make, rows):
     assert rows(changes.delete_keys(log, make("profile_id long", (1,))).snapshot, "watch_id") == [(2,), (3,)]
     gone = changes.delete_where(log, "profile_id = 2")
     assert rows(gone.snapshot, "watch_id") == [(1,), (3,)] and rows(gone.changed, "watch_id") == [(2,)]
+
+
+def test_ids_need_a_unique_order(make):
+    new = make("name string", ("a",), ("a",))
+    with pytest.raises(Exception, match="share name"):
+        changes.number_rows(None, new, "id", ["name"]).collect()

@@ -91,7 +91,7 @@ def test_small_change_sets_do_not_shuffle_the_table(spark, stored, make, tmp_pat
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     try:
         kept = changes.delete_keys(stored["watch_history"], new.select("profile_id")).snapshot
-        merged = changes.merge_upsert(stored["ratings"], new, ["profile_id", "content_id"], ["rating_value"])
+        merged = changes.merge_upsert(stored["ratings"], new, ["profile_id", "content_id"], ["rating_value"], bulk=False)
         for frame in (kept, merged.snapshot):
             text = frame._jdf.queryExecution().executedPlan().toString()
             assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text

@@ -10,7 +10,18 @@ D = dt.date
 
 
 def counts(T, rules):
-    return {(r.table, r.rule): r.violations for r in quality.validate(T, rules).collect()}
+    """Violations of the rules that could be checked; the others have to be reported as well."""
+    found = {(r.table, r.rule): r.violations for r in quality.validate(T, rules).collect()}
+    assert set(found) == {(r.table, r.name) for r in rules}
+    return {rule: n for rule, n in found.items() if n is not None}
+
+
+def test_rules_without_their_columns_are_reported(make):
+    ratings = make("rating_id long, profile_id long, content_id long", (1, 1, 1), (1, 1, 1))
+    rows = quality.validate({"ratings": ratings}, quality.rules(2, "v2", "v4")).collect()
+    found = {(r.table, r.rule): r.violations for r in rows}
+    assert found.pop(("ratings", "primary_key")) == 2
+    assert set(found.values()) == {None} and any("season_id" in rule for t, rule in found if t == "ratings")
 
 
 def test_rule_counts():

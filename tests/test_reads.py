@@ -384,7 +384,7 @@ def _brute_conversion(searches, sessions, minutes):
     return out
 
 
-@pytest.mark.parametrize("seed, minutes", [(1, 5), (2, 1), (3, 30)])
+@pytest.mark.parametrize("seed, minutes", [(1, 5), (2, 1), (3, 30), (4, 0)])
 def test_conversion_against_all_pairs(make, seed, minutes):
     import random
 

@@ -1,9 +1,10 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from showlake.operators import search
+from showlake.operators import changes, revenue, search
 from showlake.sources import constraints, schemas, tables
 
 NOW = dt.datetime(2024, 1, 1, 12)
@@ -73,8 +74,57 @@ def test_write_and_load(spark, make, tmp_path):
     assert search.search_top(T, dt.date(2024, 1, 1), dt.date(2024, 1, 2)).count() == 1
     report = search.search_top(T, dt.date(2024, 2, 1), dt.date(2024, 2, 2))
     plan = report._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert (tmp_path / "search_history" / "event_date=2024-01-01").exists()
+    assert "PartitionFilters: [isnotnull(day_of_searched_at" in plan
+    assert (tmp_path / "search_history" / "day_of_searched_at=2024-01-01").exists()
+
+
+def test_changes_to_a_log_laid_out_by_day(spark, make, tmp_path):
+    """Inserted, ignored, merged, toggled and moved rows are in the range reports of the snapshot and of its copy on disk."""
+    ddl = "search_id long, profile_id long, search_query string, searched_at timestamp_ntz"
+    old = tables.with_defaults(make(ddl, (1, 1, "x", NOW)), "search_history", NOW)
+    new = make(ddl, (2, 1, "x", NOW))
+    tables.append(old, f"{tmp_path}/search_history", "searched_at")
+    log = tables.load_tables(spark, str(tmp_path))["search_history"]
+    assert "day_of_searched_at" in log.columns
+
+    def searches(frame, day):
+        report = search.search_top({"search_history": frame}, day, day + dt.timedelta(days=1)).collect()
+        return sum(r.search_count for r in report)
+
+    later = NOW + dt.timedelta(days=40)
+    moved = changes.update_where(log, "search_id = 1", {"searched_at": later}).snapshot
+    assert searches(moved, later.date()) == 1 and searches(moved, NOW.date()) == 0
+    snapshots = [
+        changes.insert_rows(log, new, "search_history", ["search_id"], NOW).snapshot,
+        changes.insert_ignore(log, new, ["search_id"]).snapshot,
+        changes.insert_ignore(log, new, ["search_id"], bulk=False).snapshot,
+        changes.merge_upsert(log, new, ["search_id"], ["search_query"]).snapshot,
+        changes.merge_upsert(log, new, ["search_id"], ["search_query"], bulk=False).snapshot,
+        changes.toggle(log, new, ["search_id"]).snapshot,
+    ]
+    for i, snapshot in enumerate(snapshots):
+        assert searches(snapshot, NOW.date()) == 2
+        tables.overwrite(snapshot, f"{tmp_path}/{i}/search_history", "searched_at")
+        assert searches(tables.load_tables(spark, f"{tmp_path}/{i}")["search_history"], NOW.date()) == 2
+
+
+def test_days_are_written_in_few_files(spark, make, tmp_path):
+    rows = spark.range(400).repartition(16).selectExpr("id", "timestampadd(DAY, id % 2, timestamp_ntz'2024-01-01') as t")
+    tables.append(rows, f"{tmp_path}/log", "t", files_per_day=2)
+    for day in ("2024-01-01", "2024-01-02"):
+        assert 1 <= len(list((tmp_path / "log" / f"day_of_t={day}").glob("*.parquet"))) <= 2
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 400
+
+
+def test_payments_by_day(spark, make, tmp_path):
+    ddl = "payment_id long, payment_status string, amount decimal(10,2), refund_amount decimal(10,2), paid_at timestamp_ntz, created_at timestamp_ntz"
+    rows = make(ddl, (1, "completed", Decimal(5), Decimal(0), NOW, NOW - dt.timedelta(days=99)), (2, "failed", Decimal(7), Decimal(0), None, NOW))
+    tables.append(tables.with_defaults(rows, "payments", NOW), f"{tmp_path}/payments", "paid_at")
+    T = tables.load_tables(spark, str(tmp_path))
+    report = revenue.monthly_revenue(T, 12, NOW.date() + dt.timedelta(days=1))
+    assert "PartitionFilters: [isnotnull(day_of_paid_at" in report._jdf.queryExecution().executedPlan().toString()
+    assert [r.gross_revenue for r in report.collect()] == [5]
+    assert revenue.failed_payment_totals(T, NOW.date()).first().failed_payment_count == 1  # by another column than the layout
 
 
 def test_rating_levels(spark):
