@@ -127,6 +127,25 @@ BODIES = {
                                               else interval 1 month end as date)
                 else next_billing_date end as next_billing_date)
     from subscriptions""",
+    "d08_verify_email": """
+    select * exclude (hit) replace (email_verified or hit as email_verified,
+           case when hit then 'active' else account_status end as account_status)
+    from (select *, account_status = 'pending' and user_id % 2 = 0 as hit from users)""",
+    "d08_pause": """
+    select * replace (case when status = 'active' and auto_renew then 'paused' else status end as status)
+    from subscriptions""",
+    "d08_resume": """
+    select * replace ('active' as status, date '2001-07-30' as next_billing_date)
+    from subscriptions where status = 'paused' and user_id % 2 = 0""",
+    "d08_retire": """
+    select * replace ('Inactive' as status, timestamp '2001-06-30' as updated_at)
+    from content where release_date is null""",
+    "d09_renew_monthly": """
+    select * replace (date '2001-09-30' as next_billing_date) from subscriptions
+    where status = 'active' and auto_renew and next_billing_date = date '2001-08-30'""",
+    "d13_set_null": """
+    select * replace (case when episode_id % 3 <> 0 then episode_id end as episode_id) from watch_history""",
+    "d14_delete_where": "select * from search_history where result_count = 0",
     "d09_apply_payments": """with p as (
         select search_id + 1 as subscription_id, result_count > 0 as done from search_history
         qualify row_number() over (partition by search_id // 2 order by 'p-' || cast(search_id as varchar)) = 1),

@@ -214,6 +214,12 @@ def delete_pending_users(T: Tables) -> DataFrame:
     return changes.delete_cascade(T, "users", gone).blocked
 
 
+def delete_episodes(T: Tables) -> DataFrame:
+    """Sessions once every third episode is gone: they stay and lose their reference."""
+    gone = T["episodes"].filter("episode_id % 3 = 0").select("episode_id")
+    return changes.delete_cascade(T, "episodes", gone).tables["watch_history"]
+
+
 def clear_history(T: Tables) -> DataFrame:
     users = T["users"].filter("account_status = 'suspended'").select("user_id")
     profiles = T["profiles"].join(users, "user_id", "left_semi").select("profile_id")
@@ -258,13 +264,20 @@ CHANGES: dict[str, Query] = {
     "d08_expire_downloads": lambda T: changes.expire_downloads(T["downloads"], ORDERS_AS_OF).snapshot,
     "d08_cancel": cancel_off_renewal,
     "d08_patch": patch_content,
+    "d08_verify_email": lambda T: changes.verify_email(T["users"], "user_id % 2 = 0", ORDERS_AS_OF).snapshot,
+    "d08_pause": lambda T: changes.set_status(T["subscriptions"], "auto_renew", "active", "paused", ORDERS_AS_OF).snapshot,
+    "d08_resume": lambda T: changes.resume(T["subscriptions"], "user_id % 2 = 0", ORDERS_AS_OF).changed,
+    "d08_retire": lambda T: changes.set_status(T["content"], "release_date is null", None, "Inactive", ORDERS_AS_OF).changed,
     "d09_renew": lambda T: changes.renew(T["subscriptions"], dt.date(2001, 8, 30), by_cycle=True).snapshot,
+    "d09_renew_monthly": lambda T: changes.renew(T["subscriptions"], dt.date(2001, 8, 30)).changed,
     "d09_apply_payments": bill_subscriptions,
     "d10_refund": refund_wallets,
     "d11_set_exclusive": last_profile_primary,
     "d12_change_plan": upgrade_plans,
     "d13_delete_cascade": delete_inactive_titles,
     "d13_delete_blocked": delete_pending_users,
+    "d13_set_null": delete_episodes,
+    "d14_delete_where": lambda T: changes.delete_where(T["search_history"], "result_count = 0").changed,
     "d14_delete_keys": clear_history,
     **{f"{kind}_rules": check(kind) for kind in quality.KINDS},
     "v9_overlaps": lambda T: quality.validate(shipping_windows(T), quality.overlap_rules()),

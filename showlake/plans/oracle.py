@@ -561,5 +561,16 @@ BODIES = {
 }
 
 
+#: The same rows for the keys that a screen asks for.
+ASKED = {
+    "r10_resume_points_asked": ("r10_resume_points", """exists (select 1 from downloads d where d.profile_id = r.profile_id
+        and d.content_id = r.content_id and d.episode_id is not distinct from r.episode_id)"""),
+    "r11_continue_watching_asked": ("r11_continue_watching", "profile_id in (select profile_id from profiles where is_kids)"),
+    "r28_cast_list_asked": ("r28_cast_list", "content_id in (select content_id from content where status = 'Active')"),
+    "k04_one_genre": ("k04_kids_genre_row", "genre_id = 4"),
+}
+
+
 def statements() -> dict[str, str]:
-    return {name: with_views(body) for name, body in BODIES.items()}
+    asked = {name: f"select * from ({BODIES[whole]}) r where {wanted}" for name, (whole, wanted) in ASKED.items()}
+    return {name: with_views(body) for name, body in {**BODIES, **asked}.items()}

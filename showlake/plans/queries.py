@@ -22,6 +22,10 @@ def _pairs(T: Tables) -> DataFrame:
     return T["ratings"].select("profile_id", "content_id")
 
 
+def _kids(T: Tables) -> DataFrame:
+    return T["profiles"].filter("is_kids").select("profile_id")
+
+
 READS: dict[str, Query] = {
     "r01_catalog_search": lambda T: browse.catalog_search(T, TERM),
     "r02_search_count": lambda T: browse.search_count(T, TERM),
@@ -33,7 +37,11 @@ READS: dict[str, Query] = {
     "r08_available_in": lambda T: browse.available_in(T, ORDERS_AS_OF),
     "r09_leaving_soon": lambda T: browse.leaving_soon(T, ORDERS_AS_OF, 60),
     "r10_resume_points": lambda T: browse.resume_points(T),
+    "r10_resume_points_asked": lambda T: browse.resume_points(
+        T, T["downloads"].select("profile_id", "content_id", "episode_id")
+    ),
     "r11_continue_watching": lambda T: browse.continue_watching(T),
+    "r11_continue_watching_asked": lambda T: browse.continue_watching(T, _kids(T)),
     "r11_unfinished": lambda T: browse.continue_watching(T, k=None, started_only=False),
     "r12_next_episode": lambda T: browse.next_episode(T),
     "r13_ratings_for": lambda T: browse.ratings_for(T, T["my_list"].select("profile_id", "content_id")),
@@ -56,6 +64,7 @@ READS: dict[str, Query] = {
     "r26_title_search": lambda T: browse.title_search(T, TERM),
     "r27_content_detail": lambda T: browse.content_detail(T),
     "r28_cast_list": lambda T: browse.cast_list(T),
+    "r28_cast_list_asked": lambda T: browse.cast_list(T, T["content"].filter("status = 'Active'").select("content_id")),
     "r29_filmography": lambda T: browse.filmography(T),
     "r30_actor_search": lambda T: browse.actor_search(T, "9"),
     "r31_admin_content_list": lambda T: browse.admin_content_list(T, limit=None),
@@ -71,6 +80,7 @@ READS: dict[str, Query] = {
     "k02_effective_ceiling": lambda T: kids.effective_ceiling(T),
     "k03_playback_allowed": lambda T: kids.playback_allowed(T, _pairs(T)),
     "k04_kids_genre_row": lambda T: kids.kids_genre_row(T),
+    "k04_one_genre": lambda T: kids.kids_genre_row(T, 4),
     "k05_kids_home": lambda T: kids.kids_home(T),
     "k06_kids_fallback": lambda T: kids.kids_fallback(T),
     "k07_kids_search": lambda T: kids.kids_search(T, TERM),
