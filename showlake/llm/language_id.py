@@ -11,7 +11,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,6 +32,7 @@ SCRIPT_SHARE = 0.01
 #: Scored words that a worker remembers, and documents that are labelled together.
 MEMO, BATCH = 300_000, 256
 WORD = re.compile(r"[^\W\d_]+")
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: First and last code points of scripts (Unicode blocks).
 SCRIPTS = [
@@ -57,14 +58,15 @@ SCRIPTS = [
 ]
 
 
+@lru_cache(maxsize=65_536)
+def script_of(letter: str) -> str:
+    point = ord(letter)
+    return next((name for name, first, last in SCRIPTS if first <= point <= last), "other")
+
+
 def script(word: str) -> str:
     """The script of the first letter in a known range; ``other`` without one."""
-    for c in word:
-        point = ord(c)
-        for name, first, last in SCRIPTS:
-            if first <= point <= last:
-                return name
-    return "other"
+    return next((s for s in map(script_of, word) if s != "other"), "other")
 
 
 def has_letter(word: str) -> bool:
@@ -72,54 +74,80 @@ def has_letter(word: str) -> bool:
     return word.isalpha() or any(map(str.isalpha, word))
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of the character n-grams of a lower-case word with its ends marked."""
-    raw = f"<{word}>"
-    return [crc32(raw[i : i + n].encode()) % BUCKETS for n in ORDERS for i in range(len(raw) - n + 1)]
+def grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the buckets of the n-grams of words with their ends marked, and where each word's begin."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(codes))  # letters from here to the end of the word
+    hashes = np.zeros(len(codes), np.uint64)
+    for n in ORDERS:
+        ahead = codes[n - 1 :]
+        hashes[: len(ahead)] = (hashes[: len(ahead)] + ahead + np.uint64(1)) * MIX
+        fits = left >= n
+        count = sizes - n + 1
+        yield (hashes[fits] >> np.uint64(40)) % np.uint64(BUCKETS), np.cumsum(count) - count
 
 
 @dataclass
 class Model:
-    """Log shares of n-gram buckets and the scripts of each language."""
+    """Log shares of n-gram buckets and the scripts of each language, and the words scored so far."""
 
     languages: list[str]
     logs: np.ndarray
     scripts: dict[str, np.ndarray]
     switch: float = SWITCH
     memo: dict[str, int] = field(default_factory=dict)
-    rows: list[np.ndarray] = field(default_factory=list)
+    scores: np.ndarray | None = None
+    beliefs: np.ndarray | None = None
 
     def known(self, words: list[str]) -> np.ndarray:
-        """The places of the words in the table of scores."""
-        for word in {w for w in words if w not in self.memo}:
-            self.memo[word] = len(self.rows)
-            self.rows.append(self.score(word))
+        """The places of the words in the tables of scores and beliefs."""
+        new = [w for w in dict.fromkeys(words) if w not in self.memo]
+        if new and len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
+            new = list(dict.fromkeys(words))
+        if new:
+            self.remember(new, self.score(new))
         return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
 
-    def score(self, word: str) -> np.ndarray:
-        """Log odds against the best language, at least -FLOOR; NaN where no language uses the script."""
-        may = self.scripts.get(script(word))
-        if may is None:
-            return np.full(len(self.languages), np.nan)
-        s = self.logs[grams(word[:64])].sum(axis=0)
-        s = np.where(may, s, -np.inf)
-        return np.maximum(s - s.max(), -FLOOR)
+    def remember(self, words: list[str], scores: np.ndarray) -> None:
+        start = len(self.memo)
+        blank = np.isnan(scores[:, :1])
+        odds = np.exp(scores)
+        if self.scores is None or start + len(words) > len(self.scores):
+            grown = np.zeros((max(MEMO, start + len(words)), len(self.languages)))
+            old = [t[:start] for t in (self.scores, self.beliefs) if t is not None]
+            self.scores, self.beliefs = grown, grown.copy()
+            for table, kept in zip((self.scores, self.beliefs), old):
+                table[:start] = kept
+        rows = slice(start, start + len(words))
+        self.scores[rows] = np.where(blank, 0.0, scores)
+        self.beliefs[rows] = np.where(blank, 0.0, odds / odds.sum(axis=1, keepdims=True))
+        self.memo.update(zip(words, range(start, start + len(words)), strict=True))
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log odds of each word against its best language, at least -FLOOR; NaN where no language uses the script."""
+        found = sum(np.add.reduceat(self.logs[buckets], starts, axis=0) for buckets, starts in grams([w[:64] for w in words]))
+        none = np.zeros(len(self.languages), bool)
+        may = np.array([self.scripts.get(script(w), none) for w in words])
+        found = np.where(may, found, -np.inf)
+        best = found.max(axis=1, keepdims=True)
+        return np.maximum(found - np.where(np.isinf(best), np.nan, best), -FLOOR)
 
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The best language of each word, given a penalty for each switch."""
-        best, back = scores[0].copy(), np.zeros(scores.shape, np.int64)
-        here = np.arange(scores.shape[1])
-        for t in range(1, len(scores)):
-            top = int(best.argmax())
-            switched = best[top] - self.switch
-            stay = best >= switched
-            back[t] = np.where(stay, here, top)
-            best = np.where(stay, best, switched) + scores[t]
-        out = np.empty(len(scores), np.int64)
-        out[-1] = best.argmax()
-        for t in range(len(scores) - 1, 0, -1):
-            out[t - 1] = back[t, out[t]]
-        return out
+        rows = scores.tolist()
+        best, back = rows[0], []
+        for row in rows[1:]:
+            most = max(best)
+            top, switched = best.index(most), most - self.switch
+            back.append([k if b >= switched else top for k, b in enumerate(best)])
+            best = [(b if b >= switched else switched) + s for b, s in zip(best, row)]
+        out = [best.index(max(best))]
+        for step in reversed(back):
+            out.append(step[out[-1]])
+        return np.array(out[::-1])
 
     def label(self, batch: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans) of each text.
@@ -127,24 +155,16 @@ class Model:
         One language is the best path as it stands if no run of words gains
         more than one switch by leaving it; only other texts go through Viterbi.
         """
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-            self.rows.clear()
         words = [[w for w in WORD.findall(t.lower()) if has_letter(w)] for t in batch]
         flat = [w for ws in words for w in ws]
         if not flat:
             return [(UNKNOWN, 0.0, [])] * len(batch)
         places = self.known(flat)
-        table = np.array(self.rows)
-        blank = np.isnan(table[:, 0])
-        posterior = np.exp(table)
-        posterior = np.where(blank[:, None], 0.0, posterior / posterior.sum(axis=1, keepdims=True))
-        table = np.where(blank[:, None], 0.0, table)
         ends = np.cumsum([len(ws) for ws in words])
         starts = ends - [len(ws) for ws in words]
         full = np.flatnonzero(ends > starts)
         owner = np.repeat(np.arange(len(full)), (ends - starts)[full])
-        scores = table[places]
+        scores = self.scores[places]
         whole = np.add.reduceat(scores, starts[full], axis=0).argmax(axis=1)
         least = np.zeros(len(full))
         for k in range(len(self.languages)):
@@ -161,7 +181,7 @@ class Model:
             labels = self.path(scores[a:b]) if mixed else np.full(b - a, whole[j])
             weight = np.bincount(labels, sizes[a:b], len(self.languages))
             chosen = int(weight.argmax())
-            agree = posterior[places[a:b], chosen] * (labels == chosen)
+            agree = self.beliefs[places[a:b], chosen] * (labels == chosen)
             score = float((agree * sizes[a:b]).sum() / sizes[a:b].sum())
             out[i] = self.languages[chosen], min(1.0, round(score, 6)), self._spans(batch[i], labels)
         return out
@@ -204,15 +224,21 @@ def train(documents: DataFrame, rows_per_language: int = TRAIN_ROWS, switch: flo
     chosen = chosen.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[tuple[str, str], Counter] = {}
+        seen: dict[tuple[str, str], np.ndarray] = {}
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                for word, n in Counter(WORD.findall(text.lower())).items():
-                    found = seen.setdefault((lang, script(word)), Counter())
-                    for gram in grams(word[:64]):
-                        found[gram] += n
-        rows = [(lang, kind, gram, n) for (lang, kind), found in seen.items() for gram, n in found.items()]
-        yield pd.DataFrame(rows, columns=["lang", "script", "gram", "n"])
+            words = Counter((lang, w[:64]) for lang, t in zip(batch["lang"], batch["text"], strict=True) for w in WORD.findall(t.lower()))
+            groups: dict[tuple[str, str], list[tuple[str, int]]] = {}
+            for (lang, word), n in words.items():
+                groups.setdefault((lang, script(word)), []).append((word, n))
+            for key, found in groups.items():
+                tally = seen.setdefault(key, np.zeros(BUCKETS, np.int64))
+                times = np.array([n for _, n in found])
+                for n, (buckets, _) in zip(ORDERS, grams([w for w, _ in found]), strict=True):
+                    each = np.array([len(w) + 3 - n for w, _ in found])
+                    np.add.at(tally, buckets.astype(np.int64), np.repeat(times, each))
+        for (lang, kind), tally in seen.items():
+            at = np.flatnonzero(tally)
+            yield pd.DataFrame({"lang": lang, "script": kind, "gram": at.astype(np.int32), "n": tally[at]})
 
     counted = in_arrow(chosen.select("lang", "text"), count, "lang string, script string, gram int, n long", pandas=True)
     counted = counted.groupBy("lang", "script", "gram").agg(F.sum("n").alias("n")).toPandas()
