@@ -76,13 +76,8 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
 
     def genres() -> DataFrame:
         n = F.col("n_nationkey")
-        return (
-            raw["nation"]
-            .filter(n < 12)
-            .select(
-                (n + 1).cast("bigint").alias("genre_id"),
-                F.concat(F.lit("Genre "), "n_name").alias("genre_name"),
-            )
+        return raw["nation"].select(
+            (n + 1).cast("bigint").alias("genre_id"), F.concat(F.lit("Genre "), "n_name").alias("genre_name")
         )
 
     def languages() -> DataFrame:
@@ -388,6 +383,7 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
 
     def watch_history() -> DataFrame:
         quantity = F.col("l_quantity")
+        titles = raw["part"].agg(F.count("*")).scalar()
         views = t["lines"].select(
             F.col("id").alias("watch_id"),
             "profile_id",
@@ -404,7 +400,7 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             .select(
                 F.concat(F.lit("ev-"), F.col("event_id").cast("string")).alias("watch_id"),
                 ((F.col("user_id") + 1) * 10 + 1).alias("profile_id"),
-                (F.col("event_id") * 7 % 200 + 1).alias("content_id"),
+                (F.col("event_id") * 7 % titles + 1).alias("content_id"),
                 F.lit(None).cast("bigint").alias("n"),
                 F.col("ts").alias("watched_at"),
                 F.floor(F.col("value") * 60).cast("int").alias("watch_duration_seconds"),
@@ -424,16 +420,18 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
         )
 
     def search_history() -> DataFrame:
+        """Views and clicks are searches, errors are searches that found nothing; texts grow with the catalogue."""
         e = F.col("event_id")
+        queries = F.floor(raw["part"].agg(F.count("*")).scalar() / 5)
         return (
             raw["events"]
-            .filter(F.col("event_type").isin("view", "click"))
+            .filter(F.col("event_type").isin("view", "click", "error"))
             .select(
                 e.alias("search_id"),
                 ((F.col("user_id") + 1) * 10 + 1).alias("profile_id"),
-                F.concat(F.lit("query "), (e % 40).cast("string")).alias("search_query"),
+                F.concat(F.lit("query "), (e % queries).cast("string")).alias("search_query"),
                 F.col("ts").alias("searched_at"),
-                F.when(e % 40 < 6, 0).otherwise((e % 17).cast("int")).alias("result_count"),
+                F.when((e % 40 < 6) | (F.col("event_type") == "error"), 0).otherwise((e % 17).cast("int")).alias("result_count"),
             )
         )
 
