@@ -68,7 +68,8 @@ def variants(fps: DataFrame) -> DataFrame:
             for flip in flips
         )
     )
-    rows = fps.select("fp", F.explode(emitted).alias("v"))
+    spread = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a few fingerprints become many rows
+    rows = fps.repartition(spread, "fp").select("fp", F.explode(emitted).alias("v"))
     turned = f"(shiftleft(fp, v.turn) | shiftrightunsigned(fp, 64 - v.turn)) & {LOW}L"
     return rows.select(F.expr(f"({turned}) ^ v.mark").alias("key"), "fp")
 
