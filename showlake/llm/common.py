@@ -68,7 +68,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star rounds; each round is stored, and
     the loop ends when the set of edges stands still.  Nothing but a count and
-    a checksum reaches the driver.
+    a checksum reaches the driver.  The one key with many edges is a root; the
+    join on nodes is followed by an exchange, so adaptive execution can split
+    it.
     """
     pairs = edges.filter(F.col(a) != F.col(b)).select(
         F.greatest(a, b).alias("node"), F.least(a, b).alias("root")

@@ -48,9 +48,9 @@ def directory(entries: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataF
 def build_index(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The stored index of ``rows`` (doc_id, h, text): one entry per distinct text, in bucket and hash order.
 
-    Copies meet within each task before anything is moved.  Texts are compared
-    byte by byte where equal hashes meet; the index keeps their digest, the
-    smallest hash being no key of its own.
+    Copies meet within each task before anything is moved.  Grouping by hash
+    and text compares bytes where hashes are equal; after that the index needs
+    a text's SHA-256 only, which tells the texts of a chain apart.
     """
     entries = rows.groupBy("h", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     entries = stored(

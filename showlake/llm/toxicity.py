@@ -123,11 +123,10 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Gr
             out = []
             for toxic, text in zip(batch["toxic"], batch["text"], strict=True):
                 found = words_of(text)
-                counts = np.bincount([place[w] for w in found if w in place], minlength=1)
-                at = np.flatnonzero(counts) if any(w in place for w in found) else np.zeros(0, int)
+                at, counts = np.unique([place[w] for w in found if w in place], return_counts=True)
                 hits = sum(w in marked for w in found)
                 grade = 1 + sum(hits >= g for g in GRADES) if toxic else 0
-                out.append((grade, at.tolist(), np.log1p(counts[at]).tolist()))
+                out.append((grade, at.astype(int).tolist(), np.log1p(counts).tolist()))
             yield pd.DataFrame(out, columns=["grade", "words", "counts"])
 
     rows_ = in_arrow(sample, features, "grade int, words array<int>, counts array<double>", pandas=True).toPandas()
