@@ -76,7 +76,7 @@ def as_of(captures: DataFrame, slices: int = SLICES) -> DataFrame:
 
 
 def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
-    """``record_id, url_key, source_id, state, headers, payload`` of each revisit.
+    """``record_id, url_key, source_id, state, headers, payload_md5`` of each revisit.
 
     ``captures``: record_id (unique), url, captured_at, status, headers (a map)
     and payload; other columns are ignored.  A capture with status 200 is a full
@@ -84,12 +84,15 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
 
     * ``resolved``: entity tags agree (weakly), or without two of them the
       Last-Modified dates do; the response's headers are updated by those of
-      the revisit that a 304 may change, its payload is taken over;
+      the revisit that a 304 may change;
     * ``unchecked``: no validator that both have; merged all the same;
     * ``changed``: the validators differ; headers are the revisit's own;
     * ``missing``: no earlier response, or no URL or time; likewise.
 
-    Captures at the same moment are not earlier.  Repeated revisits give a row
+    A revisit has the payload of ``source_id`` where it is resolved or
+    unchecked: its digest is here, as in a revisit record, while the payload
+    itself stays where it is and is moved by no shuffle.  Captures at the same
+    moment are not earlier.  Repeated revisits give a row
     each; no revisits, no rows.
     """
     rows = captures.select(
@@ -99,17 +102,17 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
         F.coalesce(F.col("status") == 200, F.lit(False)).alias("full"),
         F.coalesce(F.col("status") == 304, F.lit(False)).alias("revisit"),
         lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"),
-        "payload",
+        F.md5("payload").alias("payload_md5"),
     )
     rows = stored(rows.filter("full or revisit"), "warc-captures")
-    places = as_of(rows.filter("key is not null and at is not null").drop("headers", "payload"), slices)
+    places = as_of(rows.filter("key is not null and at is not null").drop("headers", "payload_md5"), slices)
     places = stored(places.filter("source_id is not null").distinct(), "warc-places")
     used = places.groupBy("source_id").agg(F.count("*").alias("uses"))
     response = rows.filter("full").groupBy("record_id").agg(
-        F.max(F.struct(F.map_entries("headers").alias("headers"), "payload")).alias("r")
+        F.max(F.struct(F.map_entries("headers").alias("headers"), "payload_md5")).alias("r")
     )
     sources = used.join(response, used["source_id"] == response["record_id"]).select(
-        "source_id", "uses", F.map_from_entries("r.headers").alias("old"), F.col("r.payload").alias("body")
+        "source_id", "uses", F.map_from_entries("r.headers").alias("old"), F.col("r.payload_md5").alias("body")
     )
     matched = join_groups(places, stored(sources, "warc-sources"), ["source_id"], "uses")
     revisits = rows.filter("revisit").select("record_id", F.col("key").alias("url_key"), "headers")
@@ -132,7 +135,7 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
         "source_id",
         "state",
         F.when(taken, merged).otherwise(F.col("headers")).alias("headers"),
-        F.when(taken, F.col("body")).alias("payload"),
+        F.when(taken, F.col("body")).alias("payload_md5"),
     )
 
 
@@ -175,7 +178,7 @@ def digest(resolved: DataFrame) -> DataFrame:
     """``record_id, url_key, source_id, state, headers, payload_md5``, headers as sorted ``name=value`` joined by bars."""
     lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"])))
     return resolved.select(
-        "record_id", "url_key", "source_id", "state", F.array_join(lines, "|").alias("headers"), F.md5("payload").alias("payload_md5")
+        "record_id", "url_key", "source_id", "state", F.array_join(lines, "|").alias("headers"), "payload_md5"
     )
 
 
