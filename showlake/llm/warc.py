@@ -9,10 +9,12 @@ from slice to slice.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from showlake.llm.common import join_groups, stored
+from showlake.llm.common import HOT_SHARE, join_groups, stored
 
 #: Slices of time, each with about as many captures.
 SLICES = 64
@@ -76,7 +78,7 @@ def as_of(captures: DataFrame, slices: int = SLICES) -> DataFrame:
 
 
 def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
-    """``record_id, url_key, source_id, state, headers, payload_md5`` of each revisit.
+    """``record_id, url_key, source_id, state, headers, payload, payload_md5`` of each revisit.
 
     ``captures``: record_id (unique), url, captured_at, status, headers (a map)
     and payload; other columns are ignored.  A capture with status 200 is a full
@@ -84,15 +86,15 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
 
     * ``resolved``: entity tags agree (weakly), or without two of them the
       Last-Modified dates do; the response's headers are updated by those of
-      the revisit that a 304 may change;
+      the revisit that a 304 may change, its payload is taken over;
     * ``unchecked``: no validator that both have; merged all the same;
     * ``changed``: the validators differ; headers are the revisit's own;
     * ``missing``: no earlier response, or no URL or time; likewise.
 
-    A revisit has the payload of ``source_id`` where it is resolved or
-    unchecked: its digest is here, as in a revisit record, while the payload
-    itself stays where it is and is moved by no shuffle.  Captures at the same
-    moment are not earlier.  Repeated revisits give a row
+    ``payload_md5`` is the digest of ``payload``.  Payloads are moved once,
+    after all else is settled: that of a response which many revisits confirm
+    to as many tasks as keep its revisits below ``HOT_SHARE`` of all each.
+    Captures at the same moment are not earlier.  Repeated revisits give a row
     each; no revisits, no rows.
     """
     rows = captures.select(
@@ -102,17 +104,16 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
         F.coalesce(F.col("status") == 200, F.lit(False)).alias("full"),
         F.coalesce(F.col("status") == 304, F.lit(False)).alias("revisit"),
         lower_names(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"),
-        F.md5("payload").alias("payload_md5"),
+        "payload",
     )
-    rows = stored(rows.filter("full or revisit"), "warc-captures")
-    places = as_of(rows.filter("key is not null and at is not null").drop("headers", "payload_md5"), slices)
+    bodies = rows.filter("full").select(F.col("record_id").alias("source"), "headers", "payload")
+    rows = stored(rows.filter("full or revisit").drop("payload"), "warc-captures")
+    places = as_of(rows.filter("key is not null and at is not null").drop("headers"), slices)
     places = stored(places.filter("source_id is not null").distinct(), "warc-places")
     used = places.groupBy("source_id").agg(F.count("*").alias("uses"))
-    response = rows.filter("full").groupBy("record_id").agg(
-        F.max(F.struct(F.map_entries("headers").alias("headers"), "payload_md5")).alias("r")
-    )
+    response = rows.filter("full").groupBy("record_id").agg(F.max(F.map_entries("headers")).alias("r"))
     sources = used.join(response, used["source_id"] == response["record_id"]).select(
-        "source_id", "uses", F.map_from_entries("r.headers").alias("old"), F.col("r.payload_md5").alias("body")
+        "source_id", "uses", F.map_from_entries("r").alias("old")
     )
     matched = join_groups(places, stored(sources, "warc-sources"), ["source_id"], "uses")
     revisits = rows.filter("revisit").select("record_id", F.col("key").alias("url_key"), "headers")
@@ -129,14 +130,25 @@ def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
     fresh = F.map_filter("headers", lambda k, v: ~k.isin(UNTOUCHED))
     merged = F.map_concat(F.map_filter("old", lambda k, v: ~F.array_contains(F.map_keys(fresh), k)), fresh)
     taken = F.col("state").isin("resolved", "unchecked")
-    return both.withColumn("state", state).select(
+    settled = both.withColumn("state", state).select(
         "record_id",
         "url_key",
         "source_id",
         "state",
         F.when(taken, merged).otherwise(F.col("headers")).alias("headers"),
-        F.when(taken, F.col("body")).alias("payload_md5"),
+        F.when(taken, F.col("source_id")).alias("source"),
+        "uses",
     )
+    most = max(1, math.floor(places.count() * HOT_SHARE))
+    copies = F.ceil(F.col("uses") / most)
+    # Rows without a payload are dealt out as well, though they meet none.
+    settled = settled.withColumn("part", F.pmod(F.xxhash64("record_id"), F.when(F.col("source").isNull(), 1 << 20).otherwise(copies)))
+    hot = used.filter(F.col("uses") > most).select(F.col("source_id").alias("source"), copies.alias("copies"))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)).cast("long") - 1))
+    bodies = bodies.join(F.broadcast(hot), "source", "left").select("source", parts.alias("part"), "headers", "payload")
+    body = F.max(F.struct(F.map_entries("headers").alias("headers"), "payload"))["payload"]
+    found = settled.join(bodies.groupBy("source", "part").agg(body.alias("payload")), ["source", "part"], "left")
+    return found.select("record_id", "url_key", "source_id", "state", "headers", "payload", F.md5("payload").alias("payload_md5"))
 
 
 def captures_of(pages: DataFrame) -> DataFrame:

@@ -67,6 +67,19 @@ def test_as_of_with_a_hot_url(spark):
         assert got[i]["payload_md5"] == (None if state == "changed" else hashlib.md5(source[5].encode()).hexdigest())
 
 
+def test_payloads_of_a_hot_response(spark):
+    """Revisits get the very payload, also where one response has most of them, and from repeated responses that of the headers taken."""
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(0, "https://hot.example/", start, 200, {"ETag": "a"}, "hot body"), (1, "https://x.example/", start, 200, {"ETag": "b"}, None)]
+    rows += [(2, "https://y.example/", start, 200, {"ETag": t}, b) for t, b in (("c", "z"), ("d", "a"))]
+    rows += [(i, "https://hot.example/", start + timedelta(seconds=i), 304, {"ETag": "a"}, None) for i in range(10, 3010)]
+    rows += [(i, f"https://{h}.example/", start + timedelta(seconds=9), 304, {"ETag": t}, None) for i, h, t in ((3, "x", "b"), (4, "y", "d"), (5, "hot", "e"), (6, "n", "a"))]
+    schema = "record_id long, url string, captured_at timestamp, status int, headers map<string,string>, payload string"
+    got = {r["record_id"]: r for r in warc.resolve(spark.createDataFrame(rows, schema).repartition(5)).collect()}
+    assert len(got) == 3004 and {got[i]["payload"] for i in range(10, 3010)} == {"hot body"}
+    assert [(got[i]["state"], got[i]["payload"]) for i in (3, 4, 5, 6)] == [("resolved", None), ("resolved", "a"), ("changed", None), ("missing", None)]
+
+
 def test_empty(spark, sf):
     captures = warc.captures_of(queries.table(spark, sf, "pages"))
     assert warc.resolve(captures.filter("false")).collect() == []
