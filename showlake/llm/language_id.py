@@ -31,7 +31,8 @@ SWITCH, FLOOR = 12.0, 8.0
 SCRIPT_SHARE = 0.01
 #: Scored words that a worker remembers, and documents that are labelled together.
 MEMO, BATCH = 300_000, 256
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of letters; longer ones, as in scripts without spaces, are cut into chunks that are scored and labelled each.
+WORD = re.compile(r"[^\W\d_]{1,64}")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: First and last code points of scripts (Unicode blocks).
@@ -128,7 +129,7 @@ class Model:
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log odds of each word against its best language, at least -FLOOR; NaN where no language uses the script."""
-        found = sum(np.add.reduceat(self.logs[buckets], starts, axis=0) for buckets, starts in grams([w[:64] for w in words]))
+        found = sum(np.add.reduceat(self.logs[buckets], starts, axis=0) for buckets, starts in grams(words))
         none = np.zeros(len(self.languages), bool)
         may = np.array([self.scripts.get(script(w), none) for w in words])
         found = np.where(may, found, -np.inf)
@@ -226,7 +227,7 @@ def train(documents: DataFrame, rows_per_language: int = TRAIN_ROWS, switch: flo
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[tuple[str, str], np.ndarray] = {}
         for batch in batches:
-            words = Counter((lang, w[:64]) for lang, t in zip(batch["lang"], batch["text"], strict=True) for w in WORD.findall(t.lower()))
+            words = Counter((lang, w) for lang, t in zip(batch["lang"], batch["text"], strict=True) for w in WORD.findall(t.lower()))
             groups: dict[tuple[str, str], list[tuple[str, int]]] = {}
             for (lang, word), n in words.items():
                 groups.setdefault((lang, script(word)), []).append((word, n))

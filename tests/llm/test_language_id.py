@@ -37,6 +37,19 @@ def test_mixed_text(spark):
     assert (rows[3]["lang_pred"], rows[4]["lang_pred"]) == ("en", "ru") and rows[3]["score"] > 0.5
 
 
+def test_long_runs_of_letters(spark):
+    """Text without spaces is read to its end, in training as well."""
+    joined = ["".join(ts).replace(" ", "").replace("'", "") for ts in (EN, FR)]
+    model = li.train(small(spark))
+    text = joined[0] * 4 + joined[1] * 8
+    ((lang, _, spans),) = model.label([text])
+    assert lang == "fr" and [s[2] for s in spans] == ["en", "fr"] and abs(spans[0][1] - len(joined[0] * 4)) <= 64
+    assert (spans[0][0], spans[1][1]) == (0, len(text)) and spans[0][1] == spans[1][0]
+    rows = [(i, "q" * 64 + t * 3, lang) for lang, t in zip(("en", "fr"), joined, strict=True) for i in range(30)]
+    taught = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [x[0] for x in taught.label(joined)] == ["en", "fr"]
+
+
 def test_viterbi_and_its_shortcut():
     r = np.random.default_rng(4)
     for _ in range(60):
