@@ -154,7 +154,8 @@ class Model:
         """(language, score, spans) of each text.
 
         One language is the best path as it stands if no run of words gains
-        more than one switch by leaving it; only other texts go through Viterbi.
+        more than half a switch by leaving it, since n runs that leave it take
+        n - 1 switches at least; only other texts go through Viterbi.
         """
         words = [[w for w in WORD.findall(t.lower()) if has_letter(w)] for t in batch]
         flat = [w for ws in words for w in ws]
@@ -178,7 +179,7 @@ class Model:
         out: list = [(UNKNOWN, 0.0, [])] * len(batch)
         for j, i in enumerate(full.tolist()):
             a, b = starts[i], ends[i]
-            mixed = least[j] > self.switch
+            mixed = least[j] > self.switch / 2
             labels = self.path(scores[a:b]) if mixed else np.full(b - a, whole[j])
             weight = np.bincount(labels, sizes[a:b], len(self.languages))
             chosen = int(weight.argmax())

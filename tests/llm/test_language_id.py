@@ -71,6 +71,16 @@ def test_viterbi_and_its_shortcut():
         assert value(path) == best
 
 
+def test_two_languages_beat_a_third():
+    """Both halves gain less than a switch over the best single language, together they gain more."""
+    scores = np.array([[0.0, -8, -3]] * 3 + [[-8.0, 0, -3]] * 3)
+    model = li.Model(["a", "b", "c"], np.zeros((1, 3)), {}, switch=12.0)
+    words = [f"w{x}" for x in "abcdef"]
+    model.remember(words, scores)
+    ((_, _, spans),) = model.label([" ".join(words)])
+    assert [s[2] for s in spans] == ["a", "b"]
+
+
 def test_odd_rows(spark, odd, none, got):
     model = li.train(small(spark))
     rows = got(li.identify(odd, model))
