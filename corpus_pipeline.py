@@ -41,7 +41,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), min_words=1)
     leaked = found.select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_id"]), "left_anti")
 

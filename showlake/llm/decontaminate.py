@@ -20,18 +20,23 @@ from pyspark.sql import functions as F
 
 from showlake.llm.common import in_arrow, texts
 
-#: Share of an item's words that may differ, and words that an item must have.
+#: Share of an item's words that may differ, and words that an item must have unless a caller asks for shorter ones.
 ERRORS, MIN_WORDS = 0.2, 5
 #: Words of benchmark text that one pass over the documents may carry.
 BLOCK_WORDS = 500_000
 #: Documents that are searched together.
 BATCH = 256
-WORD = re.compile(r"\w+")
+#: Letters of scripts that are written without spaces (Unicode blocks): Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+WORD = re.compile(rf"[^\W{UNSPACED}]+|(?!\W)[{UNSPACED}]")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case runs of letters and digits, so that case, punctuation and layout do not matter."""
+    """Lower-case runs of letters and digits, so that case, punctuation and layout do not matter.
+
+    In scripts without spaces each letter is a word of its own.
+    """
     return WORD.findall(text.lower())
 
 
@@ -139,6 +144,8 @@ class Items:
             else:
                 windows.append([d, i, a, b])
         for d, i, a, b in windows:
+            if best.get((d, i), (1,))[0] == 0:
+                continue  # the first whole hit stands
             k = budget(self.sizes[i], self.errors)
             seen = known[a:b].tolist()
             distance, end = best_end(self.masks[i], self.sizes[i], seen)
@@ -175,15 +182,18 @@ def leaks(
 
     One row per document row and item, at its best (first on ties) stretch of
     words; ``similarity`` is 1 - distance / n_words.  Null texts count as
-    empty.  Items of fewer than ``min_words`` words are too common to show a
-    leak and are left out.  Copies of an item give a row each.  Only doc_id,
+    empty.  Items of fewer than ``min_words`` words are left out; with 1, those
+    with a word are all searched, and below 1 / ``errors`` words only exact
+    hits count.  Copies of an item give a row each.  Only doc_id,
     item_id and the texts are read.  A benchmark of more than ``block_words``
     words is dealt by hash into blocks of about that size, one pass over the
     documents each, so that what is broadcast stays bounded.
     """
     spark = documents.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    # About six characters a word, but one in scripts without spaces.
+    letters = F.length("text") + 5 * F.length(F.regexp_replace("text", f"[^{UNSPACED}]", ""))
+    total = items.agg(F.sum(letters)).first()[0] or 0
     blocks = max(1, math.ceil(total / (6 * block_words)))
     schema = (
         "doc_id long, item_id long, n_words long, distance long, similarity double, first_word long, end_word long"

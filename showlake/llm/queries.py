@@ -47,7 +47,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_words=1)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

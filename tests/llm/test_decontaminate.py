@@ -67,6 +67,30 @@ def test_changed_items(spark):
         assert edits[-1] == row["distance"]
 
 
+def test_short_and_unspaced_items(spark):
+    """Short items are found word for word, and items without spaces with a fifth of their letters changed."""
+    items = [(1, "Who is Hamlet?"), (2, "Paris"), (3, "東京は日本の首都であり最大の都市です"), (4, "กรุงเทพเป็นเมืองหลวง"), (5, "?!")]
+    docs = [
+        (1, "They asked: who is Hamlet, paris or Paris?"),
+        (2, "Who was Hamlet in Parisian plays"),
+        (3, "昔から東京は日木の首都であり最大の町です。"),
+        (4, "東京は大きい町です"),
+        (5, "ข้อความกรุงเทพเป็นเมืองหลวงของไทย"),
+    ]
+    got = d.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), min_words=1
+    ).collect()
+    assert {(r["doc_id"], r["item_id"], r["distance"]) for r in got} == {(1, 1, 0), (1, 2, 0), (3, 3, 3), (5, 4, 0)}
+    assert {(r["first_word"], r["end_word"]) for r in got if r["item_id"] == 2} == {(5, 6)}
+
+
+def test_query_searches_short_items(spark, tmp_path):
+    spark.createDataFrame([(1, "so: to be or not"), (2, "no")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "To be, or")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.QUERIES["op4_decontaminate"](spark, str(tmp_path)).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in found] == [(1, 7)]
+
+
 def test_query(spark, sf, truth):
     import duckdb
 
