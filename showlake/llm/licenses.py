@@ -80,6 +80,20 @@ NOTICES = {
     ],
 }
 FAMILIES = [*NOTICES, UNKNOWN]
+#: Words that name a family, and words that may stand beside a name in lines too short for a shingle.
+NAMES = {
+    "agpl-3.0": ["agpl", "agplv3", "affero"],
+    "apache-2.0": ["apache"],
+    "bsd": ["bsd"],
+    "cc0": ["cc0"],
+    "gpl-3.0": ["gpl", "gplv3"],
+    "lgpl": ["lgpl", "lgplv3"],
+    "mit": ["mit"],
+    "mpl-2.0": ["mpl", "mozilla"],
+}
+#: Names that are words of their own as well, as German "mit", say nothing alone.
+WORDS = ["affero", "apache", "bsd", "mit", "mozilla"]
+BESIDE = ["license", "licence", "licensed", "licenced", "licenses", "licences"]
 
 
 def words(text: Column) -> Column:
@@ -102,6 +116,17 @@ def grams(list_: Column) -> Column:
     return F.array_distinct(F.concat(list_, runs(list_, 2)))
 
 
+def named(list_: Column) -> Column:
+    """The family that a list of fewer than ``SHINGLE`` words names, all other words being such as stand beside names; else null."""
+    out = F.lit(None).cast("string")
+    for family, names in NAMES.items():
+        own = F.array(*map(F.lit, names))
+        rest = F.array_except(list_, F.array(*map(F.lit, [*names, *BESIDE])))
+        out = F.when(F.arrays_overlap(list_, own) & (F.size(rest) == 0), family).otherwise(out)
+    says = F.exists(list_, lambda w: ~w.isin(WORDS))
+    return F.when((F.size(list_) < SHINGLE) & says, out)
+
+
 def constant(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A table of values that this module or a trained model holds."""
     found = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
@@ -115,14 +140,16 @@ def paragraphs(documents: DataFrame) -> DataFrame:
 
 
 def informative(others: DataFrame, notices: list[dict]) -> list[str]:
-    """Words of notices that fewer than ``COMMON`` of other paragraphs have, and pairs with at least one such word."""
-    spark = others.sparkSession
-    candidates = {w for x in notices for w in words_of(x["text"])}
-    total = max(1, others.count())
-    known = constant(spark, [{"w": w} for w in sorted(candidates)], "w: string")
-    seen = others.select(F.explode(F.array_distinct(words(F.col("text")))).alias("w")).join(F.broadcast(known), "w")
-    common = {r["w"] for r in seen.groupBy("w").count().filter(F.col("count") >= COMMON * total).collect()}
-    single = candidates - common
+    """Words of notices and names that fewer than ``COMMON`` of other paragraphs have, and pairs with at least one such word.
+
+    All of ``others`` is counted, in one aggregation whose empty word counts the paragraphs.
+    """
+    candidates = {w for x in notices for w in words_of(x["text"])} | {w for ws in NAMES.values() for w in ws}
+    known = F.array(*map(F.lit, sorted(candidates)))
+    each = F.concat(F.array_intersect(words(F.col("text")), known), F.array(F.lit("")))
+    seen = {r["w"]: r["count"] for r in others.select(F.explode(each).alias("w")).groupBy("w").count().collect()}
+    total = max(1, seen.pop("", 0))
+    single = candidates - {w for w, n in seen.items() if n >= COMMON * total}
     pairs = set()
     for x in notices:
         list_ = words_of(x["text"])
@@ -141,6 +168,8 @@ class Scanner:
             list_ = x["text"].split()
             if len(list_) >= 12:
                 parts += [{**x, "text": " ".join(p)} for p in (list_[: len(list_) // 2], list_[len(list_) // 2 :])]
+        for f, names in NAMES.items():  # lines that only name a licence
+            parts += [{"family": f, "text": t.format(n)} for n in names for t in ("{}", "{} License", "License: {}")]
         # Documents are chosen by a hash of their doc_id, paragraphs of those by a hash of their text.
         share = min(1.0, others / max(1, documents.count()))
         some = documents.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * share)
@@ -148,8 +177,11 @@ class Scanner:
         sample = stored(sample.orderBy(F.xxhash64("text"), "text").limit(others), "license-others")
         shingles = {s for x in self.notices for s in _shingles(x["text"])}
         known = F.array(*map(F.lit, sorted(shingles)))
-        sample = sample.filter(~F.arrays_overlap(runs(words(F.col("text")), SHINGLE), known))
-        self.features = informative(sample, self.notices)
+        list_ = words(F.col("text"))
+        other = ~F.arrays_overlap(runs(list_, SHINGLE), known) & named(list_).isNull()
+        sample = sample.filter(other)
+        every = paragraphs(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+        self.features = informative(every.filter(other), self.notices)
         self.cues = [g for g in self.features if " " not in g]
         labelled = constant(spark, parts, "family: string, text: string")
         labelled = labelled.unionByName(sample.select(F.lit(UNKNOWN).alias("family"), "text"))
@@ -159,14 +191,16 @@ class Scanner:
         )
         vectors = CountVectorizerModel.from_vocabulary(self.features, "grams", "features").setBinary(True)
         data = stored(vectors.transform(labelled).select("label", "features", "apart"), "license-training")
-        model = LogisticRegression(family="multinomial", regParam=penalty, maxIter=60).fit(data)
+        regression = LogisticRegression(family="multinomial", regParam=penalty, maxIter=60)
+        # The margin is calibrated on rows that the model behind it has not seen; the weights are learned from all.
+        self.slope, self.shift = self._calibrated(data.filter("apart"), regression.fit(data.filter("not apart")))
+        model = regression.fit(data)
         matrix, self.bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray().tolist()
         self.bias += [0.0] * (len(FAMILIES) - len(self.bias))
         self.weights = [
             {"gram": g, "w": [round(float(x), 9) for x in matrix[:, i]] + [0.0] * (len(FAMILIES) - matrix.shape[0])}
             for i, g in enumerate(self.features)
         ]
-        self.slope, self.shift = self._calibrated(data, model)
 
     def _calibrated(self, data: DataFrame, model) -> tuple[float, float]:
         """Platt's sigmoid of the margin between the best family and the unknown class."""
@@ -186,32 +220,36 @@ class Scanner:
 
         A paragraph (line) is reported if its calibrated chance of a known
         family reaches ``KNOWN``; its family is ``unknown`` where too few
-        shingles are shared with a notice of the predicted one.  Paragraphs
+        shingles are shared with a notice of the predicted one.  A line too
+        short for a shingle is confirmed if all its words are the family's
+        name or such as stand beside one; it is then reported whatever its chance.  Paragraphs
         without any informative word have no feature and so the chance of an
         empty one.  A null text counts as empty; repeated rows of one doc_id
         and text report once.  Columns beyond doc_id and text are ignored.
         """
         spark = documents.sparkSession
         whole = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        may = F.arrays_overlap(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, self.cues)))
+        may = F.arrays_overlap(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, sorted({*self.cues, *(w for ws in NAMES.values() for w in ws)}))))
         lines = paragraphs(whole.filter(may)).withColumn("words", words(F.col("text"))).filter(
-            F.arrays_overlap("words", F.array(*map(F.lit, self.cues)))
+            F.arrays_overlap("words", F.array(*map(F.lit, self.cues))) | named(F.col("words")).isNotNull()
         )
         key = F.struct("doc_id", "h", "paragraph").alias("key")  # its parts may be null, it is not
-        lines = stored(lines.select(key, "words").distinct(), "license-lines")
+        lines = stored(lines.select(key, "words", named(F.col("words")).alias("named")).distinct(), "license-lines")
         families = len(FAMILIES)
         weights = F.broadcast(constant(spark, self.weights, "gram: string, w: array<double>"))
-        sums = [F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(families)]
-        scored = lines.select("key", F.explode(grams(F.col("words"))).alias("gram")).join(weights, "gram").groupBy("key").agg(*sums)
+        sums = [F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"s{i}") for i in range(families)]
+        scored = lines.select("key", "named", F.explode(grams(F.col("words"))).alias("gram")).join(weights, "gram", "left")
+        scored = scored.groupBy("key", "named").agg(*sums)
         logits = F.array(*(F.col(f"s{i}") + self.bias[i] for i in range(families)))
-        scored = scored.select("key", logits.alias("logits")).withColumn("best", F.array_max(F.slice("logits", 1, families - 1)))
+        scored = scored.select("key", "named", logits.alias("logits")).withColumn("best", F.array_max(F.slice("logits", 1, families - 1)))
         margin = F.col("best") - F.get("logits", F.lit(families - 1))
         names = F.array(*map(F.lit, FAMILIES))
         scored = scored.select(
             "key",
-            F.get(names, F.array_position("logits", F.col("best")).cast("int") - 1).alias("guess"),
+            "named",
+            F.coalesce("named", F.get(names, F.array_position("logits", F.col("best")).cast("int") - 1)).alias("guess"),
             (1 / (1 + F.exp(-(margin * self.slope + self.shift)))).alias("p_known"),
-        ).filter(F.col("p_known") >= KNOWN)
+        ).filter((F.col("p_known") >= KNOWN) | F.col("named").isNotNull())
         models = [
             {"guess": x["family"], "notice": i, "size": len(_shingles(x["text"])), "shingle": s}
             for i, x in enumerate(self.notices)
@@ -224,7 +262,7 @@ class Scanner:
         each = found.groupBy("key", "notice").agg((F.count("*") / F.least(F.first("own"), F.first("size"))).alias("similarity"))
         most = each.groupBy("key").agg(F.max("similarity").alias("similarity"))
         both = scored.join(most, "key", "left")
-        similarity = F.coalesce(F.col("similarity"), F.lit(0.0))
+        similarity = F.when(F.col("named").isNotNull(), 1.0).otherwise(F.coalesce(F.col("similarity"), F.lit(0.0)))
         return both.select(
             F.col("key.doc_id").alias("doc_id"),
             F.col("key.paragraph").cast("long").alias("paragraph"),

@@ -42,6 +42,15 @@ def test_quotes_and_lookalikes(spark, scanner):
     assert not any(i in (100, 101) and r["confirmed"] for (i, _), r in rows.items())
 
 
+def test_short_lines(spark, scanner):
+    """Lines that only name a licence, none of them a notice, and lines as short that do not."""
+    want = {"MIT License": "mit", "License: MIT": "mit", "Apache License": "apache-2.0", "BSD licence": "bsd", "License: GPLv3": "gpl-3.0", "CC0": "cc0"}
+    others = ["mit", "MIT professor", "driving licence", "Apache helicopter", "license"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([*want, *others])], "doc_id long, text string")
+    rows = scanner.scan(df).collect()
+    assert {(r["doc_id"], r["family"]) for r in rows if r["confirmed"]} == set(enumerate(want.values()))
+
+
 def test_native(spark, scanner, odd, capfd):
     scanner.scan(odd).explain()
     assert not re.search("Python|Pandas|Arrow", capfd.readouterr().out)
