@@ -47,16 +47,16 @@ def in_arrow(df: DataFrame, run, schema, pandas: bool = False) -> DataFrame:
     return df.mapInPandas(run, schema) if pandas else df.mapInArrow(run, schema)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str, share: float = HOT_SHARE) -> DataFrame:
     """Every row with the columns of its group; ``groups`` has one row per key, with the number of its rows in ``size``.
 
-    ``on`` must not be null.  Groups above ``HOT_SHARE`` of all rows are at
-    most ``1 / HOT_SHARE`` many, so they are broadcast and their rows stay
+    ``on`` must not be null.  Groups above ``share`` of all rows are at
+    most ``1 / share`` many, so they are broadcast and their rows stay
     where they are; the other rows meet their groups in a shuffle in which no
     key is hot.  Both inputs are read twice and should be stored ones.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
-    least = math.floor(total * HOT_SHARE)
+    least = math.floor(total * share)
     hot = F.broadcast(groups.filter(F.col(size) > least))
     cold = groups.filter(F.col(size) <= least)
     near = rows.join(hot, list(on))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from showlake.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     language_id,
@@ -89,6 +90,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    return alignment.report(table(spark, sf_dir, "documents"), a, pattern, piece_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -100,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
