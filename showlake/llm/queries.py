@@ -17,6 +17,7 @@ from showlake.llm import (
     sentencepiece,
     simhash,
     token_counts,
+    topk,
     toxicity,
     warc,
 )
@@ -90,6 +91,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"), scale=256)
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -108,10 +114,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_topk": op12_topk,
     "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
+    "op12_topk": topk.ORACLE,
     "op6_revisits": warc.ORACLE,
     "op10_exact_dedup": """
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
