@@ -20,6 +20,7 @@ from showlake.llm import (
     topk,
     toxicity,
     warc,
+    whitening,
 )
 from showlake.llm.common import new_path, stored
 
@@ -91,6 +92,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.fitting(table(spark, sf_dir, "embeddings"), scale=1024, shift=100_000)
+    return whitening.long_form(whitening.whiten(rows, k=8))
+
+
 def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"), scale=256)
     return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
     "op12_topk": op12_topk,
     "op13_alignment": op13_alignment,
 }
