@@ -106,9 +106,16 @@ def words_of(text: str) -> list[str]:
 
 
 def runs(list_: Column, n: int) -> Column:
-    """Runs of ``n`` neighbouring words, joined by spaces; of fewer words, the whole."""
-    count = F.greatest(F.size(list_) - n + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(list_, i, F.lit(n)), " "))
+    """Runs of ``n`` neighbouring words, joined by spaces; of fewer words, the whole.
+
+    Words are read by place, as a slice copies the whole list each time.
+    """
+
+    def of(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.concat_ws(" ", *(F.get(w, i + j) for j in range(n))))
+        return F.when(F.size(w) >= n, each).otherwise(F.array(F.array_join(w, " ")))
+
+    return F.get(F.transform(F.array(list_), of), F.lit(0))
 
 
 def grams(list_: Column) -> Column:
@@ -177,8 +184,9 @@ class Scanner:
         sample = stored(sample.orderBy(F.xxhash64("text"), "text").limit(others), "license-others")
         shingles = {s for x in self.notices for s in _shingles(x["text"])}
         known = F.array(*map(F.lit, sorted(shingles)))
-        list_ = words(F.col("text"))
-        other = ~F.arrays_overlap(runs(list_, SHINGLE), known) & named(list_).isNull()
+        # Words are cut once a paragraph: they are the variable of a function, not an expression within one.
+        is_other = F.transform(F.array(words(F.col("text"))), lambda w: ~F.arrays_overlap(runs(w, SHINGLE), known) & named(w).isNull())
+        other = F.get(is_other, F.lit(0))
         sample = sample.filter(other)
         every = paragraphs(documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
         self.features = informative(every.filter(other), self.notices)
@@ -230,11 +238,11 @@ class Scanner:
         spark = documents.sparkSession
         whole = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         may = F.arrays_overlap(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), F.array(*map(F.lit, sorted({*self.cues, *(w for ws in NAMES.values() for w in ws)}))))
-        lines = paragraphs(whole.filter(may)).withColumn("words", words(F.col("text"))).filter(
-            F.arrays_overlap("words", F.array(*map(F.lit, self.cues))) | named(F.col("words")).isNotNull()
-        )
+        cues = F.array(*map(F.lit, self.cues))
+        says = F.transform(F.array(words(F.col("text"))), lambda w: F.arrays_overlap(w, cues) | named(w).isNotNull())
+        lines = paragraphs(whole.filter(may)).filter(F.get(says, F.lit(0))).withColumn("words", words(F.col("text")))
         key = F.struct("doc_id", "h", "paragraph").alias("key")  # its parts may be null, it is not
-        lines = stored(lines.select(key, "words", named(F.col("words")).alias("named")).distinct(), "license-lines")
+        lines = stored(lines.select(key, "words").distinct(), "license-lines").withColumn("named", named(F.col("words")))
         families = len(FAMILIES)
         weights = F.broadcast(constant(spark, self.weights, "gram: string, w: array<double>"))
         sums = [F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"s{i}") for i in range(families)]
