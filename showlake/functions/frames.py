@@ -71,18 +71,26 @@ def without_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys, keys.columns, "left_anti").select(*df.columns)
 
 
+def _spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with a second key that is zero, or where a key is NULL a hash of the row: NULLs match nothing, so any task will do."""
+    present = reduce(and_, [F.col(c).isNotNull() for c in columns])
+    return df.withColumn("_spread", F.when(present, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*df.columns)))
+
+
+def _zero(df: DataFrame) -> DataFrame:
+    """``df`` with the second key zero, in a form that is not folded into a filter of the other side."""
+    return df.withColumn("_spread", F.pmod(F.xxhash64(*df.columns), F.lit(1).cast("bigint")))
+
+
 def without_references(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """``without_keys`` for a column that may be NULL: such rows stay, and do not meet in one task of the join."""
-    (column,) = keys.columns
-    present = without_keys(df.filter(F.col(column).isNotNull()), keys.filter(F.col(column).isNotNull()))
-    return present.unionByName(df.filter(F.col(column).isNull()))
+    """``without_keys`` for a column that may be NULL: such rows stay, spread over the tasks of the one join."""
+    columns = [*keys.columns, "_spread"]
+    return _spread(df, keys.columns).join(_zero(keys), columns, "left_anti").select(*df.columns)
 
 
 def look_up(df: DataFrame, found: DataFrame, *columns: str) -> DataFrame:
-    """Left join on columns that are NULL in many rows; those pass by the join and get NULLs."""
-    present = reduce(and_, [F.col(c).isNotNull() for c in columns])
-    known = df.filter(present).join(found, list(columns), "left")
-    return known.unionByName(df.filter(~present), allowMissingColumns=True)
+    """Left join on columns that are NULL in many rows; those get NULLs and are spread over the tasks of the join."""
+    return _spread(df, columns).join(_zero(found), [*columns, "_spread"], "left").drop("_spread")
 
 
 def in_range(

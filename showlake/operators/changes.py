@@ -16,22 +16,34 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import look_up, only_keys, top_per_key, undated, union_all, without_keys, without_references
+from ..functions.frames import look_up, only_keys, top_per_key, undated, union_all, without_keys
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
 from ..sources.tables import Tables, with_defaults
 
 
 class Change(NamedTuple):
-    """The next snapshot and the rows that were inserted, updated or deleted."""
+    """The next snapshot and the rows that were inserted, updated or deleted.
+
+    Where a change both adds and removes rows, ``changed`` has the added ones
+    and ``removed`` the others.
+    """
 
     snapshot: DataFrame
     changed: DataFrame
+    removed: DataFrame | None = None
+
+    def signed(self) -> DataFrame:
+        """Added rows with ``sign`` 1 and removed ones with -1."""
+        added = self.changed.withColumn("sign", F.lit(1))
+        return added if self.removed is None else added.unionByName(self.removed.withColumn("sign", F.lit(-1)))
 
 
 def _all_present(keys: Sequence[str]) -> Column:
@@ -316,24 +328,39 @@ def replace_children(
     ``parent``, are left out.
     """
     target = undated(target)
-    keep = without_keys(target, owners)
+    flagged = target.join(owners.distinct().withColumn("_gone", F.lit(True)), owners.columns, "left")
+    keep = flagged.filter(F.col("_gone").isNull()).select(*target.columns)
     rows = only_keys(new, owners)
     if parent is not None and parent_key is not None:
         rows = only_keys(rows, parent.select(parent_key))
     rows = rows.distinct()
-    return Change(_append_rows(keep, rows), _append_rows(target.limit(0), rows))
+    return Change(_append_rows(keep, rows), _append_rows(target.limit(0), rows), flagged.filter("_gone").select(*target.columns))
 
 
 def toggle(target: DataFrame, pairs: DataFrame, keys: Sequence[str], bulk: bool = True) -> Change:
     """Remove the pairs that are there, add those that are not.
 
-    ``changed`` holds the added rows.
+    One full outer join tells them apart; rows and pairs with a NULL key, which
+    equal nothing, pass by it.  ``bulk=False`` keeps the table the streamed
+    side of two joins, so that a tiny set of pairs can be broadcast.
     """
     target = undated(target)
     pairs = _one_per_key(pairs, keys, [F.asc(c) for c in pairs.columns if c not in keys] or [F.lit(1)])
-    keep = without_keys(target, pairs.select(*keys))
-    added = _absent_rows(target, pairs, keys, False, bulk)
-    return Change(_append_rows(keep, added), _append_rows(target.limit(0), added))
+    if not bulk:
+        kept, removed = without_keys(target, pairs.select(*keys)), only_keys(target, pairs.select(*keys))
+        added = _absent_rows(target, pairs, keys, False, False)
+        return Change(_append_rows(kept, added), _append_rows(target.limit(0), added), removed)
+    given = [c for c in pairs.columns if c in target.columns]
+    held = target.filter(_all_present(keys)).withColumn("_old", F.lit(True))
+    asked = pairs.filter(_all_present(keys)).select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_n_{c}") for c in given], F.lit(True).alias("_new"))
+    both = held.join(asked, _same(held, asked, keys, False), "full")
+    values = [F.when(F.col("_old"), F.col(c)).otherwise(F.col(f"_n_{c}") if c in given else F.lit(None)).alias(c) for c in target.columns]
+    told = both.select(*values, F.coalesce("_old", F.lit(False)).alias("_old"), F.coalesce("_new", F.lit(False)).alias("_new"))
+    loose = pairs.filter(~_all_present(keys))
+    kept = told.filter("_old <> _new").select(*target.columns).unionByName(target.filter(~_all_present(keys)))
+    added = told.filter("not _old").select(*target.columns)
+    removed = told.filter("_old and _new").select(*target.columns)
+    return Change(_append_rows(kept, loose), _append_rows(added, loose), removed)
 
 
 def update_where(df: DataFrame, predicate: str | Column, values: Mapping[str, object]) -> Change:
@@ -364,6 +391,7 @@ def patch(
     order: Sequence[Column] | None = None,
 ) -> Change:
     """Overwrite with the non-NULL columns of each change, leave the others."""
+    target = undated(target)
     columns = [c for c in changes.columns if c not in keys]
     incoming = _one_per_key(changes.filter(_all_present(keys)), keys, order).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
@@ -456,6 +484,7 @@ def apply_payments(payments: DataFrame, subscriptions: DataFrame, incoming: Data
     billing date on by one month, month by month: a date clamped to the end of
     a short month stays there.
     """
+    subscriptions = undated(subscriptions)
     recorded = insert_ignore(payments, incoming, ["transaction_id"])
     paid = (
         recorded.changed.filter("payment_status = 'completed'")
@@ -477,6 +506,7 @@ def refund(payments: DataFrame, refunds: DataFrame, as_of: dt.date | dt.datetime
     ``refunds`` has payment_id and refund_amount; the first per payment counts,
     smallest amount first, since the payment is no longer completed after it.
     """
+    payments = undated(payments)
     asked = _one_per_key(refunds, ["payment_id"], [F.asc("refund_amount")]).select(
         "payment_id", F.col("refund_amount").alias("_asked")
     )
@@ -503,6 +533,7 @@ def set_exclusive(
     ``chosen`` has the group columns and the id, one row per group; other
     groups stay as they are.
     """
+    df = undated(df)
     picked = _one_per_key(chosen, group, None).select(*group, F.col(id_column).alias("_pick"))
     merged = df.join(picked, list(group), "left")
     value = F.when(F.col("_pick").isNull(), F.col(flag)).otherwise(F.col(id_column) == F.col("_pick"))
@@ -515,6 +546,7 @@ def change_plan(subscriptions: DataFrame, changes: DataFrame, as_of: dt.date) ->
 
     ``changes`` has user_id, plan_id and billing_cycle, one row per user.
     """
+    subscriptions = undated(subscriptions)
     changes = _one_per_key(changes, ["user_id"], None)
     merged = subscriptions.join(changes.select("user_id", F.lit(True).alias("_hit")), "user_id", "left")
     ended = update_where(
@@ -544,11 +576,13 @@ def change_plan(subscriptions: DataFrame, changes: DataFrame, as_of: dt.date) ->
 
 
 def delete_where(df: DataFrame, predicate: str | Column) -> Change:
+    df = undated(df)
     hit = F.coalesce(F.expr(predicate) if isinstance(predicate, str) else predicate, F.lit(False))
     return Change(df.filter(~hit), df.filter(hit))
 
 
 def delete_keys(df: DataFrame, keys: DataFrame) -> Change:
+    df = undated(df)
     return Change(without_keys(df, keys), only_keys(df, keys))
 
 
@@ -562,44 +596,34 @@ class Deletion(NamedTuple):
 def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Deletion:
     """Delete rows of one table and do what its references ask of the others.
 
-    Children cascade, lose their reference, or block the delete.  ``keys``
-    holds the primary key of the rows to go.  ``blocked`` counts the references
+    Children cascade, lose their reference, or block the delete; each child is
+    read once, and rows without a reference are spread over the tasks of the
+    join that looks it up.  ``keys`` holds the primary key of the rows to go.  ``blocked`` counts the references
     that forbid the delete, per child table.
     """
     references = [fk for fk in foreign_keys(gen) if fk.child in T and fk.parent in T]
     doomed = {table: keys}
-    # Rows that go are taken out first, so that only the rest looks for references to clear.  Rows without a
-    # reference pass by every join; they may be most of a log.
-    after: dict[str, DataFrame] = {table: without_keys(T[table], keys)}
+    after: dict[str, DataFrame] = {table: without_keys(undated(T[table]), keys)}
     blocked: list[DataFrame] = []
     for child in _parents_first(references, table):
-        rows = T[child]
-        cascades, cleared = [], []
-        for fk in references:
-            if fk.child != child or fk.parent not in doomed or fk.column not in rows.columns:
-                continue
+        rows = undated(T[child])
+        found = [fk for fk in references if fk.child == child and fk.parent in doomed and fk.column in rows.columns]
+        # One read of the child: each reference leaves a flag on the row, and the flags together decide what it becomes.
+        flagged = rows
+        for i, fk in enumerate(found):
             gone = doomed[fk.parent].select(F.col(fk.parent_column).alias(fk.column)).distinct()
-            if fk.on_delete == CASCADE:
-                cascades.append(gone)
-            elif fk.on_delete == SET_NULL:
-                cleared.append((fk.column, gone))
-            elif fk.on_delete == RESTRICT:
-                hits = only_keys(rows, gone).agg(F.count("*").alias("references"))
-                blocked.append(hits.select(F.lit(child).alias("child"), F.lit(fk.column).alias("column"), "references"))
-        if cascades:
-            key = PRIMARY_KEYS[child]
-            for gone in cascades:
-                after[child] = without_references(after.get(child, rows), gone)
-            if any(fk.parent == child for fk in references):
-                parts = [only_keys(rows, gone).select(*key) for gone in cascades]
-                doomed[child] = parts[0]
-                for part in parts[1:]:
-                    doomed[child] = doomed[child].union(part)
-                doomed[child] = doomed[child].distinct()
-        for column, gone in cleared:
-            flagged = look_up(after.get(child, rows), gone.withColumn("_gone", F.lit(True)), column)
-            kept = F.when(F.col("_gone").isNull(), F.col(column))
-            after[child] = flagged.withColumn(column, kept).select(*rows.columns)
+            flagged = look_up(flagged, gone.withColumn(f"_gone_{i}", F.lit(True)), fk.column)
+        said = {action: [i for i, fk in enumerate(found) if fk.on_delete == action] for action in (CASCADE, SET_NULL, RESTRICT)}
+        goes = reduce(or_, [F.col(f"_gone_{i}").isNotNull() for i in said[CASCADE]], F.lit(False))
+        cleared = {found[i].column: F.when(F.col(f"_gone_{i}").isNull(), F.col(found[i].column)) for i in said[SET_NULL]}
+        if said[CASCADE] or cleared:
+            after[child] = flagged.filter(~goes).withColumns(cleared).select(*rows.columns)
+        if said[CASCADE] and any(fk.parent == child for fk in references):
+            doomed[child] = flagged.filter(goes).select(*PRIMARY_KEYS[child])
+        if said[RESTRICT]:
+            hits = flagged.agg(*[F.count(f"_gone_{i}").alias(f"_{i}") for i in said[RESTRICT]])
+            named = [F.struct(F.lit(child).alias("child"), F.lit(found[i].column).alias("column"), F.col(f"_{i}").alias("references")) for i in said[RESTRICT]]
+            blocked.append(hits.select(F.inline(F.array(*named))))
     report = T[table].limit(0).select(
         F.lit("").alias("child"), F.lit("").alias("column"), F.lit(0).cast("bigint").alias("references")
     )

@@ -1,8 +1,8 @@
 """Data-quality rules: counts of violations and the offending rows.
 
 ``rules(gen)`` gives every rule of the model.  Rules on single rows are counted
-in one pass per table; key rules count groups with map-side sums, so one key
-that holds most rows does not reach a task as rows.
+in one pass per table, and so are key rules, whose keys are counted together
+with map-side sums, so one key that holds most rows does not reach a task as rows.
 """
 
 from __future__ import annotations
@@ -316,17 +316,48 @@ def violations(T: Tables, rule: Rule) -> DataFrame:
 
 
 def _count(T: Tables, rule: Rule) -> DataFrame:
-    if rule.kind == "unique":
-        out = _repeated(T, rule).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
-    elif rule.kind == "reference":
-        out = _orphans(T, rule)[0].agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations"))
-    elif rule.kind == "overlap":
-        out = _overlap_count(T)
-    else:
-        out = _cross_rows(T, rule).agg(F.count("*").alias("violations"))
+    out = _overlap_count(T) if rule.kind == "overlap" else _cross_rows(T, rule).agg(F.count("*").alias("violations"))
     return out.select(F.lit(rule.table).alias("table"), F.lit(rule.name).alias("rule"), F.col("violations").cast("bigint"))
 
 
+def _named_keys(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
+    """``rule, key`` of every row and rule of a table whose columns are all there, in one scan; ``rule`` is the place in ``wanted``."""
+    each = []
+    for i, rule in enumerate(wanted):
+        if rule.table == table:
+            counts = F.expr(rule.where) if rule.where else F.lit(True)
+            for column in rule.columns:
+                counts = counts & F.col(column).isNotNull()
+            key = F.array(*[F.col(c).cast("string") for c in rule.columns])
+            each.append(F.when(counts, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
+    return T[table].select(F.explode(F.array(*each)).alias("_e")).filter(F.col("_e").isNotNull()).select("_e.rule", "_e.key")
+
+
+def _count_key_rules(T: Tables, wanted: Sequence[Rule]) -> DataFrame:
+    """Rows with a repeated key, or with a reference to nothing.
+
+    Each table is read once for all of its rules, and once more as a parent;
+    keys of all rules are counted in one aggregation, and only keys meet the
+    parents' keys.
+    """
+    counted = union_all([_named_keys(T, t, wanted) for t in dict.fromkeys(r.table for r in wanted)])
+    counted = counted.groupBy("rule", "key").agg(F.count("*").alias("_n"))
+    unique = [i for i, r in enumerate(wanted) if r.kind == "unique"]
+    parts = [counted.filter(F.col("rule").isin(unique) & (F.col("_n") > 1))]
+    parents = list(dict.fromkeys(r.parent for r in wanted if r.kind == "reference"))
+    if parents:
+        place = F.create_map(*[F.lit(x) for i, r in enumerate(wanted) if r.parent for x in (i, parents.index(r.parent))])
+        named = counted.filter(~F.col("rule").isin(unique)).withColumn("parent", place[F.col("rule")])
+        held = union_all([T[t].select(F.lit(i).alias("parent"), F.array(F.col(k).cast("string")).alias("key")) for i, (t, k) in enumerate(parents)])
+        parts.append(named.join(held, ["parent", "key"], "left_anti").select("rule", "key", "_n"))
+    # Every rule reports, those without violations as well.
+    names = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.table).alias("table"), F.lit(r.name).alias("name")) for i, r in enumerate(wanted)])
+    none = counted.sparkSession.range(1).select(F.inline(names)).select("rule", F.lit(0).cast("bigint").alias("_n"))
+    sums = union_all([none, *[p.select("rule", "_n") for p in parts]]).groupBy("rule").agg(F.sum("_n").alias("violations"))
+    told = F.get(names, F.col("rule"))
+    return sums.select(told["table"].alias("table"), told["name"].alias("rule"), "violations")
+
+
 def _count_row_rules(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
     """All single-row rules of a table in one scan."""
     sums = T[table].selectExpr(
@@ -348,7 +379,9 @@ def validate(T: Tables, wanted: Sequence[Rule] | None = None) -> DataFrame:
         if rule.kind == "row":
             per_table.setdefault(rule.table, []).append(rule)
     parts = [_count_row_rules(T, table, many) for table, many in per_table.items()]
-    parts += [_count(T, rule) for rule in wanted if rule.kind != "row"]
+    keyed = [rule for rule in wanted if rule.kind in ("unique", "reference")]
+    parts += [_count_key_rules(T, keyed)] if keyed else []
+    parts += [_count(T, rule) for rule in wanted if rule.kind in ("overlap", "cross")]
     if not parts:
         raise ValueError("no rule applies to these tables")
     if absent:
