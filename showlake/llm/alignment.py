@@ -14,9 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +60,7 @@ class ByteLevel:
         self.long.encode_special_tokens = True
 
     def encode(self, given: list[str]) -> list[list[int]]:
-        return [
-            self.short.encode_ordinary(t) if len(t) <= LONG else self.long.encode(t, add_special_tokens=False).ids for t in given
-        ]
+        return [self.short.encode_ordinary(t) if len(t) <= LONG else self.long.encode(t, add_special_tokens=False).ids for t in given]
 
 
 class Pieces:
@@ -83,78 +80,87 @@ class Pieces:
 
 
 @lru_cache(maxsize=2)
-def _tokenizers(a: str, pattern: str, b: str) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(a, pattern), Pieces(b)
+def _tokenizers(a: str, pattern: str, b: str) -> tuple[ByteLevel, Pieces, Side, Side]:
+    one, other = ByteLevel(a, pattern), Pieces(b)
+    return one, other, Side(one.pieces), Side(other.pieces)
 
 
-def cuts(sizes_a: list[int], sizes_b: list[int]) -> list[tuple[int, int]]:
+class Side:
+    """Of each token by id: its bytes, their number, and the letters of the id in the first seven bytes of a long."""
+
+    def __init__(self, pieces: dict[int, bytes]):
+        self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
+        self.sizes = np.array(list(map(len, self.pieces)))
+        self.names = np.array([int.from_bytes(str(i).encode(), "little") for i in range(len(self.pieces))], "<i8")
+
+
+def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of either side end by each byte at which both have an end."""
-    at_a = {end: i for i, end in enumerate(accumulate(sizes_a), 1)}
-    at_b = {end: i for i, end in enumerate(accumulate(sizes_b), 1)}
-    return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
-
-
-def links(sizes_a: list[int], sizes_b: list[int], stops: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
-    """Places of the tokens of every link, those of the first side rising."""
-    left, right, i, j = [], [], 0, 0
-    for p, q in stops:
-        if p - i == 1 or q - j == 1:  # one token over the whole group
-            left += range(i, p) if q - j == 1 else [i] * (q - j)
-            right += [j] * (p - i) if q - j == 1 else range(j, q)
-        else:
-            x, y, end_a, end_b = i, j, sizes_a[i], sizes_b[j]
-            while True:
-                left.append(x)
-                right.append(y)
-                if end_a == end_b and x + 1 == p:
-                    break
-                if end_a < end_b:
-                    x += 1
-                    end_a += sizes_a[x]
-                else:  # ends are equal only at the end of a group
-                    y += 1
-                    end_b += sizes_b[y]
-        i, j = p, q
-    return left, right
+    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
+    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
+    common = sorted(at_a.keys() & at_b.keys())
+    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
+
+
+def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of every link, in order.
+
+    A slice of m and n tokens without a common end inside has m + n - 1 links:
+    each byte at which a token of either side begins adds the two tokens over it.
+    """
+    begins = np.zeros((2, ends_a[-1] if len(ends_a) else 0), np.int8)
+    for side, ends in zip(begins, (ends_a, ends_b), strict=True):
+        side[ends[:-1]] = 1
+    over = np.cumsum(begins, axis=1, dtype=np.int64)
+    begins[:, :1] = 1
+    at = np.flatnonzero(begins.any(axis=0))
+    return over[0, at], over[1, at]
+
+
+def written(ids: np.ndarray, stops: np.ndarray, side: Side, end: str) -> np.ndarray:
+    """The letters of each id and, in the last byte, the comma after it, or ``end`` after the last one of a group."""
+    out = side.names[ids] | ord(",") << 56
+    out[stops - 1] = side.names[ids[stops - 1]] | ord(end) << 56
+    return out
 
 
 class Aligned:
     """One text's ids on both sides, the stops of its groups and its links; all empty if the text has no tokens."""
 
-    def __init__(self, text: str, a: list[int], b: list[int], pieces_a: dict[int, bytes], pieces_b: dict[int, bytes]):
-        raw, bytes_a, bytes_b = (" " + text).encode(), [pieces_a.get(i, b"") for i in a], [pieces_b.get(i, b"") for i in b]
-        if not text or b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            a = b = bytes_a = bytes_b = []
-        self.a, self.b = a, b
-        sizes_a, sizes_b = list(map(len, bytes_a)), list(map(len, bytes_b))
-        self.stops = cuts(sizes_a, sizes_b)
-        left, right = links(sizes_a, sizes_b, self.stops)
-        pairs = (np.array(a, np.int64)[left] << 32 | np.array(b, np.int64)[right]) if left else np.zeros(0, np.int64)
+    def __init__(self, text: str, a: Sequence[int], b: Sequence[int], side_a: Side, side_b: Side):
+        raw = (" " + text).encode()
+        if not text or b"".join(map(side_a.pieces.__getitem__, a)) != raw or b"".join(map(side_b.pieces.__getitem__, b)) != raw:
+            a = b = []
+        self.a, self.b, self.sides = np.array(a, np.int64), np.array(b, np.int64), (side_a, side_b)
+        ends_a, ends_b = np.cumsum(side_a.sizes[self.a]), np.cumsum(side_b.sizes[self.b])
+        self.stops_a, self.stops_b = cuts(ends_a, ends_b)
+        left, right = links(ends_a, ends_b)
         self.n_links = len(left)
-        self.pairs, self.times = np.unique(pairs, return_counts=True)
+        self.pairs, self.times = np.unique(self.a[left] << 32 | self.b[right], return_counts=True)
 
     def digest(self) -> str:
         """Hash of all groups as ``a1,a2|b1;a3|b2,b3``; empty without tokens."""
-        if not self.stops:
+        n_a, n_b = len(self.a), len(self.b)
+        if not n_a:
             return ""
-        a, b, i, j, out = list(map(str, self.a)), list(map(str, self.b)), 0, 0, []
-        for p, q in self.stops:
-            if p - i == 1 and q - j == 1:
-                out.append(f"{a[i]}|{b[j]}")
-            else:
-                out.append(f"{','.join(a[i:p])}|{','.join(b[j:q])}")
-            i, j = p, q
-        return hashlib.sha256(";".join(out).encode()).hexdigest()
+        one, other = written(self.a, self.stops_a, self.sides[0], "|"), written(self.b, self.stops_b, self.sides[1], ";")
+        # The tokens of a group stand behind those of all groups before it, and the second side's behind the first's.
+        groups = [np.repeat(np.arange(len(s)), np.diff(s, prepend=0)) for s in (self.stops_a, self.stops_b)]
+        out = np.zeros(n_a + n_b, "<i8")
+        out[np.arange(n_a) + np.concatenate([[0], self.stops_b])[groups[0]]] = one
+        out[np.arange(n_b) + self.stops_a[groups[1]]] = other
+        letters = out.view(np.uint8)
+        return hashlib.sha256(letters[letters != 0][:-1].tobytes()).hexdigest()
 
 
 def _each(batches: Iterator[pa.RecordBatch], a: str, pattern: str, b: str) -> Iterator[tuple[pa.Array, list[Aligned]]]:
-    one, other = _tokenizers(a, pattern, b)
+    one, other, *sides = _tokenizers(a, pattern, b)
     for whole in batches:
         for at in range(0, whole.num_rows, BATCH):
             part = whole.slice(at, BATCH)
             given = part.column(1).to_pylist()
             pairs = zip(given, one.encode([" " + t for t in given]), other.encode(given), strict=True)
-            yield part.column(0), [Aligned(t, x, y, one.pieces, other.pieces) for t, x, y in pairs]
+            yield part.column(0), [Aligned(t, x, y, *sides) for t, x, y in pairs]
 
 
 def _lists(values: list, kind: pa.DataType) -> pa.ListArray:
@@ -174,8 +180,7 @@ def align(documents: DataFrame, a: str, pattern: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, got in _each(batches, a, pattern, b):
-            stops = [np.array(x.stops, np.int32).reshape(-1, 2) for x in got]
-            values = [[x.a for x in got], [x.b for x in got], [s[:, 0] for s in stops], [s[:, 1] for s in stops]]
+            values = [[x.a for x in got], [x.b for x in got], [x.stops_a for x in got], [x.stops_b for x in got]]
             yield pa.RecordBatch.from_arrays([ids, *(_lists(v, pa.int32()) for v in values)], ["doc_id", *names])
 
     return in_arrow(texts(documents), run, ", ".join(["doc_id long", *(f"{n} array<int>" for n in names)]))
@@ -190,7 +195,7 @@ def linked(documents: DataFrame, a: str, pattern: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, got in _each(batches, a, pattern, b):
-            counts = [[len(x.a), len(x.b), len(x.stops), x.n_links] for x in got]
+            counts = [[len(x.a), len(x.b), len(x.stops_a), x.n_links] for x in got]
             pairs, times = _lists([x.pairs for x in got], pa.int64()), _lists([x.times for x in got], pa.int64())
             each = pa.StructArray.from_arrays([pairs.values, times.values], ["pair", "times"])
             yield pa.RecordBatch.from_arrays(
