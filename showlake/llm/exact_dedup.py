@@ -1,10 +1,11 @@
 """Exact deduplication over an extendible-hash index in shared files.
 
-Distinct texts become the entries of an index.  A directory over the leading
-hash bits doubles until no bucket holds more than ``bucket_rows`` entries, and
-directory cells that still fit one bucket share it.  Owner tasks take ranges of
-buckets and write them sorted by hash.  Texts are told apart by their bytes, so
-colliding hashes lie behind one another in a chain.
+A directory over the leading hash bits doubles until no bucket holds more than
+``bucket_rows`` hashes, and cells that still fit one bucket share it.  Texts,
+of which copies have met within tasks, are sent through the directory: hash to
+cell, cell to bucket, and owner tasks take ranges of buckets.  An owner chains
+the texts of a hash, compares their bytes, settles each group and writes it in
+bucket and hash order; rows are answered from that index.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 
 from showlake.llm.common import join_groups, stored, texts
 
-#: Entries that a bucket may hold.
-BUCKET_ROWS = 100_000
+#: Hashes that a bucket may hold, and bits of the hash that the directory may use.
+BUCKET_ROWS, MOST_BITS = 100_000, 40
+#: Parts in which the copies of a text come to its owner at most, each summed before it is moved.
+PARTS = 4
 
 
 def cell(depth: int) -> Column:
@@ -25,19 +28,28 @@ def cell(depth: int) -> Column:
     return F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def directory(entries: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
-    """(cell, bucket, local_depth) of an extendible-hash directory, and its depth.
+def directory(hashes: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """(cell, bucket, local_depth) of an extendible-hash directory over distinct ``h``, and its depth.
 
-    The depth leaves room for buckets 64 times as full as the mean.  A bucket
-    is named after its first cell and is as shallow as its size permits; cells
-    that overflow even at full depth (hashes that agree) keep a chain.
+    The directory starts with one cell and doubles while a bucket overflows,
+    up to cells 64 times finer than the mean needs: hashes that agree so far
+    stay together, however many.  Doublings are tried on counts per finest
+    cell, so the hashes are read once.  A bucket is named after its first cell
+    and is as shallow as its size permits.
     """
-    rows = entries.count()
-    depth = 0 if rows <= bucket_rows else min(40, math.ceil(math.log2(rows / bucket_rows)) + 6)
-    cells = entries.groupBy(cell(depth).alias("cell")).agg(F.count("*").alias("n"))
-    paths = cells.select(
-        "cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")
-    ).withColumn("bucket", F.expr(f"shiftleft(shiftright(cell, {depth} - local_depth), {depth} - local_depth)"))
+    rows = hashes.count()
+    finest = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, rows) / bucket_rows))) + 6)
+    counts = stored(hashes.groupBy(cell(finest).alias("fine")).agg(F.count("*").alias("n")), "dedup-cells")
+
+    def cells(depth: int) -> DataFrame:
+        return counts.groupBy(F.shiftrightunsigned("fine", finest - depth).alias("cell")).agg(F.sum("n").alias("n"))
+
+    depth = 0
+    while depth < finest and (cells(depth).agg(F.max("n")).first()[0] or 0) > bucket_rows:
+        depth += 1
+    paths = cells(depth).select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")).withColumn(
+        "bucket", F.expr(f"shiftleft(shiftright(cell, {depth} - local_depth), {depth} - local_depth)")
+    )
     fit = paths.groupBy("local_depth", "bucket").agg(F.sum("n").alias("n"))
     fit = fit.filter((F.col("n") <= bucket_rows) | (F.col("local_depth") == depth)).select("local_depth", "bucket")
     found = paths.drop("n").join(fit, ["local_depth", "bucket"]).groupBy("cell")
@@ -46,19 +58,21 @@ def directory(entries: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataF
 
 
 def build_index(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """The stored index of ``rows`` (doc_id, h, text): one entry per distinct text, in bucket and hash order.
+    """The stored index of ``rows`` (doc_id, h, text): ``bucket, h, text_sha256, keep_id, group_size``, an entry for each distinct text.
 
-    Copies meet within each task before anything is moved.  Grouping by hash
-    and text compares bytes where hashes are equal; after that the index needs
-    a text's SHA-256 only, which tells the texts of a chain apart.
+    Copies are summed in every task, and in at most ``PARTS`` parts, before
+    their text goes to the owner of its bucket; so a text that most rows hold
+    arrives there in a few rows.  The owner's grouping by bucket, hash and text
+    compares bytes wherever hashes are equal.
     """
-    entries = rows.groupBy("h", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    entries = stored(
-        entries.select("h", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"), "dedup-entries"
-    )
-    buckets, depth = directory(entries, bucket_rows)
-    placed = entries.withColumn("cell", cell(depth)).join(buckets, "cell").drop("cell")
-    return stored(placed.repartitionByRange("bucket", "h").sortWithinPartitions("bucket", "h"), "dedup-index")
+    buckets, depth = directory(stored(rows.select("h").distinct(), "dedup-hashes"), bucket_rows)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part")
+    entries = rows.groupBy("h", "text", part).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    routed = entries.withColumn("cell", cell(depth)).join(buckets.select("cell", "bucket"), "cell")
+    owned = routed.select("bucket", "h", "text", "keep_id", "group_size").repartitionByRange("bucket", "h")
+    settled = owned.groupBy("bucket", "h", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    index = settled.select("bucket", "h", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+    return stored(index.sortWithinPartitions("bucket", "h"), "dedup-index")
 
 
 def exact_dedup(documents: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits: int = 64) -> DataFrame:
@@ -75,7 +89,7 @@ def exact_dedup(documents: DataFrame, bucket_rows: int = BUCKET_ROWS, key_bits:
     index = build_index(rows, bucket_rows)
     known = rows.select("doc_id", "h", F.sha2("text", 256).alias("text_sha256"))
     known = stored(known.distinct(), "dedup-rows")
-    both = join_groups(known, index, ["h", "text_sha256"], "group_size")
+    both = join_groups(known, index.drop("bucket"), ["h", "text_sha256"], "group_size")
     return both.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )

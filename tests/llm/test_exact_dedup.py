@@ -46,5 +46,33 @@ def test_colliding_hashes_and_full_buckets(spark, truth, got):
     assert len({r["local_depth"] for r in placed}) > 1
 
 
+def test_the_index_decides(spark, truth, got, monkeypatch):
+    """With a directory that loses a cell, or leads one to two buckets, results are wrong; owners hold whole ranges of buckets."""
+    df = spark.createDataFrame([(i, t) for i, t, *_ in truth], "doc_id long, text string").repartition(3)
+    right = exact_dedup.directory
+    whole = got(exact_dedup.exact_dedup(df, bucket_rows=2, key_bits=20))
+    assert whole == got(exact_dedup.exact_dedup(df))
+
+    def lossy(hashes, bucket_rows):
+        cells, depth = right(hashes, bucket_rows)
+        return cells.filter(F.col("cell") != cells.agg(F.min("cell")).scalar()), depth
+
+    monkeypatch.setattr(exact_dedup, "directory", lossy)
+    assert len(got(exact_dedup.exact_dedup(df, bucket_rows=2, key_bits=20))) < len(whole)
+
+    def torn(hashes, bucket_rows):
+        cells, depth = right(hashes, bucket_rows)
+        return cells.unionByName(cells.withColumn("bucket", F.col("bucket") + 1)), depth
+
+    monkeypatch.setattr(exact_dedup, "directory", torn)
+    assert len(got(exact_dedup.exact_dedup(df, bucket_rows=2, key_bits=20))) > len(whole)
+    monkeypatch.setattr(exact_dedup, "directory", right)
+    rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    index = exact_dedup.build_index(rows, 20).withColumn("file", F.input_file_name())
+    spans = index.groupBy("file").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).orderBy("a", "b").collect()
+    assert all(x["b"] <= y["a"] for x, y in zip(spans, spans[1:]))
+    assert {r["local_depth"] for r in right(rows.select("h").distinct(), 20)[0].collect()} != {0}
+
+
 def test_empty(none):
     assert exact_dedup.exact_dedup(none).collect() == []
