@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from showlake.llm.common import in_arrow, texts
+from showlake.llm.common import in_arrow, stored, texts
 
-#: Share of an item's words that may differ, and words that an item must have unless a caller asks for shorter ones.
-ERRORS, MIN_WORDS = 0.2, 5
+#: Share of an item's words that may differ.
+ERRORS = 0.2
 #: Words of benchmark text that one pass over the documents may carry.
 BLOCK_WORDS = 500_000
 #: Documents that are searched together.
@@ -74,7 +74,8 @@ def best_end(masks: dict, pattern: int, text: list) -> tuple[int, int]:
 class Items:
     """A block of benchmark items ready for search."""
 
-    ids: list[int]
+    #: What the caller names each item by.
+    ids: list
     vocabulary: dict[str, int]
     masks: list[dict[int, int]]
     sizes: list[int]
@@ -83,7 +84,7 @@ class Items:
     errors: float
 
     @classmethod
-    def build(cls, rows: list[tuple[int, str]], errors: float = ERRORS, min_words: int = MIN_WORDS) -> Items:
+    def build(cls, rows: list[tuple[object, str]], errors: float = ERRORS, min_words: int = 1) -> Items:
         vocabulary: dict[str, int] = {}
         ids, masks, sizes, found = [], [], [], {}
         for item, text in rows:
@@ -175,35 +176,40 @@ def leaks(
     documents: DataFrame,
     benchmark: DataFrame,
     errors: float = ERRORS,
-    min_words: int = MIN_WORDS,
+    min_words: int = 1,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``doc_id, item_id, n_words, distance, similarity, first_word, end_word``: each item that a document contains.
+    """``doc_id, item_id, n_items, n_words, distance, similarity, first_word, end_word``: each item that a document contains.
 
     One row per document row and item, at its best (first on ties) stretch of
     words; ``similarity`` is 1 - distance / n_words.  Null texts count as
-    empty.  Items of fewer than ``min_words`` words are left out; with 1, those
-    with a word are all searched, and below 1 / ``errors`` words only exact
-    hits count.  Copies of an item give a row each.  Only doc_id,
-    item_id and the texts are read.  A benchmark of more than ``block_words``
+    empty.  All items with a word are searched, unless ``min_words`` leaves out
+    shorter ones; below 1 / ``errors`` words only exact hits count.  Items of
+    the same text are searched once and give one row, under their smallest
+    item_id and with their number in ``n_items``, so that what a block sends
+    and a document finds does not grow with copies.  Only doc_id, item_id and
+    the texts are read.  A benchmark of more than ``block_words``
     words is dealt by hash into blocks of about that size, one pass over the
     documents each, so that what is broadcast stays bounded.
     """
     spark = documents.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    items = benchmark.groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(
+        F.min(F.col("item_id").cast("long")).alias("item_id"), F.count("*").alias("n_items")
+    )
+    items = stored(items, "benchmark-texts")
     # About six characters a word, but one in scripts without spaces.
     letters = F.length("text") + 5 * F.length(F.regexp_replace("text", f"[^{UNSPACED}]", ""))
     total = items.agg(F.sum(letters)).first()[0] or 0
     blocks = max(1, math.ceil(total / (6 * block_words)))
     schema = (
-        "doc_id long, item_id long, n_words long, distance long, similarity double, first_word long, end_word long"
+        "doc_id long, item_id long, n_items long, n_words long, distance long, similarity double, first_word long, end_word long"
     )
-    names = ["doc_id", "item_id", "n_words", "distance", "similarity", "first_word", "end_word"]
-    types = [pa.int64()] * 4 + [pa.float64()] + [pa.int64()] * 2
+    names = ["doc_id", "item_id", "n_items", "n_words", "distance", "similarity", "first_word", "end_word"]
+    types = [pa.int64()] * 5 + [pa.float64()] + [pa.int64()] * 2
     out = None
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(blocks)) == block)
-        rows = sorted(map(tuple, own.collect()), key=lambda r: (r[0] is not None, r[0], r[1]))
+        rows = sorted((((i, n), t) for t, i, n in own.collect()), key=lambda r: r[1])
         shared = spark.sparkContext.broadcast(Items.build(rows, errors, min_words))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -214,7 +220,7 @@ def leaks(
                     docs, found = part.column(0).to_pylist(), []
                     for d, i, distance, first, end in known.search(part.column(1).to_pylist()):
                         n = known.sizes[i]
-                        found.append((docs[d], known.ids[i], n, distance, round(1 - distance / n, 6), first, end))
+                        found.append((docs[d], *known.ids[i], n, distance, round(1 - distance / n, 6), first, end))
                     columns = zip(*found, strict=True) if found else [[]] * len(names)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 

@@ -50,7 +50,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_words=1)
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents inserted, a tenth deleted (committed twice, as after a lost driver), another tenth revised to its text twice over."""
+    """All documents inserted and that batch closed, then a tenth deleted (committed twice, as after a lost driver), another tenth revised to its text twice over."""
     import public_tokenizers
 
     how = ("byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -72,6 +72,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = documents.filter("doc_id % 10 = 7").withColumn("text", F.concat_ws(" ", "text", "text"))
     rollup = token_counts.Rollup(spark, new_path(spark, "token-rollup"))
     rollup.commit(1, token_counts.inserted(counts))
+    rollup.close(1)
     rollup.commit(2, token_counts.deleted(gone))
     rollup.commit(3, token_counts.revised(old, token_counts.counted(twice, *how)))
     rollup.commit(2, token_counts.deleted(gone))

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,34 +74,72 @@ def _signed(counts: DataFrame, sign: int) -> DataFrame:
 
 
 class Rollup:
-    """A ledger of committed batches in a shared folder."""
+    """A ledger of committed batches in a shared folder, and a total of its older part.
+
+    A batch is written as a partition; Spark replaces an earlier attempt at it
+    by deleting that and moving the new files in, so a reader may for a moment
+    find the batch absent, but never twice.
+    """
+
+    KINDS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.ledger, self.closed = spark, f"{path}/ledger", f"{path}/closed"
 
     def commit(self, batch: int, changes: DataFrame) -> None:
         """Add a batch, or put it in place of an earlier attempt at the same one.
 
         The changes are summed in every task before they are moved, so a hot
-        source brings one row per task and key.  An empty row stands for a
-        batch without changes.
+        source brings one row per task and key, and as many tasks finish and
+        write the sums as their size asks for.  An empty row stands for a
+        batch without changes.  A batch that ``close`` has summed is refused.
         """
-        summed = changes.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        if batch <= self._upto():
+            raise ValueError(f"batch {batch} is closed")
         nothing = self.spark.range(1).select(
             *(F.lit(None).cast("string").alias(k) for k in KEYS),
             F.lit(0).cast("long").alias("n_docs"),
             F.lit(0).cast("long").alias("n_tokens"),
         )
-        rows = summed.unionByName(nothing).withColumn("batch", F.lit(batch).cast("long"))
-        writer = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch").parquet(self.path)
+        rows = _summed(changes).unionByName(nothing).withColumn("batch", F.lit(batch).cast("long"))
+        writer = rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("batch").parquet(self.ledger)
+
+    def close(self, batch: int) -> None:
+        """Sum all batches up to ``batch`` into a total, so that ``totals`` no longer reads them.
+
+        A total is written whole under its last batch's name and then stands;
+        to close again up to the same or an earlier batch changes nothing.
+        """
+        if batch > self._upto():
+            self._sums(batch).write.mode("overwrite").parquet(f"{self.closed}/upto={batch}")
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, n_docs, n_tokens`` over all committed batches; keys that came to nothing are left out.
 
-        A null source or language is a key of its own.
+        A null source or language is a key of its own.  The last total and the
+        batches after it are read.
         """
-        kinds = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch long"
-        ledger = self.spark.read.schema(kinds).parquet(self.path)
-        sums = ledger.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        return sums.filter("n_docs != 0 or n_tokens != 0")
+        return self._sums(None).filter("n_docs != 0 or n_tokens != 0")
+
+    def _read(self, path: str, name: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(f"{self.KINDS}, {name} long").option("basePath", path).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], f"{self.KINDS}, {name} long")
+
+    def _upto(self) -> int:
+        last = self._read(self.closed, "upto").agg(F.max("upto")).first()[0]
+        return -1 if last is None else last
+
+    def _sums(self, batch: int | None) -> DataFrame:
+        upto = self._upto()
+        later = self._read(self.ledger, "batch").filter(F.col("batch") > upto)
+        later = later if batch is None else later.filter(F.col("batch") <= batch)
+        return _summed(self._read(self.closed, "upto").filter(F.col("upto") == upto).drop("upto").unionByName(later.drop("batch")))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))

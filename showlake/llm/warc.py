@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from showlake.llm.common import HOT_SHARE, join_groups, stored
 
-#: Slices of time, each with about as many captures.
-SLICES = 64
+#: Captures in a slice of time at most, and slices at least.
+SLICE_ROWS, SLICES = 500_000, 64
 #: Parameters that only track visitors, and headers that a 304 must not change (RFC 9111, 3.2, and hop-by-hop ones).
-TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
+TRACKING = r"^(utm_[a-z]+|fbclid|gclid)(=|$)"
 UNTOUCHED = [
     "connection",
     "content-encoding",
@@ -37,13 +37,21 @@ UNTOUCHED = [
 
 
 def canonical_url(url: Column) -> Column:
-    """Lower-case host without user, ``www.`` and port, path without closing slashes, other parameters sorted; null stays null."""
+    """Lower-case host without user, ``www.`` and the scheme's own port, path without closing slashes, parameters sorted; null stays null.
+
+    http and https count as the same resource; other ports, paths and
+    parameters do not, but those that only track visitors are left out.
+    """
     bare = F.regexp_replace(F.trim(url), "#.*$", "")
     host = F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)", 1))
+    port = F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?[^/?:]*:([0-9]+)", 1)
+    scheme = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    own = ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443")) | (port == "")
+    place = F.when(own, "").otherwise(F.concat(F.lit(":"), port))
     path = F.regexp_replace(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
     asked = F.split(F.regexp_extract(bare, r"\?(.*)$", 1), "&")
     kept = F.array_join(F.array_sort(F.filter(asked, lambda p: (p != "") & ~p.rlike(TRACKING))), "&")
-    full = F.concat(F.regexp_replace(host, r"^www\.", ""), path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
+    full = F.concat(F.regexp_replace(host, r"^www\.", ""), place, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
     return F.when(host != "", full).otherwise(F.lower(bare))
 
 
@@ -57,11 +65,14 @@ def lower_names(headers: Column) -> Column:
     return F.map_from_entries(last)
 
 
-def as_of(captures: DataFrame, slices: int = SLICES) -> DataFrame:
+def as_of(captures: DataFrame, slices: int | None = None) -> DataFrame:
     """(record_id, source_id) of each revisit with an earlier full response of the same ``key``: the latest, then the largest id.
 
-    ``captures`` has key, at, record_id, full and revisit; key and at are not null.
+    ``captures`` has key, at, record_id, full and revisit; key and at are not
+    null.  The number of slices follows that of the captures, so that even one
+    URL's part of a slice fits a task.
     """
+    slices = slices or max(SLICES, math.ceil(captures.count() / SLICE_ROWS))
     cuts = captures.agg(F.percentile_approx("at", [i / slices for i in range(1, slices)])).first()[0] or []
     bounds = F.array(*map(F.lit, sorted(set(cuts)))).cast("array<long>")
     rows = captures.withColumn("slice", F.size(F.filter(bounds, lambda b: b < F.col("at"))))
@@ -77,7 +88,7 @@ def as_of(captures: DataFrame, slices: int = SLICES) -> DataFrame:
     return found.select("record_id", F.coalesce("near", "carried")["record_id"].alias("source_id"))
 
 
-def resolve(captures: DataFrame, slices: int = SLICES) -> DataFrame:
+def resolve(captures: DataFrame, slices: int | None = None) -> DataFrame:
     """``record_id, url_key, source_id, state, headers, payload, payload_md5`` of each revisit.
 
     ``captures``: record_id (unique), url, captured_at, status, headers (a map)
@@ -208,12 +219,15 @@ ORACLE = r"""
         select *, regexp_replace(trim(url), '#.*$', '') as u from captures
     ), parts as (
         select *, lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?([^/?:]*)', 1)) as host,
+               lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) || ':' ||
+               regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?@]*@)?[^/?:]*:([0-9]+)', 1) as port,
                regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', '') as path,
                array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'),
-                   lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))), '&') as asked
+                   lambda p: p <> '' and not regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid)(=|$)'))), '&') as asked
         from bare
     ), keyed as (
-        select *, case when host = '' then lower(u) else regexp_replace(host, '^www\.', '') || path ||
+        select *, case when host = '' then lower(u) else regexp_replace(host, '^www\.', '') ||
+               case when port in ('http:80', 'https:443') then '' else regexp_replace(regexp_extract(port, ':.*'), '^:$', '') end || path ||
                case when asked <> '' then '?' || asked else '' end end as key from parts
     ), responses as (
         select key, ts, max(id) as id, max_by(tag, id) as tag, max_by(html, id) as html, max_by(date, id) as date

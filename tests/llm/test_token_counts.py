@@ -4,6 +4,7 @@ import base64
 from collections import Counter
 
 import public_tokenizers
+import pytest
 import tiktoken
 
 from showlake.llm import queries
@@ -43,3 +44,34 @@ def test_batches(spark, odd, none):
     assert totals() == set()
     rollup.commit(1, tc.inserted(counts))
     assert totals() == set()
+
+
+def test_closed_batches(spark, odd):
+    """Totals are the same whatever is closed; closed batches are not read, and not taken again."""
+    rollup = tc.Rollup(spark, new_path(spark, "test-rollup"))
+    assert rollup.totals().collect() == []
+    counts = tc.counted(odd, *HOW)
+    rollup.commit(1, tc.inserted(counts))
+    rollup.commit(2, tc.deleted(counts.filter("doc_id = 4")))
+    whole = {tuple(r) for r in rollup.totals().collect()}
+    rollup.close(1)
+    rollup.close(1)
+    assert {tuple(r) for r in rollup.totals().collect()} == whole
+    with pytest.raises(ValueError):
+        rollup.commit(1, tc.inserted(counts))
+    rollup.commit(2, tc.deleted(counts.filter("doc_id = 4")))
+    rollup.close(2)
+    rollup.commit(3, tc.inserted(counts.filter("doc_id = 5")))
+    after = {tuple(r) for r in rollup.totals().collect()}
+    assert sum(n for *_, n, _ in after) == sum(n for *_, n, _ in whole) + 1
+    plan = rollup.totals()._jdf.queryExecution().executedPlan().toString()
+    assert "(batch#" in plan and "> 2)" in plan
+
+
+def test_many_keys(spark):
+    """Sources of high number are summed and written by several tasks."""
+    rollup = tc.Rollup(spark, new_path(spark, "test-rollup"))
+    rows = spark.range(20_000).selectExpr("concat('s', id % 5000) source", "'en' lang", "'v' tokenizer", "id n_tokens")
+    rollup.commit(1, tc.inserted(rows))
+    got = {r["source"]: (r["n_docs"], r["n_tokens"]) for r in rollup.totals().collect()}
+    assert got == {f"s{i}": (4, 4 * i + 30_000) for i in range(5000)}

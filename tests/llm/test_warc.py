@@ -25,7 +25,11 @@ def test_oracle(spark, sf):
 @pytest.mark.parametrize("url, key", [
     ("HTTP://www.A.example:80/x/?b=2&utm_source=q&a=1#f", "a.example/x?a=1&b=2"),
     ("https://me@A.example", "a.example"),
-    ("https://a.example/?ref=x", "a.example"),
+    ("https://a.example/?ref=x", "a.example?ref=x"),
+    ("https://a.example/?gclid=x", "a.example"),
+    ("http://A.example:8080/a", "a.example:8080/a"),
+    ("https://a.example:443/a", "a.example/a"),
+    ("https://me@a.example:80/a", "a.example:80/a"),
     ("no url", "no url"),
     ("", ""),
     (None, None),
