@@ -40,8 +40,12 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"), min_words=1)
+    """Documents that contain no benchmark item.
+
+    Items of every length count: one of a single word drops every document
+    with that word.  ``decontaminate.leaks(..., min_words=n)`` spares them.
+    """
+    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
     leaked = found.select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_id"]), "left_anti")
 

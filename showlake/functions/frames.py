@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from .columns import at
 
 DAY_PREFIX = "day_of_"
+#: The partition column of a log that is appended to in numbered batches.
+BATCH = "batch_id"
+#: Share of all rows above which a key is hot; there are at most 1 / HOT hot keys.
+HOT = 1 / 256
 
 
 def day_column(column: str) -> str:
@@ -21,8 +25,8 @@ def day_column(column: str) -> str:
 
 
 def undated(df: DataFrame) -> DataFrame:
-    """Without the day a stored table is laid out by, which would be missing or stale in changed rows."""
-    return df.drop(*[c for c in df.columns if c.startswith(DAY_PREFIX)])
+    """Without the day and batch a stored table is laid out by, which would be missing or stale in changed rows."""
+    return df.drop(BATCH, *[c for c in df.columns if c.startswith(DAY_PREFIX)])
 
 
 def top_per_key(
@@ -139,3 +143,39 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_by: Se
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
+def split_join(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Inner join on a key that may hold most rows of ``big``; ``small`` has few rows per key.
+
+    Keys are counted first.  Those with more than a share ``HOT`` of all rows
+    are at most ``1 / HOT`` many: what ``small`` has of them is broadcast, so
+    their rows stay where they are.  All others meet in a shuffle in which no
+    key is hot.
+    """
+    big = big.filter(F.col(on).isNotNull())
+    sizes = big.groupBy(on).agg(F.count("*").alias("_n"))
+    hot = sizes.filter(F.col("_n") > sizes.agg(F.sum("_n")).scalar() * HOT).select(on)
+    near = big.join(F.broadcast(small.join(F.broadcast(hot), on, "left_semi")), on)
+    far = big.join(F.broadcast(hot), on, "left_anti").join(small, on)
+    return near.unionByName(far)
+
+
+def beyond(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], after: DataFrame | None) -> DataFrame:
+    """The rows of each key that come after the row that ``after`` has of it; keys that ``after`` lacks are left out.
+
+    ``order`` lists sort columns and whether they fall; falling ones have NULLs
+    first, rising ones last.  A page by its predecessor's last row is cut
+    before the shuffle like the first one, however deep it lies.
+    """
+    if after is None:
+        return df
+    last = after.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_a_{c}") for c, _ in order])
+    later, equal = F.lit(False), F.lit(True)
+    for c, falls in order:
+        x, v = F.col(c), F.col(f"_a_{c}")
+        beside = (v.isNull() & x.isNotNull()) if falls else (v.isNotNull() & x.isNull())
+        later = later | (equal & (beside | F.coalesce(x < v if falls else x > v, F.lit(False))))
+        equal = equal & x.eqNullSafe(v)
+    same = reduce(and_, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    return df.join(last, same & later, "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import contains_ci, is_blank, ratio, starts_ci, window_open
-from ..functions.frames import for_screen, look_up, only_keys, page, top_per_key
+from ..functions.frames import beyond, for_screen, look_up, only_keys, page, split_join, top_per_key
 from ..sources.tables import Tables
 
 
@@ -75,8 +75,13 @@ def titles_by_genre(
     genre_name: str | None = None,
     limit: int | None = 10,
     offset: int = 0,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """One page of active titles per existing genre, newest first."""
+    """One page of active titles per existing genre, newest first.
+
+    ``after`` (genre_id, release_date, content_id) has each genre's last row
+    so far and asks for the page behind it, in place of an offset.
+    """
     genres = T["genres"].select("genre_id", "genre_name")
     if genre_id is not None:
         genres = genres.filter(F.col("genre_id") == genre_id)
@@ -91,6 +96,7 @@ def titles_by_genre(
         )
     )
     order = [newest_release(), F.asc("content_id")]
+    tagged = beyond(tagged, ["genre_id"], [("release_date", True), ("content_id", False)], after)
     cut = top_per_key(tagged, ["genre_id"], order, limit, offset)
     rows = cut.join(average_ratings(T).drop("rating_count"), "content_id", "left").select(
         "genre_id", "genre_name", "content_id", "title", "content_type", "poster_url", "release_date", "avg_rating"
@@ -115,9 +121,14 @@ def titles_with_all_genres(T: Tables, genre_ids: list[int], limit: int | None =
 
 
 def titles_by_language(
-    T: Tables, kind: str, language_id: int | None = None, limit: int | None = 10, offset: int = 0
+    T: Tables,
+    kind: str,
+    language_id: int | None = None,
+    limit: int | None = 10,
+    offset: int = 0,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """Active titles with a track of ``kind`` or 'Both', a page per language."""
+    """Active titles with a track of ``kind`` or 'Both', a page per language; ``after`` (language_id, title, content_id) as in ``titles_by_genre``."""
     tracks = T["content_languages"].filter(F.col("language_type").isin(kind, "Both"))
     if language_id is not None:
         tracks = tracks.filter(F.col("language_id") == language_id)
@@ -128,6 +139,7 @@ def titles_by_language(
         .select("language_id", "content_id", "title", "content_type", "poster_url")
     )
     order = [F.asc("title"), F.asc("content_id")]
+    rows = beyond(rows, ["language_id"], [("title", False), ("content_id", False)], after)
     return for_screen(top_per_key(rows, ["language_id"], order, limit, offset), language_id, order)
 
 
@@ -147,8 +159,9 @@ def available_in(
     limit: int | None = 10,
     offset: int = 0,
     closed: bool = False,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """Active titles whose window is open, latest opened first, a page per country."""
+    """Active titles whose window is open, latest opened first, a page per country; ``after`` (country_code, available_from, content_id) as in ``titles_by_genre``."""
     windows = T["content_availability"].filter(window_open(as_of, "available_from", "available_to", closed))
     if country is not None:
         windows = windows.filter(F.col("country_code") == country.upper())
@@ -156,6 +169,7 @@ def available_in(
         "country_code", "content_id", "title", "poster_url", "available_from", "available_to"
     )
     order = [F.desc("available_from"), F.asc("content_id")]
+    rows = beyond(rows, ["country_code"], [("available_from", True), ("content_id", False)], after)
     return for_screen(top_per_key(rows, ["country_code"], order, limit, offset), country, order)
 
 
@@ -285,9 +299,14 @@ def ratings_for(T: Tables, keys: DataFrame) -> DataFrame:
 
 
 def title_reviews(
-    T: Tables, keys: DataFrame | None = None, limit: int | None = 10, offset: int = 0, gen: int = 1
+    T: Tables,
+    keys: DataFrame | None = None,
+    limit: int | None = 10,
+    offset: int = 0,
+    gen: int = 1,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """A page of reviews per title, newest first.
+    """A page of reviews per title, newest first; ``after`` (content_id, the time sorted by, rating_id) as in ``titles_by_genre``.
 
     Generation 1 leaves out blank texts and sorts by last change; generation 2
     lists every text by its creation.
@@ -298,6 +317,7 @@ def title_reviews(
     verdict, stamp = ("rating_value", "updated_at") if gen == 1 else ("is_liked", "created_at")
     rows = only_keys(T["ratings"], keys).filter(written)
     order = [F.desc(stamp), F.asc("rating_id")]
+    rows = beyond(rows, ["content_id"], [(stamp, True), ("rating_id", False)], after)
     cut = top_per_key(rows, ["content_id"], order, limit, offset)
     named = cut.join(T["profiles"].select("profile_id", "profile_name"), "profile_id").select(
         "content_id", "rating_id", verdict, "review_text", stamp, "profile_name"
@@ -311,12 +331,16 @@ def my_list_view(
     limit: int | None = 10,
     offset: int = 0,
     active_only: bool = True,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """A page of every profile's list, newest entries first."""
+    """A page of every profile's list, newest entries first; ``after`` (profile_id, added_at, content_id) as in ``titles_by_genre``.
+
+    A title that most profiles list does not gather their entries in one task.
+    """
     titles = active_titles(T) if active_only else T["content"]
+    listed = beyond(only_keys(T["my_list"], keys), ["profile_id"], [("added_at", True), ("content_id", False)], after)
     rows = (
-        only_keys(T["my_list"], keys)
-        .join(titles.select("content_id", "title", "poster_url", "content_type"), "content_id")
+        split_join(listed, titles.select("content_id", "title", "poster_url", "content_type"), "content_id")
         .select("profile_id", "my_list_id", "content_id", "title", "poster_url", "content_type", "added_at")
     )
     order = [F.desc("added_at"), F.asc("content_id")]
@@ -416,11 +440,16 @@ def account_profiles(T: Tables, keys: DataFrame | None = None) -> DataFrame:
 
 
 def billing_history(
-    T: Tables, keys: DataFrame | None = None, limit: int | None = 10, offset: int = 0
+    T: Tables,
+    keys: DataFrame | None = None,
+    limit: int | None = 10,
+    offset: int = 0,
+    after: DataFrame | None = None,
 ) -> DataFrame:
-    """A page of payments per user with the plan they were for, newest first."""
+    """A page of payments per user with the plan they were for, newest first; ``after`` (user_id, created_at, payment_id) as in ``titles_by_genre``."""
     order = [F.desc("created_at"), F.asc("payment_id")]
-    cut = top_per_key(only_keys(T["payments"], keys), ["user_id"], order, limit, offset)
+    paid = beyond(only_keys(T["payments"], keys), ["user_id"], [("created_at", True), ("payment_id", False)], after)
+    cut = top_per_key(paid, ["user_id"], order, limit, offset)
     plans = (
         T["subscriptions"]
         .select("subscription_id", "plan_id")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import at
 from ..functions.frames import look_up, only_keys, top_per_key, undated, union_all, without_keys
+from ..sources import schemas
 from ..sources.constraints import CASCADE, PRIMARY_KEYS, RESTRICT, SET_NULL, foreign_keys
 from ..sources.tables import Tables, with_defaults
 
@@ -281,14 +282,21 @@ def expand_insert(rows: DataFrame, arrays: Mapping[str, str]) -> DataFrame:
     )
 
 
-def create_titles(T: Tables, new: DataFrame, by: Sequence[str], as_of: dt.datetime, gen: int = 2) -> Tables:
+def create_titles(
+    T: Tables, new: DataFrame, by: Sequence[str], as_of: dt.datetime, gen: int = 2, folder: str | None = None, buckets: int = 1024
+) -> Tables:
     """Add titles with their genres and language tracks at once.
 
     ``new`` has title columns and the arrays genre_ids, language_ids,
     language_types and is_default.  Ids do not change when a task is run again,
-    so the children get the ids of their titles.
+    so the children get the ids of their titles.  With a ``folder`` the titles
+    are numbered once, into a table there from which all three are taken;
+    without one each evaluates the numbering for itself.
     """
-    numbered = number_rows(T["content"], new, "content_id", by)
+    numbered = number_rows(T["content"], new, "content_id", by, buckets)
+    if folder is not None:
+        numbered.write.mode("overwrite").parquet(folder)
+        numbered = new.sparkSession.read.schema(numbered.schema).parquet(folder)
     titles = insert_rows(T["content"], numbered, "content", by, as_of, gen)
     genres = expand_insert(numbered.select("content_id", "genre_ids"), {"genre_ids": "genre_id"})
     lists = {"language_ids": "language_id", "language_types": "language_type", "is_default": "is_default"}
@@ -298,7 +306,7 @@ def create_titles(T: Tables, new: DataFrame, by: Sequence[str], as_of: dt.dateti
         content=titles.snapshot,
         content_genres=insert_ignore(T["content_genres"], genres, ["content_id", "genre_id"]).snapshot,
         content_languages=insert_rows(
-            T["content_languages"], tracks, "content_languages", track, as_of, gen
+            T["content_languages"], tracks, "content_languages", track, as_of, gen, buckets
         ).snapshot,
     )
 
@@ -458,6 +466,42 @@ def resume(subscriptions: DataFrame, who: str | Column, as_of: dt.date) -> Chang
     )
 
 
+def remove_downloads(downloads: DataFrame, who: str | Column) -> Change:
+    """Downloads that a device no longer has; those removed before stay as they are."""
+    return update_where(downloads, (F.col("download_status") != "Deleted") & _chosen(who), {"download_status": "Deleted"})
+
+
+def record_progress(log: DataFrame, sessions: DataFrame, order: Sequence[Column] | None = None) -> Change:
+    """Sessions that went on: ``sessions`` has watch_id and the new progress_seconds, watch_duration_seconds and completed.
+
+    Of several reports on a session, which ``order`` sorts, the first counts.
+    """
+    return patch(log, sessions, ["watch_id"], order=order)
+
+
+def close_windows(windows: DataFrame, who: str | Column, day: dt.date) -> Change:
+    """Let open windows, and those that end later, end on ``day``; windows that have not begun by then stay."""
+    last = F.col("available_to")
+    begun = (F.col("available_from") < F.lit(day)) & (last.isNull() | (last > F.lit(day)))
+    return update_where(windows, begun & _chosen(who), {"available_to": F.lit(day)})
+
+
+def ping_devices(devices: DataFrame, seen: DataFrame) -> Change:
+    """``seen`` has device_id and seen_at; a device keeps the latest moment, a late report does not set it back."""
+    devices = undated(devices)
+    last = seen.groupBy("device_id").agg(F.max("seen_at").alias("_seen"))
+    merged = devices.join(last, "device_id", "left").withColumn(
+        "_hit", F.col("_seen").isNotNull() & (F.col("last_active_at").isNull() | (F.col("_seen") > F.col("last_active_at")))
+    )
+    merged = merged.withColumn("last_active_at", F.when(F.col("_hit"), F.col("_seen")).otherwise(F.col("last_active_at")))
+    return Change(merged.select(*devices.columns), merged.filter("_hit").select(*devices.columns))
+
+
+def set_ceiling(profiles: DataFrame, who: str | Column, limit: str | None, as_of: dt.date) -> Change:
+    """Give kids profiles the highest rating that they may watch; ``None`` takes the limit away."""
+    return update_where(profiles, F.col("is_kids") & _chosen(who), stamped(profiles, {"age_rating_limit": limit}, as_of))
+
+
 # Billing ---------------------------------------------------------------------------------------
 
 
@@ -612,7 +656,11 @@ def delete_cascade(T: Tables, table: str, keys: DataFrame, gen: int = 2) -> Dele
         flagged = rows
         for i, fk in enumerate(found):
             gone = doomed[fk.parent].select(F.col(fk.parent_column).alias(fk.column)).distinct()
-            flagged = look_up(flagged, gone.withColumn(f"_gone_{i}", F.lit(True)), fk.column)
+            gone = gone.withColumn(f"_gone_{i}", F.lit(True))
+            if schemas.schema(child, gen)[fk.column].nullable:
+                flagged = look_up(flagged, gone, fk.column)
+            else:  # by the key alone, so that a table bucketed by it is not shuffled
+                flagged = flagged.join(gone, fk.column, "left")
         said = {action: [i for i, fk in enumerate(found) if fk.on_delete == action] for action in (CASCADE, SET_NULL, RESTRICT)}
         goes = reduce(or_, [F.col(f"_gone_{i}").isNotNull() for i in said[CASCADE]], F.lit(False))
         cleared = {found[i].column: F.when(F.col(f"_gone_{i}").isNull(), F.col(found[i].column)) for i in said[SET_NULL]}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_if, month_of, pct, ratio
-from ..functions.frames import for_screen, in_range, only_keys, top_per_key
+from ..functions.frames import for_screen, in_range, only_keys, split_join, top_per_key
 from ..sources.tables import Tables
 from .browse import active_titles
 
@@ -227,12 +227,15 @@ def category_performance(T: Tables) -> DataFrame:
 
 
 def favourite_genre(T: Tables) -> DataFrame:
-    """The genre every profile spent most seconds on; ties go to the first name."""
+    """The genre every profile spent most seconds on; ties go to the first name.
+
+    Titles that most profiles watched meet their genres where their rows are.
+    """
     per_title = T["watch_history"].groupBy("profile_id", "content_id").agg(seconds().alias("s"))
     names = T["genres"].select("genre_id", "genre_name")
     named = T["content_genres"].select("content_id", "genre_id").join(names, "genre_id").drop("genre_id")
     per_genre = (
-        per_title.join(named, "content_id")
+        split_join(per_title, named, "content_id")
         .groupBy("profile_id", "genre_name")
         .agg(F.sum("s").alias("total_seconds"))
     )

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import only_keys, union_all, without_keys
+from ..functions.frames import only_keys, split_join, union_all, without_keys
 from ..sources import constraints, schemas
 from ..sources.tables import Tables
 
@@ -296,7 +296,7 @@ def _cross_rows(T: Tables, rule: Rule) -> DataFrame:
         .select("episode_id", "_owner"),
         "part_id": lambda: T["content_parts"].select("part_id", F.col("content_id").alias("_owner")),
     }[level]()
-    joined = rows.filter(F.col(level).isNotNull()).join(owners, level)
+    joined = split_join(rows, owners, level)  # an episode or season may hold most rows
     return joined.filter("_owner <> content_id").select(*rows.columns)
 
 

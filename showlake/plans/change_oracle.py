@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ..operators import quality
-from .change_queries import quality_rules
+from . import seeded
+from .change_queries import SEEDED, quality_rules
 from .oracle_views import with_views
 
 # Columns of the derived tables, for the rules that can be checked on them.
@@ -51,6 +52,83 @@ BODIES = {
            case when stars is null then r.updated_at when r.rating_id is null then t
                 else timestamp '2001-06-30' end as updated_at
     from ratings r full join n on n.profile_id = r.profile_id and n.content_id = r.content_id""",
+    "d01_merge_upsert_null_safe": """with n as (
+        select profile_id, content_id, episode_id, count(*) % 2 = 0 as liked, max(watched_at) as t
+        from watch_history where completed group by all)
+    select coalesce(r.rating_id, concat_ws('-', 'w', n.profile_id, n.content_id, n.episode_id)) as rating_id,
+           coalesce(r.profile_id, n.profile_id) as profile_id, coalesce(r.content_id, n.content_id) as content_id,
+           season_id, coalesce(r.episode_id, n.episode_id) as episode_id, part_id,
+           coalesce(liked, is_liked) as is_liked,
+           case when n.profile_id is null then r.updated_at when r.rating_id is null then t
+                else timestamp '2001-06-30' end as updated_at
+    from ratings r full join n on n.profile_id = r.profile_id and n.content_id = r.content_id
+         and coalesce(n.episode_id, -1) = coalesce(r.episode_id, -1) and r.season_id is null and r.part_id is null""",
+    "d02_insert_ignore_null_safe": """with a as (select actor_id, actor_name, date_of_birth from actors),
+    n as (select -actor_id - 1 as actor_id, actor_name, date_of_birth from a where actor_id % 2 = 0
+          union all
+          select distinct null, character_name, null from content_cast)
+    from a union all
+    select min(actor_id), actor_name, date_of_birth from n
+    where not exists (select 1 from a where a.actor_name = n.actor_name
+                      and a.date_of_birth is not distinct from n.date_of_birth)
+    group by actor_name, date_of_birth""",
+    "d03_guarded_rows": """
+    select 'search_history' as "table", cast(search_id as varchar) as id,
+           search_id % 7 > 1 and trim(search_query) <> '' as accepted from search_history
+    union all select 'watch_history', cast(watch_id as varchar), progress_seconds >= 600 and watch_duration_seconds >= 0
+    from watch_history
+    union all select 'content', cast(content_id as varchar), content_type = 'Movie' or content_id % 2 = 1 from content""",
+    "d05_title_rows": """with m as (select content_id, title || ' ' || content_id as title from content where content_type = 'Movie')
+    select title, 'genre' as kind, g as child, null::varchar as language_type, null::boolean as is_default
+    from (select title, content_id % 11 + 1 as g from m union select title, content_id % 3 + 1 from m)
+    union all select title, 'track', 1, 'Audio', true from m
+    union all select title, 'track', 2, 'Subtitle', false from m""",
+    "d05_title_ids": """with n as (select count(*) as n from content where content_type = 'Movie')
+    select 'content' as "table", n as rows, n as ids, top + 1 as first_id, top + n as last_id
+    from n, (select max(content_id) as top from content)
+    union all select 'content_languages', 2 * n, 2 * n, top + 1, top + 2 * n
+    from n, (select max(content_language_id) as top from content_languages)""",
+    "d05_create_profiles": """
+    select user_id, 'guest of ' || user_id as profile_name, false as is_kids, false as is_primary,
+           'en' as audio_language, 'auto' as default_quality, 'dark' as ui_theme from users""",
+    "d06_replaced_rows": """
+    select profile_id, genre_id, -1 as sign from profile_preferred_genres join profiles using (profile_id) where is_kids
+    union all
+    (select distinct w.profile_id, g.genre_id, 1 from watch_history w join content_genres g using (content_id)
+     join profiles p on p.profile_id = w.profile_id and is_kids where genre_id in (select genre_id from genres))""",
+    "d07_toggled_rows": """with p as (
+        select profile_id, content_id, min(downloaded_at) as added_at from downloads group by all)
+    select m.* , -1 as sign from (select my_list_id, profile_id, content_id, added_at from my_list) m
+    where (profile_id, content_id) in (select (profile_id, content_id) from p)
+    union all
+    select null, profile_id, content_id, added_at, 1 from p
+    where (profile_id, content_id) not in (select (profile_id, content_id) from my_list)""",
+    "d08_reinstate": """
+    select * replace ('Active' as status, timestamp '2001-06-30' as updated_at)
+    from content where status = 'Inactive' and content_id % 2 = 0""",
+    "d08_remove_downloads": """
+    select download_id, profile_id, content_id, episode_id, device_id, downloaded_at, expiry_date, file_size_mb,
+           case when device_id % 2 = 0 then 'Deleted' else download_status end as download_status from downloads""",
+    "d08_record_progress": """with w as (
+        select *, progress_seconds * 2 > watch_duration_seconds as half, watch_duration_seconds < 600 as longer
+        from watch_history where not completed)
+    select * exclude (half, longer) replace (
+        case when half then watch_duration_seconds else progress_seconds end as progress_seconds,
+        case when longer then watch_duration_seconds * 2 else watch_duration_seconds end as watch_duration_seconds,
+        half as completed)
+    from w where half or longer""",
+    "d08_close_windows": """
+    select * replace (date '2001-06-30' as available_to) from content_availability
+    where country_code = 'US' and available_from < date '2001-06-30' and coalesce(available_to > date '2001-06-30', true)""",
+    "d08_ping_devices": """
+    select d.* replace (case when s.t > coalesce(last_active_at, timestamp '0001-01-01') then s.t else last_active_at end as last_active_at)
+    from user_devices d left join (select device_id, max(downloaded_at) as t from downloads group by 1) s using (device_id)""",
+    "d08_set_ceiling": """
+    select * replace (case when is_kids and user_id % 2 = 0 then 'PG' else age_rating_limit end as age_rating_limit) from profiles""",
+    "d08_preferences": """
+    select p.* replace (case when is_kids and p.profile_id % 2 = 0 then 'low' else default_quality end as default_quality,
+                        case when is_kids then 'light' else ui_theme end as ui_theme)
+    from profile_preferences p left join (select profile_id, is_kids from profiles) using (profile_id)""",
     "d02_insert_ignore": """with n as (
         select 'n-' || watch_id as my_list_id, profile_id, content_id, watched_at as added_at
         from watch_history where not completed
@@ -192,6 +270,35 @@ BODIES = {
     union all select 'watch_history', count(*) from watch_history where content_id not in (from gone)
     union all select 'my_list', count(*) from my_list where content_id not in (from gone)
     union all select 'downloads', count(*) from downloads where content_id not in (from gone)""",
+    "d13_rows_left": """with gone as (select content_id from content where status = 'Inactive'),
+    bad_seasons as (select season_id from seasons where content_id in (from gone)),
+    bad_episodes as (select episode_id from episodes where season_id in (from bad_seasons))
+    select 'content' as "table", cast(content_id as varchar) as id from content where content_id not in (from gone)
+    union all select 'seasons', cast(season_id as varchar) from seasons where content_id not in (from gone)
+    union all select 'episodes', cast(episode_id as varchar) from episodes where season_id not in (from bad_seasons)
+    union all select 'content_parts', cast(part_id as varchar) from content_parts where content_id not in (from gone)
+    union all select 'content_genres', content_id || '-' || genre_id from content_genres where content_id not in (from gone)
+    union all select 'content_languages', cast(content_language_id as varchar) from content_languages where content_id not in (from gone)
+    union all select 'content_cast', cast(cast_id as varchar) from content_cast where content_id not in (from gone)
+    union all select 'content_availability', cast(availability_id as varchar) from content_availability where content_id not in (from gone)
+    union all select 'ratings', cast(rating_id as varchar) from ratings where content_id not in (from gone)
+        and coalesce(season_id not in (from bad_seasons), true) and coalesce(episode_id not in (from bad_episodes), true)
+    union all select 'watch_history', cast(watch_id as varchar) from watch_history where content_id not in (from gone)
+    union all select 'my_list', cast(my_list_id as varchar) from my_list where content_id not in (from gone)
+    union all select 'downloads', cast(download_id as varchar) from downloads where content_id not in (from gone)""",
+    "d13_delete_profiles": """with gone as (select profile_id from profiles where is_kids and not is_primary)
+    select 'profiles' as "table", cast(profile_id as varchar) as id from profiles where profile_id not in (from gone)
+    union all select 'ratings', cast(rating_id as varchar) from ratings where profile_id not in (from gone)
+    union all select 'watch_history', cast(watch_id as varchar) from watch_history where profile_id not in (from gone)
+    union all select 'my_list', cast(my_list_id as varchar) from my_list where profile_id not in (from gone)
+    union all select 'downloads', cast(download_id as varchar) from downloads where profile_id not in (from gone)
+    union all select 'search_history', cast(search_id as varchar) from search_history where profile_id not in (from gone)
+    union all select 'profile_preferences', cast(preference_id as varchar) from profile_preferences where profile_id not in (from gone)
+    union all select 'profile_preferred_genres', profile_id || '-' || genre_id from profile_preferred_genres
+        where profile_id not in (from gone)""",
+    "d13_delete_devices": """with gone as (select device_id from user_devices where user_id % 3 = 0)
+    select 'user_devices' as "table", cast(device_id as varchar) as id from user_devices where device_id not in (from gone)
+    union all select 'downloads', cast(download_id as varchar) from downloads where device_id not in (from gone)""",
     "d13_delete_blocked": """with gone as (select user_id from users where account_status = 'pending')
     select 'subscriptions' as child, 'user_id' as "column", count(*) as "references" from subscriptions
     where user_id in (from gone) having count(*) > 0
@@ -245,17 +352,19 @@ def _cross_count(rule: quality.Rule) -> str:
         where o.content_id <> r.content_id"""
 
 
-def _count(rule: quality.Rule) -> str:
+def _count(rule: quality.Rule, named: str = "{}") -> str:
+    """``named`` says what the tables are called that are counted in place of the derived ones."""
+    table = named.format(rule.table)
     given = " and ".join(f"{c} is not null" for c in rule.columns)
     if rule.kind == "row":
-        body = f"select count(*) from {rule.table} where not coalesce({rule.valid}, true)"
+        body = f"select count(*) from {table} where not coalesce({rule.valid}, true)"
     elif rule.kind == "unique":
         keys = ", ".join(rule.columns)
-        body = f"""select coalesce(cast(sum(n) as bigint), 0) from (select count(*) as n from {rule.table}
+        body = f"""select coalesce(cast(sum(n) as bigint), 0) from (select count(*) as n from {table}
             where {given} and {rule.where or 'true'} group by {keys} having count(*) > 1)"""
     elif rule.kind == "reference":
-        parent, key = rule.parent
-        body = f"""select count(*) from {rule.table} c where {given}
+        parent, key = named.format(rule.parent[0]), rule.parent[1]
+        body = f"""select count(*) from {table} c where {given}
             and not exists (select 1 from {parent} p where p.{key} = c.{rule.columns[0]})"""
     elif rule.kind == "overlap":
         body = """select count(*) from content_availability w where exists (
@@ -281,7 +390,14 @@ def _unknown(rule: quality.Rule) -> str:
     return f"""select '{rule.table}' as "table", '{name}' as rule, cast(null as bigint) as violations"""
 
 
+def _seeded(kind: str) -> str:
+    wanted = quality_rules(kind)
+    named = dict.fromkeys(t for r in wanted for t in (r.table, *(r.parent or ())[:1]))
+    views = ", ".join(f"seeded_{t} as materialized ({seeded.statement(t, DERIVED_COLUMNS)})" for t in named)
+    return f"with {views} " + "\nunion all ".join(_count(r, "seeded_{}") for r in wanted)
+
+
 def statements() -> dict[str, str]:
-    forms = {f"d01_merge_upsert_{form}": BODIES["d01_merge_upsert"] for form in ("bulk", "small")}
-    bodies = {**BODIES, **forms, **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
+    bodies = {**BODIES, "d01_merge_upsert_small": BODIES["d01_merge_upsert"], **{f"{kind}_rules": _checks(kind) for kind in quality.KINDS}}
+    bodies |= {f"{kind}_seeded": _seeded(kind) for kind in SEEDED}
     return {name: with_views(body) for name, body in bodies.items()}

@@ -110,6 +110,18 @@ BODIES = {
          left join rated using (content_id)
     where c.status = 'Active'
     qualify row_number() over (partition by genre_id order by release_date desc nulls first, content_id) <= 10""",
+    "r04_titles_by_genre_next": f"""with rated as (
+        select content_id, {quotient('sum(rating_value)', 'count(rating_value)', 1)} as avg_rating
+        from ratings group by content_id)
+    select genre_id, genre_name, content_id, title, content_type, poster_url, release_date, avg_rating
+    from genres join content_genres using (genre_id) join content c using (content_id)
+         left join rated using (content_id)
+    where c.status = 'Active'
+    qualify row_number() over (partition by genre_id order by release_date desc nulls first, content_id) between 11 and 20""",
+    "r15_my_list_next": """
+    select profile_id, my_list_id, content_id, title, poster_url, content_type, added_at
+    from my_list join content using (content_id) where status = 'Active'
+    qualify row_number() over (partition by profile_id order by added_at desc, content_id) between 3 and 4""",
     "r05_titles_with_all_genres": """
     select content_id, title, poster_url from content c
     where status = 'Active' and content_id in (select content_id from content_genres where genre_id = 1)
@@ -563,6 +575,13 @@ BODIES = {
 
 #: The same rows for the keys that a screen asks for.
 ASKED = {
+    "r10_resume_points_kept": ("r10_resume_points", "true"),
+    "r11_continue_watching_kept": ("r11_continue_watching", "true"),
+    "r35_recent_watches_kept": ("r35_recent_watches", "true"),
+    "r36_recent_searches_kept": ("r36_recent_searches", "true"),
+    "r15_my_list_asked": ("r15_my_list_view", "profile_id in (select profile_id from profiles where is_kids)"),
+    "r21_billing_history_asked": ("r21_billing_history", "user_id in (select user_id from users where account_status = 'active')"),
+    "r25_user_devices_asked": ("r25_user_devices", "user_id in (select user_id from users where account_status = 'active')"),
     "r10_resume_points_asked": ("r10_resume_points", """exists (select 1 from downloads d where d.profile_id = r.profile_id
         and d.content_id = r.content_id and d.episode_id is not distinct from r.episode_id)"""),
     "r11_continue_watching_asked": ("r11_continue_watching", "profile_id in (select profile_id from profiles where is_kids)"),

@@ -6,8 +6,10 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..operators import browse, engagement, kids, ratings, revenue, search, subscriptions
+from ..functions.columns import at
+from ..operators import browse, engagement, kids, latest, ratings, revenue, search, subscriptions
 from ..sources.derive import EVENTS_AS_OF, ORDERS_AS_OF
 from ..sources.tables import Tables
 
@@ -26,6 +28,39 @@ def _kids(T: Tables) -> DataFrame:
     return T["profiles"].filter("is_kids").select("profile_id")
 
 
+def _kept(T: Tables, log: str, kind: latest.Latest, until: dt.datetime) -> Tables:
+    """The log's place taken by a state of its older rows that the newer ones were merged into."""
+    moment = F.col(kind.order[0])
+    state = kind.of(T[log].filter(moment < at(until)))
+    return T.replace(**{log: kind.advanced(state, T[log].filter(moment >= at(until)))})
+
+
+OLDER, OLDER_SEARCHES = dt.datetime(2000, 6, 1), dt.datetime(2024, 1, 20)
+
+
+def _sessions(T: Tables, kind: latest.Latest) -> Tables:
+    return _kept(T, "watch_history", kind, OLDER)
+
+
+def _last_of(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Each key's last row of a page; ``order`` is the page's, turned round."""
+    return rows.selectExpr("*", f"row_number() over (partition by {key} order by {', '.join(order)}) as _n").filter("_n = 1").drop("_n")
+
+
+def _second_genre_page(T: Tables) -> DataFrame:
+    last = _last_of(browse.titles_by_genre(T), "genre_id", ["release_date asc nulls last", "content_id desc"])
+    return browse.titles_by_genre(T, after=last)
+
+
+def _second_list_page(T: Tables) -> DataFrame:
+    last = _last_of(browse.my_list_view(T, limit=2), "profile_id", ["added_at", "content_id desc"])
+    return browse.my_list_view(T, limit=2, after=last)
+
+
+def _users(T: Tables) -> DataFrame:
+    return T["users"].filter("account_status = 'active'").select("user_id")
+
+
 READS: dict[str, Query] = {
     "r01_catalog_search": lambda T: browse.catalog_search(T, TERM),
     "r02_search_count": lambda T: browse.search_count(T, TERM),
@@ -42,6 +77,17 @@ READS: dict[str, Query] = {
     ),
     "r11_continue_watching": lambda T: browse.continue_watching(T),
     "r11_continue_watching_asked": lambda T: browse.continue_watching(T, _kids(T)),
+    "r10_resume_points_kept": lambda T: browse.resume_points(_sessions(T, latest.RESUME)),
+    "r11_continue_watching_kept": lambda T: browse.continue_watching(_sessions(T, latest.UNFINISHED)),
+    "r35_recent_watches_kept": lambda T: browse.recent_watches(_sessions(T, latest.RECENT_WATCHES)),
+    "r36_recent_searches_kept": lambda T: browse.recent_searches(
+        _kept(T, "search_history", latest.RECENT_SEARCHES, OLDER_SEARCHES)
+    ),
+    "r04_titles_by_genre_next": _second_genre_page,
+    "r15_my_list_next": _second_list_page,
+    "r15_my_list_asked": lambda T: browse.my_list_view(T, _kids(T)),
+    "r21_billing_history_asked": lambda T: browse.billing_history(T, _users(T)),
+    "r25_user_devices_asked": lambda T: browse.user_devices(T, _users(T)),
     "r11_unfinished": lambda T: browse.continue_watching(T, k=None, started_only=False),
     "r12_next_episode": lambda T: browse.next_episode(T),
     "r13_ratings_for": lambda T: browse.ratings_for(T, T["my_list"].select("profile_id", "content_id")),

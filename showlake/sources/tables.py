@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import at
-from ..functions.frames import day_column, undated
+from ..functions.frames import BATCH, day_column, undated
 from . import schemas
 
 # The age-rating scale, most to least suitable for children per system.
@@ -92,27 +92,97 @@ def with_defaults(df: DataFrame, table: str, as_of: dt.datetime, gen: int = 2) -
     return df.select(*columns)
 
 
-def append(df: DataFrame, path: str, partition_by: str | None = None, files_per_day: int = 4) -> None:
-    """Append rows to a stored table or log.
+def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Append rows to a stored table or log; rows that are appended again are there twice, see ``append_batch``.
 
     ``partition_by`` names a date or timestamp column; files are laid out by
-    its day so later reads of a date range skip the other days.  Rows of a day
-    go to at most ``files_per_day`` files, however many tasks write.
+    its day so later reads of a date range skip the other days.  Each day is
+    written by as many tasks as its size asks for.
     """
-    _write(df, path, partition_by, "append", files_per_day)
+    _write(df, path, partition_by, "append")
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None, files_per_day: int = 4) -> None:
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Rebuild a stored table.  ``path`` must not be one that ``df`` reads."""
-    _write(df, path, partition_by, "overwrite", files_per_day)
+    _write(df, path, partition_by, "overwrite")
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None, mode: str, files_per_day: int) -> None:
+def append_batch(df: DataFrame, path: str, batch: int, partition_by: str | None = None) -> None:
+    """Append a batch to a log once, however often it is sent: sent again, it takes the place of what it wrote before.
+
+    A batch has a folder of its own, ``batch_id=<batch>``, so that nothing of
+    an earlier attempt stays, not even on days that the new one lacks.  While
+    a batch is replaced, a reader may find it absent; other batches are never
+    touched.  Give every batch of one path the same ``partition_by``.
+    """
+    _write(df.drop(BATCH), f"{path}/{BATCH}={batch}", partition_by, "overwrite")
+
+
+def batch_writer(
+    path: str, partition_by: str | None = None, guard: str | Column | None = None, rejected: str | None = None
+) -> Callable[[DataFrame, int], None]:
+    """What ``writeStream.foreachBatch`` takes to keep a log: each micro-batch is written once.
+
+    Rows that do not satisfy ``guard`` go to the log ``rejected``, or nowhere.
+    """
+
+    def write(df: DataFrame, batch: int) -> None:
+        valid = F.lit(True) if guard is None else F.coalesce(F.expr(guard) if isinstance(guard, str) else guard, F.lit(False))
+        append_batch(df.filter(valid), path, batch, partition_by)
+        if rejected is not None:
+            append_batch(df.filter(~valid), rejected, batch, partition_by)
+
+    return write
+
+
+def _write(df: DataFrame, path: str, partition_by: str | None, mode: str) -> None:
     plain = undated(df)
     if partition_by is None:
         plain.write.mode(mode).parquet(path)
     else:
         day = day_column(partition_by)
-        part = F.pmod(F.xxhash64(*plain.columns), F.lit(files_per_day))
-        dated = plain.withColumn(day, F.col(partition_by).cast("date")).repartition(F.col(day), part)
+        # Rows of a day are brought together, and a day above Spark's target size of a task is split again.
+        dated = plain.withColumn(day, F.col(partition_by).cast("date")).hint("rebalance", F.col(day))
         dated.write.mode(mode).partitionBy(day).parquet(path)
+
+
+# The key by which each table is mostly joined and grouped.
+LAYOUT = {
+    "users": "user_id",
+    "profiles": "user_id",
+    "subscriptions": "user_id",
+    "payments": "user_id",
+    "user_devices": "user_id",
+    "content": "content_id",
+    "content_genres": "content_id",
+    "content_languages": "content_id",
+    "content_cast": "content_id",
+    "content_availability": "content_id",
+    "content_parts": "content_id",
+    "seasons": "content_id",
+    "watch_history": "profile_id",
+    "my_list": "profile_id",
+    "downloads": "profile_id",
+    "search_history": "profile_id",
+    "ratings": "profile_id",
+    "profile_preferences": "profile_id",
+    "profile_preferred_genres": "profile_id",
+}
+
+
+def store_by_key(T: Mapping[str, DataFrame], names: Iterable[str], prefix: str = "", buckets: int = 1024) -> None:
+    """Tables of the catalogue, bucketed and sorted by the key of ``LAYOUT``.
+
+    Grouping or joining by that key, alone or with others, reads buckets side
+    by side and shuffles nothing.  Joins by more columns than the bucket's do
+    so where ``spark.sql.requireAllClusterKeysForCoPartition`` is false.
+    """
+    for name in names:
+        rows, key = undated(T[name]), LAYOUT[name]
+        dealt = rows.repartition(buckets, key)
+        dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(f"{prefix}{name}")
+
+
+def load_by_key(spark: SparkSession, names: Iterable[str], prefix: str = "") -> Tables:
+    """The tables that ``store_by_key`` wrote."""
+    return Tables({name: (lambda n=name: spark.table(f"{prefix}{n}")) for name in names})

@@ -97,3 +97,25 @@ def test_small_change_sets_do_not_shuffle_the_table(spark, stored, make, tmp_pat
             assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def test_deletes_read_each_child_once(spark, stored):
+    """Also with a reference for every level, none of which is looked up by broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    gone = stored["content"].filter("status = 'Inactive'").select("content_id")
+    after = changes.delete_cascade(stored, "content", gone).tables
+    for child in ("ratings", "watch_history", "downloads"):
+        text = after[child]._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(rf"FileScan[^\n]*/{child}\]", text)) == 1
+    # rows without a reference are dealt out by a hash, which is not folded away
+    ratings = after["ratings"]._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"SortMergeJoin \[(season|episode|part)_id#\d+L, _spread#\d+L\]", ratings)) == 3
+
+
+@pytest.mark.parametrize("name", ["v2_rules", "v3_rules", "v4_rules", "v5_rules"])
+def test_key_rules_read_each_table_once(plan, name):
+    """And, where references are checked, once more as a parent."""
+    text = plan(name)
+    for table in ("ratings", "watch_history", "downloads", "payments", "content_languages"):
+        assert len(re.findall(rf"FileScan[^\n]*/{table}\]", text)) <= 1
+    assert text.count("Exchange hashpartitioning") <= 4

@@ -110,7 +110,7 @@ def test_changes_to_a_log_laid_out_by_day(spark, make, tmp_path):
 
 def test_days_are_written_in_few_files(spark, make, tmp_path):
     rows = spark.range(400).repartition(16).selectExpr("id", "timestampadd(DAY, id % 2, timestamp_ntz'2024-01-01') as t")
-    tables.append(rows, f"{tmp_path}/log", "t", files_per_day=2)
+    tables.append(rows, f"{tmp_path}/log", "t")
     for day in ("2024-01-01", "2024-01-02"):
         assert 1 <= len(list((tmp_path / "log" / f"day_of_t={day}").glob("*.parquet"))) <= 2
     assert spark.read.parquet(f"{tmp_path}/log").count() == 400
