@@ -28,26 +28,27 @@ def cell(depth: int) -> Column:
     return F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def directory(hashes: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
-    """(cell, bucket, local_depth) of an extendible-hash directory over distinct ``h``, and its depth.
+def directory(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """(cell, bucket, local_depth) of an extendible-hash directory over the hashes ``h`` of ``rows``, and its depth.
 
     The directory starts with one cell and doubles while a bucket overflows,
     up to cells 64 times finer than the mean needs: hashes that agree so far
-    stay together, however many.  Doublings are tried on counts per finest
-    cell, so the hashes are read once.  A bucket is named after its first cell
-    and is as shallow as its size permits.
+    stay together, however many.  All doublings are tried in one pass over the
+    counts of the finest cells.  A bucket is named after its first cell and is
+    as shallow as its size permits.
     """
-    rows = hashes.count()
-    finest = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, rows) / bucket_rows))) + 6)
-    counts = stored(hashes.groupBy(cell(finest).alias("fine")).agg(F.count("*").alias("n")), "dedup-cells")
-
-    def cells(depth: int) -> DataFrame:
-        return counts.groupBy(F.shiftrightunsigned("fine", finest - depth).alias("cell")).agg(F.sum("n").alias("n"))
-
-    depth = 0
-    while depth < finest and (cells(depth).agg(F.max("n")).first()[0] or 0) > bucket_rows:
-        depth += 1
-    paths = cells(depth).select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")).withColumn(
+    finest = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, rows.count()) / bucket_rows))) + 6)
+    counts = rows.select("h").distinct().groupBy(cell(finest).alias("fine")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "dedup-cells")
+    tried = counts.select("n", "fine", F.explode(F.sequence(F.lit(0), F.lit(finest))).alias("depth"))
+    sizes = tried.groupBy("depth", F.expr(f"shiftright(fine, {finest} - depth)").alias("cell")).agg(F.sum("n").alias("n"))
+    fits = sizes.groupBy("depth").agg(F.max("n").alias("n")).filter(F.col("n") <= bucket_rows)
+    depth = fits.agg(F.min("depth")).first()[0]
+    depth = finest if depth is None else depth
+    cells = counts.groupBy(F.shiftrightunsigned("fine", finest - depth).alias("cell")).agg(F.sum("n").alias("n"))
+    if depth == 0:
+        return cells.select("cell", F.lit(0).cast("long").alias("bucket"), F.lit(0).alias("local_depth")), 0
+    paths = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("local_depth")).withColumn(
         "bucket", F.expr(f"shiftleft(shiftright(cell, {depth} - local_depth), {depth} - local_depth)")
     )
     fit = paths.groupBy("local_depth", "bucket").agg(F.sum("n").alias("n"))
@@ -65,7 +66,7 @@ def build_index(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     arrives there in a few rows.  The owner's grouping by bucket, hash and text
     compares bytes wherever hashes are equal.
     """
-    buckets, depth = directory(stored(rows.select("h").distinct(), "dedup-hashes"), bucket_rows)
+    buckets, depth = directory(rows, bucket_rows)
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part")
     entries = rows.groupBy("h", "text", part).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     routed = entries.withColumn("cell", cell(depth)).join(buckets.select("cell", "bucket"), "cell")
