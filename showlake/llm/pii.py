@@ -10,6 +10,7 @@ that no base pattern knows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count as count_up
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +30,10 @@ CUES = {"email": "@", "phone": "+"}
 #: Tokens that may be identifiers; quotes and punctuation at their ends are cut off.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 LEADING, TRAILING = r"^[\"'(<\[{]+", r"[\"')>\]},.;:!?]+$"
-#: Rounds at most, distinct known instances and confidence that a pattern needs, and score that an instance needs.
-ROUNDS, SUPPORT, CONFIDENCE, BELIEF = 4, 3, 0.7, 0.7
-#: Characters and words of left context.
-CONTEXT, WORDS = 64, 2
+#: Distinct known instances and confidence that a pattern needs, and score that an instance needs.
+SUPPORT, CONFIDENCE, BELIEF = 3, 0.7, 0.7
+#: Words of left context, and characters in which they are looked for first.
+WORDS, CONTEXT = 2, 64
 STEP = 256
 
 
@@ -115,13 +116,20 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*(of_kind(n, kind) for n, kind in enumerate(KINDS))))
 
 
+def words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+
+
 def token_spans(text: Column) -> Column:
     """array<struct<start, end, value, left>> of identifier-like tokens; ``left`` is the pattern: the words before one."""
 
     def one(m: Column) -> Column:
         lead = F.length(F.regexp_extract(m["value"], LEADING, 0))
         value = F.regexp_replace(F.regexp_replace(m["value"], LEADING, ""), TRAILING, "")
-        before = F.filter(F.split(F.lower(F.right(m["before"], F.lit(CONTEXT))), r"\s+"), lambda w: w != "")
+        near = words(F.right(m["before"], F.lit(CONTEXT)))
+        # With more than WORDS words in sight the last ones are whole; else the first may be cut, and all is read.
+        cut = F.length(m["before"]) > CONTEXT
+        before = let(near, lambda w: F.when(cut & (F.size(w) <= WORDS), words(m["before"])).otherwise(w))
         return F.struct(
             (m["start"] + lead).alias("start"),
             (m["start"] + lead + F.length(value)).alias("end"),
@@ -165,13 +173,14 @@ def mentions(scanned: DataFrame) -> DataFrame:
     return rows.select(*key, "start", "end", "value", left.alias("left"), "kind")
 
 
-def confident_patterns(found: DataFrame, rounds: int, support: int, confidence: float, belief: float) -> DataFrame:
+def confident_patterns(found: DataFrame, rounds: int | None, support: int, confidence: float, belief: float) -> DataFrame:
     """(left, kind, confidence, mentions) of the patterns that the scoring of the graph accepts, the best kind of each.
 
     A pattern's confidence is the belief in its distinct instances over their
     number plus one; an instance's belief is 1 for seeds and else one minus the
     product of its accepted patterns' doubts.  Instances that reach ``belief``
-    count as known in the next round; the rounds end when none is new.
+    count as known in the next round; the rounds end when none is new, or after
+    ``rounds``.  What is known only grows, so there is such an end.
     """
     graph = stored(found.filter("left != ''").groupBy("left", "value").agg(F.count("*").alias("n"), F.min("kind").alias("kind")), "pii-graph")
     sizes = graph.groupBy("left").agg(F.count("*").alias("values"), F.sum("n").alias("mentions"))
@@ -179,7 +188,7 @@ def confident_patterns(found: DataFrame, rounds: int, support: int, confidence:
     edges = stored(graph.join(sizes.select("left"), "left").select("left", "value"), "pii-edges")
     seeds = found.filter("kind is not null").select("value", "kind", F.lit(1.0).alias("belief")).distinct()
     known, count, accepted = stored(seeds, "pii-known"), None, None
-    for _ in range(rounds):
+    for _ in count_up() if rounds is None else range(rounds):
         now = known.count()
         if now == count:
             break
@@ -204,7 +213,7 @@ def confident_patterns(found: DataFrame, rounds: int, support: int, confidence:
 
 def find_personal_data(
     documents: DataFrame,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     support: int = SUPPORT,
     confidence: float = CONFIDENCE,
     belief: float = BELIEF,

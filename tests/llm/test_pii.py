@@ -74,6 +74,29 @@ def test_contexts_discover_identifiers(spark, got):
     assert not any(spans for i, spans in found.items() if i != 100)
 
 
+def test_rounds_run_until_nothing_is_new(spark):
+    """Each level is taught by the one before it, through two patterns; the last is found in the fifth round."""
+    sizes, lines = [3300, 820, 205, 51, 13, 3], []
+    name = lambda level, i: f"seed{i}@site.org" if level == 0 else f"user{level}x{i}[at]site"
+    for level in range(len(sizes) - 1):
+        for form in ("first", "second"):
+            lines += [f"then {form} level{'abcdef'[level]} {name(k, i)} and" for k in (level, level + 1) for i in range(sizes[k])]
+    df = spark.createDataFrame([(i, " ".join(lines[i * 200 : i * 200 + 200])) for i in range(len(lines) // 200 + 1)], "doc_id long, text string").repartition(4)
+    count = lambda found: len({s["value"] for r in found.collect() for s in r["added"]})
+    assert count(pii.find_personal_data(df)) == sum(sizes[1:])
+    assert count(pii.find_personal_data(df, rounds=2)) == sum(sizes[1:3])
+
+
+def test_words_of_context_are_whole(spark):
+    """Words of a hundred letters that end alike are different contexts."""
+    one, other = "a" + "x" * 100, "b" + "x" * 100
+    texts = [f"{one} me at user{i}@site.org" for i in range(9)] + [f"me {one} id77" , f"me {other} id78"]
+    texts += [f"me {one} user{i}@site.org" for i in range(9)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {s["value"] for r in pii.find_personal_data(df).collect() for s in r["added"]}
+    assert found == {"id77"}
+
+
 def test_native(spark, sf, capfd):
     queries.QUERIES["op1_pii"](spark, sf).explain()
     assert not re.search("Python|Pandas|Arrow", capfd.readouterr().out)
