@@ -68,7 +68,7 @@ def columns(table: str, held: list[str], dialect: str) -> list[str]:
     out = []
     for i, (column, kind) in enumerate(declared(table).items()):
         plain = column if column in held else _value(table, column, kind, dialect)
-        bad = None if column in constraints.PRIMARY_KEYS[table] else _bad(table, column, kind, dialect)
+        bad = None if column == constraints.PRIMARY_KEYS[table][0] else _bad(table, column, kind, dialect)
         cases = f"when _n % {NULL} = {i % NULL} then null"
         if bad is not None:
             cases += f" when _n % {BAD} = {i % BAD} then {bad}"
