@@ -76,9 +76,13 @@ def without_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with a second key that is zero, or where a key is NULL a hash of the row: NULLs match nothing, so any task will do."""
+    """``df`` with a second key that is zero, or where a key is NULL a hash of the row: NULLs match nothing, so any task will do.
+
+    The hash takes the first two other columns, ids as a rule, so that no further ones are read for it.
+    """
     present = reduce(and_, [F.col(c).isNotNull() for c in columns])
-    return df.withColumn("_spread", F.when(present, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*df.columns)))
+    dealt = F.xxhash64(*[c for c in df.columns if c not in columns][:2])
+    return df.withColumn("_spread", F.when(present, F.lit(0).cast("bigint")).otherwise(dealt))
 
 
 def _zero(df: DataFrame) -> DataFrame:

@@ -332,15 +332,18 @@ def my_list_view(
     offset: int = 0,
     active_only: bool = True,
     after: DataFrame | None = None,
+    split_hot: bool = False,
 ) -> DataFrame:
     """A page of every profile's list, newest entries first; ``after`` (profile_id, added_at, content_id) as in ``titles_by_genre``.
 
-    A title that most profiles list does not gather their entries in one task.
+    With ``split_hot`` a title that most profiles list does not gather their
+    entries in one task, for one more pass over the lists.
     """
     titles = active_titles(T) if active_only else T["content"]
+    titles = titles.select("content_id", "title", "poster_url", "content_type")
     listed = beyond(only_keys(T["my_list"], keys), ["profile_id"], [("added_at", True), ("content_id", False)], after)
     rows = (
-        split_join(listed, titles.select("content_id", "title", "poster_url", "content_type"), "content_id")
+        (split_join(listed, titles, "content_id") if split_hot else listed.join(titles, "content_id"))
         .select("profile_id", "my_list_id", "content_id", "title", "poster_url", "content_type", "added_at")
     )
     order = [F.desc("added_at"), F.asc("content_id")]

@@ -226,16 +226,18 @@ def category_performance(T: Tables) -> DataFrame:
     )
 
 
-def favourite_genre(T: Tables) -> DataFrame:
+def favourite_genre(T: Tables, split_hot: bool = False) -> DataFrame:
     """The genre every profile spent most seconds on; ties go to the first name.
 
-    Titles that most profiles watched meet their genres where their rows are.
+    ``split_hot`` is for catalogues too large to broadcast with titles that
+    most profiles watched: those then meet their genres where their rows are,
+    for one more pass over the sums.
     """
     per_title = T["watch_history"].groupBy("profile_id", "content_id").agg(seconds().alias("s"))
     names = T["genres"].select("genre_id", "genre_name")
     named = T["content_genres"].select("content_id", "genre_id").join(names, "genre_id").drop("genre_id")
     per_genre = (
-        split_join(per_title, named, "content_id")
+        (split_join(per_title, named, "content_id") if split_hot else per_title.join(named, "content_id"))
         .groupBy("profile_id", "genre_name")
         .agg(F.sum("s").alias("total_seconds"))
     )

@@ -575,6 +575,8 @@ BODIES = {
 
 #: The same rows for the keys that a screen asks for.
 ASKED = {
+    "r15_my_list_hot": ("r15_my_list_view", "true"),
+    "b27_favourite_genre_hot": ("b27_favourite_genre", "true"),
     "r10_resume_points_kept": ("r10_resume_points", "true"),
     "r11_continue_watching_kept": ("r11_continue_watching", "true"),
     "r35_recent_watches_kept": ("r35_recent_watches", "true"),

@@ -85,6 +85,7 @@ READS: dict[str, Query] = {
     ),
     "r04_titles_by_genre_next": _second_genre_page,
     "r15_my_list_next": _second_list_page,
+    "r15_my_list_hot": lambda T: browse.my_list_view(T, split_hot=True),
     "r15_my_list_asked": lambda T: browse.my_list_view(T, _kids(T)),
     "r21_billing_history_asked": lambda T: browse.billing_history(T, _users(T)),
     "r25_user_devices_asked": lambda T: browse.user_devices(T, _users(T)),
@@ -183,6 +184,7 @@ READS: dict[str, Query] = {
     "b24_category_performance": lambda T: engagement.category_performance(T),
     "b25_failed_payment_totals": lambda T: revenue.failed_payment_totals(T, ORDERS_AS_OF),
     "b26_optout_rate": lambda T: subscriptions.optout_rate(T),
+    "b27_favourite_genre_hot": lambda T: engagement.favourite_genre(T, split_hot=True),
     "b27_favourite_genre": lambda T: engagement.favourite_genre(T),
     "b28_listed_unwatched": lambda T: engagement.listed_unwatched(T),
     "b29_profiles_per_user": lambda T: subscriptions.profiles_per_user(T),
