@@ -8,7 +8,7 @@ once however often it is committed.  Totals are the sums over the ledger.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -19,16 +19,29 @@ from pyspark.sql import functions as F
 from showlake.llm.common import in_arrow
 
 KEYS = ["source", "lang", "tokenizer"]
+#: Longer texts are cut into words here, since the library's own cut fails on long runs of blanks; the tokens are the same.
+LONG = 1 << 16
 BATCH = 256
 
 
 @lru_cache(maxsize=4)
-def _encoding(path: str, pattern: str):
+def counter(path: str, pattern: str) -> Callable[[str], int]:
+    """How many tokens a text of any length has."""
+    import regex
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    short = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    word = tiktoken.Encoding("word", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    words = regex.compile(pattern)
+
+    def count(text: str) -> int:
+        if len(text) <= LONG:
+            return len(short.encode_ordinary(text))
+        return sum(len(word.encode_ordinary(m.group())) for m in words.finditer(text))
+
+    return count
 
 
 def counted(documents: DataFrame, version: str, ranks: str, pattern: str) -> DataFrame:
@@ -39,9 +52,9 @@ def counted(documents: DataFrame, version: str, ranks: str, pattern: str) -> Dat
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = _encoding(ranks, pattern)
+        count = counter(ranks, pattern)
         for batch in batches:
-            sizes = [len(encoding.encode_ordinary(t.as_py())) for t in batch.column(4)]
+            sizes = [count(t.as_py()) for t in batch.column(4)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(sizes, pa.int64())], ["doc_id", *KEYS, "n_tokens"]
             )

@@ -1,6 +1,7 @@
 """Rolled-up token counts against a recount, and batches that are committed again."""
 
 import base64
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -75,3 +76,14 @@ def test_many_keys(spark):
     rollup.commit(1, tc.inserted(rows))
     got = {r["source"]: (r["n_docs"], r["n_tokens"]) for r in rollup.totals().collect()}
     assert got == {f"s{i}": (4, 4 * i + 30_000) for i in range(5000)}
+
+
+def test_long_texts(monkeypatch):
+    """Cut word by word, texts have the tokens that the library gives them, and runs of blanks of any length have some."""
+    r = random.Random(5)
+    given = ["".join(r.choice("ab Z9 \n\t '\u3000\xa0é東🙂.s'll ") for _ in range(r.randrange(60))) for _ in range(500)]
+    count = tc.counter(*HOW[1:])
+    short = [count(t) for t in given]
+    monkeypatch.setattr(tc, "LONG", 0)
+    assert [count(t) for t in given] == short
+    assert count(" " * 1_000_000 + "a") > 0
