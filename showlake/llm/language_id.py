@@ -33,6 +33,8 @@ SCRIPT_SHARE = 0.01
 MEMO, BATCH = 300_000, 256
 #: Runs of letters; longer ones, as in scripts without spaces, are cut into chunks that are scored and labelled each.
 WORD = re.compile(r"[^\W\d_]{1,64}")
+#: What keeps a deviation above zero where all training texts are alike.
+TINY = 1e-6
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: First and last code points of scripts (Unicode blocks).
@@ -90,6 +92,11 @@ def grams(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield (hashes[fits] >> np.uint64(40)) % np.uint64(BUCKETS), np.cumsum(count) - count
 
 
+def gram_count(sizes: np.ndarray) -> np.ndarray:
+    """How many n-grams words of these sizes have, their ends marked."""
+    return sum(sizes + 3 - n for n in ORDERS)
+
+
 @dataclass
 class Model:
     """Log shares of n-gram buckets and the scripts of each language, and the words scored so far."""
@@ -98,9 +105,12 @@ class Model:
     logs: np.ndarray
     scripts: dict[str, np.ndarray]
     switch: float = SWITCH
+    #: Of each language's training texts: mean log share of an n-gram, its variance over texts and, per n-gram, over words.
+    usual: np.ndarray | None = None
     memo: dict[str, int] = field(default_factory=dict)
     scores: np.ndarray | None = None
     beliefs: np.ndarray | None = None
+    shares: np.ndarray | None = None
 
     def known(self, words: list[str]) -> np.ndarray:
         """The places of the words in the tables of scores and beliefs."""
@@ -109,27 +119,28 @@ class Model:
             self.memo.clear()
             new = list(dict.fromkeys(words))
         if new:
-            self.remember(new, self.score(new))
+            found = sum(np.add.reduceat(self.logs[buckets], starts, axis=0) for buckets, starts in grams(new))
+            self.remember(new, self.score(new, found), found)
         return np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
 
-    def remember(self, words: list[str], scores: np.ndarray) -> None:
+    def remember(self, words: list[str], scores: np.ndarray, shares: np.ndarray | None = None) -> None:
         start = len(self.memo)
         blank = np.isnan(scores[:, :1])
         odds = np.exp(scores)
         if self.scores is None or start + len(words) > len(self.scores):
             grown = np.zeros((max(MEMO, start + len(words)), len(self.languages)))
-            old = [t[:start] for t in (self.scores, self.beliefs) if t is not None]
-            self.scores, self.beliefs = grown, grown.copy()
-            for table, kept in zip((self.scores, self.beliefs), old):
+            old = [t[:start] for t in (self.scores, self.beliefs, self.shares) if t is not None]
+            self.scores, self.beliefs, self.shares = grown, grown.copy(), grown.copy()
+            for table, kept in zip((self.scores, self.beliefs, self.shares), old):
                 table[:start] = kept
         rows = slice(start, start + len(words))
         self.scores[rows] = np.where(blank, 0.0, scores)
         self.beliefs[rows] = np.where(blank, 0.0, odds / odds.sum(axis=1, keepdims=True))
+        self.shares[rows] = 0.0 if shares is None else shares
         self.memo.update(zip(words, range(start, start + len(words)), strict=True))
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """Log odds of each word against its best language, at least -FLOOR; NaN where no language uses the script."""
-        found = sum(np.add.reduceat(self.logs[buckets], starts, axis=0) for buckets, starts in grams(words))
+    def score(self, words: list[str], found: np.ndarray) -> np.ndarray:
+        """Log odds of each word, given its log shares, against its best language, at least -FLOOR; NaN where no language uses the script."""
         none = np.zeros(len(self.languages), bool)
         may = np.array([self.scripts.get(script(w), none) for w in words])
         found = np.where(may, found, -np.inf)
@@ -151,7 +162,11 @@ class Model:
         return np.array(out[::-1])
 
     def label(self, batch: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
-        """(language, score, spans) of each text.
+        """(language, score, spans) of each text."""
+        return [found[:3] for found in self.describe(batch)]
+
+    def describe(self, batch: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]], float]]:
+        """(language, score, spans, oddness) of each text.
 
         One language is the best path as it stands if no run of words gains
         more than half a switch by leaving it, since n runs that leave it take
@@ -160,7 +175,7 @@ class Model:
         words = [[w for w in WORD.findall(t.lower()) if has_letter(w)] for t in batch]
         flat = [w for ws in words for w in ws]
         if not flat:
-            return [(UNKNOWN, 0.0, [])] * len(batch)
+            return [(UNKNOWN, 0.0, [], 0.0)] * len(batch)
         places = self.known(flat)
         ends = np.cumsum([len(ws) for ws in words])
         starts = ends - [len(ws) for ws in words]
@@ -176,7 +191,7 @@ class Model:
             low = np.minimum.accumulate(before + apart) - apart
             least = np.maximum(least, np.maximum.reduceat(gain - low, starts[full]))
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        out: list = [(UNKNOWN, 0.0, [])] * len(batch)
+        out: list = [(UNKNOWN, 0.0, [], 0.0)] * len(batch)
         for j, i in enumerate(full.tolist()):
             a, b = starts[i], ends[i]
             mixed = least[j] > self.switch / 2
@@ -185,9 +200,26 @@ class Model:
             chosen = int(weight.argmax())
             agree = self.beliefs[places[a:b], chosen] * (labels == chosen)
             score = float((agree * sizes[a:b]).sum() / sizes[a:b].sum())
-            out[i] = self.languages[chosen], min(1.0, round(score, 6)), self._spans(batch[i], labels)
+            odd = self.oddness(places[a:b], sizes[a:b], labels == chosen, chosen)
+            out[i] = self.languages[chosen], min(1.0, round(score, 6)), self._spans(batch[i], labels), odd
         return out
 
+    def oddness(self, places: np.ndarray, sizes: np.ndarray, own: np.ndarray, language: int) -> float:
+        """By how many deviations the n-grams of a text's own words are rarer than usual in its language; 0 if that was not learned.
+
+        Words in a script that the language does not use take no part.  The
+        deviation of a text falls with its length towards that of long texts.
+        """
+        if self.usual is None:
+            return 0.0
+        own = own & (self.beliefs[places].sum(axis=1) > 0)
+        count = gram_count(sizes[own]).sum()
+        mean, over_texts, over_words = self.usual[language]
+        if not count or np.isnan(mean):
+            return 0.0
+        short = mean - self.shares[places[own], language].sum() / count
+        return max(0.0, round(float(short / np.sqrt(over_texts + over_words / count + TINY)), 6))
+
     def _spans(self, text: str, labels: np.ndarray) -> list[tuple[int, int, str]]:
         turns = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)]
         names = [self.languages[labels[a]] for a in turns[:-1]]
@@ -208,18 +240,20 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(documents: DataFrame, rows_per_language: int = TRAIN_ROWS, switch: float = SWITCH) -> Model:
+def train(documents: DataFrame, rows_per_language: int = TRAIN_ROWS, switch: float = SWITCH, spread: bool = False) -> Model:
     """Learn from about ``rows_per_language`` documents of each language that are not held out and have one.
 
     The documents are chosen by a hash of their doc_id.  What reaches the
-    driver is one row per language and n-gram bucket or script.
+    driver is one row per language and n-gram bucket or script.  With
+    ``spread`` the chosen documents are read once more, to learn how usual the
+    n-grams of a text in its language are: one row per language.
     """
     chosen = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), "text", F.col("doc_id").cast("long").alias("doc_id")
     )
     sizes = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
     if not sizes:
-        return Model([], np.zeros((BUCKETS, 0)), {}, switch)
+        return Model([], np.zeros((BUCKETS, 0)), {}, switch, np.zeros((0, 3)) if spread else None)
     share = F.lit(1.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, rows_per_language / n).otherwise(share)
@@ -255,7 +289,40 @@ def train(documents: DataFrame, rows_per_language: int = TRAIN_ROWS, switch: flo
         for (lang, kind), n in by.items():
             if n >= SCRIPT_SHARE * by[lang].sum():
                 scripts.setdefault(kind, np.zeros(len(languages), bool))[languages.index(lang)] = True
-    return Model(languages, logs, scripts, switch)
+    model = Model(languages, logs, scripts, switch)
+    if spread:
+        model.usual = _spread(chosen, model)
+    return model
+
+
+def _spread(chosen: DataFrame, model: Model) -> np.ndarray:
+    """Each language's mean log share of an n-gram, and its variance over texts and, times n-grams, over words; NaN without words."""
+    shared = chosen.sparkSession.sparkContext.broadcast((model.languages, model.logs.astype(np.float32), model.scripts))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = Model(*shared.value)
+        for batch in batches:
+            rows = []
+            for lang, text in zip(batch["lang"], batch["text"], strict=True):
+                words = [w for w in WORD.findall(text.lower()) if has_letter(w)]
+                places = own.known(words)
+                known = own.beliefs[places].sum(axis=1) > 0 if words else np.zeros(0, bool)
+                if not known.any():
+                    continue
+                found = own.shares[places[known], own.languages.index(lang)]
+                sizes = gram_count(np.fromiter(map(len, words), np.int64, len(words))[known])
+                level = found.sum() / sizes.sum()
+                rows.append((lang, level, ((found - level * sizes) ** 2 / sizes).sum(), len(sizes)))
+            yield pd.DataFrame(rows, columns=["lang", "level", "apart", "words"])
+
+    measured = in_arrow(chosen.select("lang", "text"), measure, "lang string, level double, apart double, words long", pandas=True)
+    per = measured.groupBy("lang").agg(
+        F.avg("level").alias("mean"), F.var_pop("level").alias("texts"), (F.sum("apart") / F.sum("words")).alias("words")
+    )
+    out = np.full((len(model.languages), 3), np.nan)
+    for r in per.collect():
+        out[model.languages.index(r["lang"])] = r["mean"], r["texts"], r["words"]
+    return out
 
 
 def identify(documents: DataFrame, model: Model, rows: bool = False) -> DataFrame:
@@ -268,7 +335,10 @@ def identify(documents: DataFrame, model: Model, rows: bool = False) -> DataFram
     too.  ``spans`` are character offsets (end exclusive) with a language.
     Equal weights go to the first language by name.  Only doc_id and text are
     read; with ``rows`` a column ``row`` carries all columns along, whatever
-    their names, so that a filter needs no join.
+    their names, so that a filter needs no join.  A model trained with ``spread``
+    adds ``oddness``: by how many deviations the n-grams of the words labelled
+    with the predicted language are rarer than in its training texts, at least
+    0, and 0 for ``und``; it tells languages that were not learned.
     """
     spark = documents.sparkSession
     given = documents.select(
@@ -277,11 +347,13 @@ def identify(documents: DataFrame, model: Model, rows: bool = False) -> DataFram
     )
     if not model.languages:
         empty = F.array().cast("array<struct<start:int,end:int,lang:string>>")
+        odd = [] if model.usual is None else [F.lit(0.0).alias("oddness")]
         labelled = given.select(
-            "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), empty.alias("spans")
+            "*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), empty.alias("spans"), *odd
         )
         return labelled if rows else labelled.drop("row")
-    shared = spark.sparkContext.broadcast((model.languages, model.logs.astype(np.float32), model.scripts, model.switch))
+    shared = spark.sparkContext.broadcast((model.languages, model.logs.astype(np.float32), model.scripts, model.switch, model.usual))
+    with_oddness = model.usual is not None
 
     place = documents.columns.index("text") if rows else 0
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
@@ -291,14 +363,18 @@ def identify(documents: DataFrame, model: Model, rows: bool = False) -> DataFram
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH):
                 part = whole.slice(at, BATCH)
-                got = own.label([t or "" for t in part.column(1).field(place).to_pylist()])
+                got = own.describe([t or "" for t in part.column(1).field(place).to_pylist()])
                 spans = [[dict(zip(("start", "end", "lang"), x, strict=True)) for x in g[2]] for g in got]
                 columns = [pa.array([g[0] for g in got]), pa.array([g[1] for g in got]), pa.array(spans, pa.list_(span))]
                 carried = part.columns if rows else part.columns[:1]
                 names = part.schema.names[: len(carried)] + ["lang_pred", "score", "spans"]
+                if with_oddness:
+                    columns, names = [*columns, pa.array([g[3] for g in got])], [*names, "oddness"]
                 yield pa.RecordBatch.from_arrays([*carried, *columns], names)
 
     schema = given.schema if rows else T.StructType(given.schema.fields[:1])
     schema = T.StructType([*schema.fields]).add("lang_pred", "string").add("score", "double")
     schema = schema.add("spans", T.ArrayType(T.StructType().add("start", "integer").add("end", "integer").add("lang", "string")))
+    if with_oddness:
+        schema = schema.add("oddness", "double")
     return in_arrow(given, run, schema)

@@ -50,6 +50,31 @@ def test_long_runs_of_letters(spark):
     assert [x[0] for x in taught.label(joined)] == ["en", "fr"]
 
 
+def test_oddness(spark):
+    """Against the same sums over single n-grams; a text in an unlearned language deviates more than any learned from."""
+    model = li.train(small(spark), spread=True)
+
+    def level(words, k):
+        found = [model.logs[buckets.astype(int), k].sum() for w in words for buckets, _ in li.grams([w])]
+        return sum(found) / sum(3 * len(w) + 3 for w in words), sum(3 * len(w) + 3 for w in words)
+
+    for k, lang in enumerate(model.languages):
+        texts = {"en": EN, "ru": RU, "fr": FR}[lang]
+        assert np.isclose(model.usual[k, 0], np.mean([level(li.WORD.findall(t), k)[0] for t in texts]), atol=0.02)
+    text = "wszyscy ludzie rodzą się wolni"
+    ((lang, _, spans, odd),) = model.describe([text])
+    assert [s[2] for s in spans] == [lang]
+    k = model.languages.index(lang)
+    found, n = level(text.split(), k)
+    mean, texts, words = model.usual[k]
+    assert np.isclose(odd, (mean - found) / np.sqrt(texts + words / n + li.TINY), atol=1e-4)
+    learned = [x[3] for x in model.describe(EN + RU + FR)]
+    assert odd > 3 * max(learned) and model.describe(["", "東京", "12"])[0][3] == 0
+    df = spark.createDataFrame([(1, text), (2, EN[0]), (3, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["oddness"] for r in li.identify(df, model).collect()}
+    assert abs(rows[1] - odd) < 0.01 and rows[2] < 3 and rows[3] == 0
+
+
 def test_viterbi_and_its_shortcut():
     r = np.random.default_rng(4)
     for _ in range(60):
@@ -90,5 +115,7 @@ def test_odd_rows(spark, odd, none, got):
     assert li.identify(none, model).collect() == []
     untaught = li.train(none)
     assert {r["lang_pred"] for r in li.identify(odd, untaught).collect()} == {"und"}
+    assert {r["oddness"] for r in li.identify(odd, li.train(none, spread=True)).collect()} == {0.0}
+    assert li.identify(none, li.train(small(spark), spread=True)).collect() == []
     carried = li.identify(odd, model, rows=True)
     assert carried.select("row.*").columns == odd.columns

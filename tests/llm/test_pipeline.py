@@ -11,9 +11,27 @@ from showlake.llm import decontaminate, language_id, queries
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
+STRANGE = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar",
+    "asdkjh qwoeiu zxmnbv lkjhgf qpwoei rutyal skdjfh",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+]
+
+
+def test_unlearned_languages_go(spark, sf):
+    documents = queries.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    known = documents.filter("lang is not null and length(text) > 20").count()
+    rows = [(-1 - i, " ".join([t] * 5), None) for i, t in enumerate(STRANGE)]
+    mixed = documents.unionByName(spark.createDataFrame(rows, documents.schema))
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.known_language(spark, mixed, sf).collect()}
+    assert min(kept) >= 0 and sum(len(t) > 20 for t in kept.values()) >= known
+
+
 def test_run(spark, sf, truth):
     documents = queries.table(spark, sf, "documents")
-    labelled = language_id.identify(documents, language_id.train(documents)).collect()
+    labelled = language_id.identify(documents, language_id.train(documents, spread=True)).collect()
+    assert all(r["oddness"] <= corpus_pipeline.MAX_ODDNESS for r in labelled)
     scores = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in labelled}
     left = {i: t for i, t, *_ in truth if scores[i][0] != "und" and scores[i][1] >= corpus_pipeline.MIN_SCORE}
     last = {t: i for i, t in sorted(left.items())}
