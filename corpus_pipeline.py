@@ -14,14 +14,21 @@ from showlake.llm import decontaminate, exact_dedup, language_id, sentencepiece,
 from showlake.llm.common import stored
 from showlake.llm.queries import piece_model, table
 
-#: Least score of a document's language; below it the text is in none of the learned ones.
+#: Least score of a document's language; below it most of its words are in scripts of none of the learned ones.
 MIN_SCORE = 0.1
+#: Most deviations by which its n-grams may be rarer than usual in that language; above it the language was not learned.
+MAX_ODDNESS = 16.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; texts without letters or in unknown scripts go."""
-    labelled = language_id.identify(docs, language_id.train(docs), rows=True)
+    """Documents in a learned language; texts without letters, in unknown scripts or in other languages go.
+
+    Short texts deviate more than long ones, so of a few words only very odd
+    ones go: one in doubt stays.
+    """
+    labelled = language_id.identify(docs, language_id.train(docs, spread=True), rows=True)
     wanted = labelled.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    wanted = wanted.filter(F.col("oddness") <= MAX_ODDNESS)
     return wanted.select("row.*")
 
 
