@@ -320,6 +320,15 @@ def _count(T: Tables, rule: Rule) -> DataFrame:
     return out.select(F.lit(rule.table).alias("table"), F.lit(rule.name).alias("rule"), F.col("violations").cast("bigint"))
 
 
+def _text(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """The values of some columns as one text, which differs where they do: texts beside others have their length before them."""
+    if len(columns) == 1:
+        return F.col(columns[0]).cast("string")
+    kinds = dict(rows.dtypes)
+    plain = {c: F.col(c).cast("string") for c in columns}
+    return F.concat_ws(",", *[F.concat_ws(":", F.length(x).cast("string"), x) if kinds[c] == "string" else x for c, x in plain.items()])
+
+
 def _named_keys(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
     """``rule, key`` of every row and rule of a table whose columns are all there, in one scan; ``rule`` is the place in ``wanted``."""
     each = []
@@ -328,8 +337,7 @@ def _named_keys(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
             counts = F.expr(rule.where) if rule.where else F.lit(True)
             for column in rule.columns:
                 counts = counts & F.col(column).isNotNull()
-            key = F.array(*[F.col(c).cast("string") for c in rule.columns])
-            each.append(F.when(counts, F.struct(F.lit(i).alias("rule"), key.alias("key"))))
+            each.append(F.when(counts, F.struct(F.lit(i).alias("rule"), _text(T[table], rule.columns).alias("key"))))
     return T[table].select(F.explode(F.array(*each)).alias("_e")).filter(F.col("_e").isNotNull()).select("_e.rule", "_e.key")
 
 
@@ -348,7 +356,7 @@ def _count_key_rules(T: Tables, wanted: Sequence[Rule]) -> DataFrame:
     if parents:
         place = F.create_map(*[F.lit(x) for i, r in enumerate(wanted) if r.parent for x in (i, parents.index(r.parent))])
         named = counted.filter(~F.col("rule").isin(unique)).withColumn("parent", place[F.col("rule")])
-        held = union_all([T[t].select(F.lit(i).alias("parent"), F.array(F.col(k).cast("string")).alias("key")) for i, (t, k) in enumerate(parents)])
+        held = union_all([T[t].select(F.lit(i).alias("parent"), F.col(k).cast("string").alias("key")) for i, (t, k) in enumerate(parents)])
         parts.append(named.join(held, ["parent", "key"], "left_anti").select("rule", "key", "_n"))
     # Every rule reports, those without violations as well.
     names = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.table).alias("table"), F.lit(r.name).alias("name")) for i, r in enumerate(wanted)])

@@ -306,9 +306,10 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
         return (
             raw["lineitem"]
             .join(
-                raw["orders"].select(
-                    F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") + 1).alias("user_id")
-                ),
+                # The orders of a task are hashed, so that its lines, far more and wider, need no sort.
+                raw["orders"]
+                .select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") + 1).alias("user_id"))
+                .hint("shuffle_hash"),
                 "l_orderkey",
             )
             .withColumns(
@@ -443,7 +444,8 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             .agg(F.min("l_linenumber").alias("r"), F.min("l_shipdate").alias("created_at"))
         )
         season = (c % 4 == 0) & (F.col("content_type") == "Series")
-        return pairs.join(t["content"].select("content_id", "content_type"), "content_id").select(
+        titles = t["content"].select("content_id", "content_type").hint("shuffle_hash")  # pairs need no sort
+        return pairs.join(titles, "content_id").select(
             F.concat_ws("-", F.col("profile_id").cast("string"), c.cast("string")).alias("rating_id"),
             "profile_id",
             "content_id",

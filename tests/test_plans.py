@@ -119,3 +119,15 @@ def test_key_rules_read_each_table_once(plan, name):
     for table in ("ratings", "watch_history", "downloads", "payments", "content_languages"):
         assert len(re.findall(rf"FileScan[^\n]*/{table}\]", text)) <= 1
     assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_lines_and_ratings_are_joined_without_a_sort(spark):
+    """A task of lines is millions of rows, its orders or titles are a fraction of them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        derived = platform_tables(spark, SF)
+        for name in ("lines", "ratings"):
+            text = derived[name]._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

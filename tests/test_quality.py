@@ -65,6 +65,15 @@ def test_unique_rules(make):
     assert sorted(r.user_id for r in quality.violations(T, rule).collect()) == [1, 3]
 
 
+def test_keys_are_one_text_that_tells_values_apart(make):
+    """Also where texts hold what stands between values; a key of one column is its text alone."""
+    T = {"pairs": make("a string, b string, c long", ("x", "y", 1), ("x,1:y", "z", 1), ("x", "y,1:z", 1), ("1", "2", 12), ("12", "", 2), ("x", "y", 1))}
+    several = quality.Rule("pairs", "several", "unique", ("a", "b", "c"))
+    texts, numbers = quality.Rule("pairs", "texts", "unique", ("a", "b")), quality.Rule("pairs", "number", "unique", ("c",))
+    assert quality._named_keys(T, "pairs", [several, texts, numbers]).dtypes == [("rule", "int"), ("key", "string")]
+    assert counts(T, [several, texts, numbers]) == {("pairs", "several"): 2, ("pairs", "texts"): 2, ("pairs", "number"): 4}
+
+
 def test_references(make):
     T = {
         "seasons": make("season_id long, content_id long", (1, 1), (2, 7), (3, 7), (4, None)),
