@@ -137,6 +137,17 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return parts[0]
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by keys to as many tasks as the session sets for a shuffle.
+
+    Adaptive execution merges what an aggregate or a join asks for into tasks
+    of a size in compressed bytes, which may be millions of narrow rows; these
+    tasks it leaves apart.  Rows of one key meet in one task, so deal by keys
+    that hold few rows each.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_by: Sequence[str], salts: int = 16):
     """Inner join on a key with few distinct values.
 
@@ -161,7 +172,7 @@ def split_join(big: DataFrame, small: DataFrame, on: str) -> DataFrame:
     sizes = big.groupBy(on).agg(F.count("*").alias("_n"))
     hot = sizes.filter(F.col("_n") > sizes.agg(F.sum("_n")).scalar() * HOT).select(on)
     near = big.join(F.broadcast(small.join(F.broadcast(hot), on, "left_semi")), on)
-    far = big.join(F.broadcast(hot), on, "left_anti").join(small, on)
+    far = big.join(F.broadcast(hot), on, "left_anti").join(small.hint("shuffle_hash"), on)
     return near.unionByName(far)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_if, month_of, pct, ratio
-from ..functions.frames import for_screen, in_range, only_keys, split_join, top_per_key
+from ..functions.frames import dealt, for_screen, in_range, only_keys, split_join, top_per_key
 from ..sources.tables import Tables
 from .browse import active_titles
 
@@ -236,11 +236,10 @@ def favourite_genre(T: Tables, split_hot: bool = False) -> DataFrame:
     per_title = T["watch_history"].groupBy("profile_id", "content_id").agg(seconds().alias("s"))
     names = T["genres"].select("genre_id", "genre_name")
     named = T["content_genres"].select("content_id", "genre_id").join(names, "genre_id").drop("genre_id")
-    per_genre = (
-        (split_join(per_title, named, "content_id") if split_hot else per_title.join(named, "content_id"))
-        .groupBy("profile_id", "genre_name")
-        .agg(F.sum("s").alias("total_seconds"))
-    )
+    tagged = split_join(per_title, named, "content_id") if split_hot else per_title.join(named.hint("shuffle_hash"), "content_id")
+    # A title's task has few titles of a profile, so sums there would hold nearly every row; a profile has one row per title and genre.
+    per_genre = dealt(tagged.select("profile_id", "genre_name", "s"), "profile_id", "genre_name")
+    per_genre = per_genre.groupBy("profile_id", "genre_name").agg(F.sum("s").alias("total_seconds"))
     return top_per_key(per_genre, ["profile_id"], [F.desc("total_seconds"), F.asc("genre_name")], 1)
 
 

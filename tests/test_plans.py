@@ -131,3 +131,11 @@ def test_lines_and_ratings_are_joined_without_a_sort(spark):
             assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["b27_favourite_genre", "b27_favourite_genre_hot"])
+def test_genre_sums_are_not_made_per_task_of_titles(plan, name):
+    """Rows of a profile and genre are dealt out before they are summed, to tasks that adaptive execution leaves apart."""
+    text = plan(name)
+    assert re.search(r"Exchange hashpartitioning\(profile_id#\d+L, genre_name#\d+, \d+\), REPARTITION_BY_NUM", text)
+    assert not re.search(r"Exchange hashpartitioning\(profile_id#\d+L, genre_name#\d+, \d+\)[^\n]*\n[^\n]*HashAggregate", text)
