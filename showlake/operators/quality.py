@@ -1,8 +1,9 @@
 """Data-quality rules: counts of violations and the offending rows.
 
 ``rules(gen)`` gives every rule of the model.  Rules on single rows are counted
-in one pass per table, and so are key rules, whose keys are counted together
-with map-side sums, so one key that holds most rows does not reach a task as rows.
+in one pass per table.  Key rules are counted per key: those on unique keys after
+their keys were dealt out to tasks, those on references with map-side sums, so a
+parent that most rows name does not reach a task as rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.frames import only_keys, split_join, union_all, without_keys
+from ..functions.frames import dealt, only_keys, split_join, union_all, without_keys
 from ..sources import constraints, schemas
 from ..sources.tables import Tables
 
@@ -329,11 +330,11 @@ def _text(rows: DataFrame, columns: Sequence[str]) -> Column:
     return F.concat_ws(",", *[F.concat_ws(":", F.length(x).cast("string"), x) if kinds[c] == "string" else x for c, x in plain.items()])
 
 
-def _named_keys(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
-    """``rule, key`` of every row and rule of a table whose columns are all there, in one scan; ``rule`` is the place in ``wanted``."""
+def _named_keys(T: Tables, table: str, wanted: Sequence[Rule], *kinds: str) -> DataFrame:
+    """``rule, key`` of every row and rule (of some kinds) of a table whose columns are all there, in one scan; ``rule`` is the place in ``wanted``."""
     each = []
     for i, rule in enumerate(wanted):
-        if rule.table == table:
+        if rule.table == table and rule.kind in (kinds or (rule.kind,)):
             counts = F.expr(rule.where) if rule.where else F.lit(True)
             for column in rule.columns:
                 counts = counts & F.col(column).isNotNull()
@@ -344,23 +345,27 @@ def _named_keys(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
 def _count_key_rules(T: Tables, wanted: Sequence[Rule]) -> DataFrame:
     """Rows with a repeated key, or with a reference to nothing.
 
-    Each table is read once for all of its rules, and once more as a parent;
-    keys of all rules are counted in one aggregation, and only keys meet the
-    parents' keys.
+    Each table is read once for all of its unique keys, once for all of its
+    references and once more as a parent.  Keys that should be unique are dealt
+    out before they are counted, as sums per map task would hold nearly every
+    row; named parents, which repeat, are summed before the shuffle, and only
+    they meet the parents' keys.
     """
-    counted = union_all([_named_keys(T, t, wanted) for t in dict.fromkeys(r.table for r in wanted)])
-    counted = counted.groupBy("rule", "key").agg(F.count("*").alias("_n"))
-    unique = [i for i, r in enumerate(wanted) if r.kind == "unique"]
-    parts = [counted.filter(F.col("rule").isin(unique) & (F.col("_n") > 1))]
-    parents = list(dict.fromkeys(r.parent for r in wanted if r.kind == "reference"))
-    if parents:
+    unique, named = ({r.table: None for r in wanted if r.kind == kind} for kind in ("unique", "reference"))
+    parts = []
+    if unique:
+        keys = union_all([_named_keys(T, t, wanted, "unique") for t in unique])
+        parts.append(dealt(keys, "rule", "key").groupBy("rule", "key").agg(F.count("*").alias("_n")).filter("_n > 1"))
+    if named:
+        parents = list(dict.fromkeys(r.parent for r in wanted if r.kind == "reference"))
         place = F.create_map(*[F.lit(x) for i, r in enumerate(wanted) if r.parent for x in (i, parents.index(r.parent))])
-        named = counted.filter(~F.col("rule").isin(unique)).withColumn("parent", place[F.col("rule")])
+        keys = union_all([_named_keys(T, t, wanted, "reference") for t in named])
+        counted = keys.groupBy("rule", "key").agg(F.count("*").alias("_n")).withColumn("parent", place[F.col("rule")])
         held = union_all([T[t].select(F.lit(i).alias("parent"), F.col(k).cast("string").alias("key")) for i, (t, k) in enumerate(parents)])
-        parts.append(named.join(held, ["parent", "key"], "left_anti").select("rule", "key", "_n"))
+        parts.append(counted.join(held, ["parent", "key"], "left_anti").select("rule", "key", "_n"))
     # Every rule reports, those without violations as well.
     names = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(r.table).alias("table"), F.lit(r.name).alias("name")) for i, r in enumerate(wanted)])
-    none = counted.sparkSession.range(1).select(F.inline(names)).select("rule", F.lit(0).cast("bigint").alias("_n"))
+    none = parts[0].sparkSession.range(1).select(F.inline(names)).select("rule", F.lit(0).cast("bigint").alias("_n"))
     sums = union_all([none, *[p.select("rule", "_n") for p in parts]]).groupBy("rule").agg(F.sum("_n").alias("violations"))
     told = F.get(names, F.col("rule"))
     return sums.select(told["table"].alias("table"), told["name"].alias("rule"), "violations")

@@ -121,6 +121,14 @@ def test_key_rules_read_each_table_once(plan, name):
     assert text.count("Exchange hashpartitioning") <= 4
 
 
+@pytest.mark.parametrize("name", ["v2_rules", "v2_seeded", "v3_rules", "v3_seeded", "v4_rules", "v4_seeded"])
+def test_unique_keys_are_not_summed_before_they_are_dealt(plan, name):
+    """Keys that should be unique go to tasks that adaptive execution leaves apart; sums per map task would hold all of them."""
+    text = plan(name)
+    assert re.search(r"Exchange hashpartitioning\(rule#\d+, key#\d+, \d+\), REPARTITION_BY_NUM", text)
+    assert not re.search(r"Exchange hashpartitioning\(rule#\d+, key#\d+, \d+\)[^\n]*\n[^\n]*HashAggregate", text)
+
+
 def test_lines_and_ratings_are_joined_without_a_sort(spark):
     """A task of lines is millions of rows, its orders or titles are a fraction of them."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -74,6 +74,17 @@ def test_keys_are_one_text_that_tells_values_apart(make):
     assert counts(T, [several, texts, numbers]) == {("pairs", "several"): 2, ("pairs", "texts"): 2, ("pairs", "number"): 4}
 
 
+def test_unique_keys_and_references_are_counted_together(make):
+    """A table may have rules of both kinds; one key may hold most rows."""
+    T = {
+        "seasons": make("season_id long, content_id long", *[(1, 7)] * 40, (2, 8), (3, None), (None, 9)),
+        "content": make("content_id long", (8,), (8,)),
+    }
+    key, title = quality.Rule("seasons", "key", "unique", ("season_id",)), quality.Rule("content", "title", "unique", ("content_id",))
+    reference = quality.Rule("seasons", "title", "reference", ("content_id",), parent=("content", "content_id"))
+    assert counts(T, [reference, key, title]) == {("seasons", "key"): 40, ("content", "title"): 2, ("seasons", "title"): 41}
+
+
 def test_references(make):
     T = {
         "seasons": make("season_id long, content_id long", (1, 1), (2, 7), (3, 7), (4, None)),
