@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.frames import in_range, top_per_key, undated
@@ -38,13 +38,14 @@ class Latest:
         """``state`` after rows have come; rows that it has already change nothing.
 
         The state is at most ``k`` rows per key, so the cost follows the keys
-        and the new rows, not the log.
+        and the new rows, not the log.  It is read once: its rows and the new
+        ones meet by key and id, where a new one yields to it, and what is left
+        is cut per key before it meets by key.
         """
         fresh = undated(new).filter(self.where)
-        id_ = self.order[-1]
-        seen = state.select(*self.keys, id_)
-        same = [seen[c].eqNullSafe(fresh[c]) for c in (*self.keys, id_)]
-        return self.of(state.unionByName(fresh.join(seen, same, "left_anti")))
+        both = state.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
+        known = F.min("_new").over(Window.partitionBy(*self.keys, self.order[-1]))
+        return self.of(both.withColumn("_known", known).filter(F.col("_new") == F.col("_known")).drop("_new", "_known"))
 
 
 SESSION = ("watched_at", "watch_id")

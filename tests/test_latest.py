@@ -55,6 +55,21 @@ def test_a_refresh_reads_new_days_only(spark, make, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*upto#\d+[^\]]* = 2024-01-06", plan)
 
 
+def test_new_rows_yield_to_rows_of_the_state(make, rows):
+    """Also where keys or ids are NULL or come several times, and where the state's row is the older one."""
+    kind, ddl = latest.Latest(("profile",), ("at", "id"), k=2, where="at > 0"), "profile long, at long, id string, n int"
+    state = make(ddl, (1, 5, "a", 1), (1, 4, "b", 2), (2, 3, None, 3), (None, 2, "d", 4))
+    new = make(ddl, (1, 9, "a", 11), (1, 8, "a", 12), (1, 7, "c", 13), (2, 9, None, 14), (2, 8, "a", 15), (None, 9, "d", 16), (None, 0, "e", 17), (3, 6, "f", 18), (3, 6, "f", 18))
+    assert rows(kind.advanced(state, new), "n") == [(1,), (3,), (4,), (13,), (15,), (18,), (18,)]
+
+
+def test_a_state_is_read_once(make, tmp_path):
+    make(WATCH, *sessions(60)).write.parquet(f"{tmp_path}/state")
+    new = make(WATCH, *sessions(20, seed=2))
+    advanced = latest.RESUME.advanced(new.sparkSession.read.parquet(f"{tmp_path}/state"), new)
+    assert advanced._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
 def test_screens_on_a_state(make, rows):
     log, content = make(WATCH, *sessions(300)), make("content_id long, title string, poster_url string, content_type string", *[(i, f"t{i}", "p", "Movie") for i in range(5)])
     episodes = make("episode_id long, title string", (1, "a"), (2, "b"))
