@@ -8,6 +8,7 @@ parent that most rows name does not reach a task as rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -19,6 +20,8 @@ from ..sources import constraints, schemas
 from ..sources.tables import Tables
 
 END_OF_TIME = "9999-12-31"
+#: Rules told in one number, a bigint.
+BITS = 62
 
 
 @dataclass(frozen=True)
@@ -372,10 +375,25 @@ def _count_key_rules(T: Tables, wanted: Sequence[Rule]) -> DataFrame:
 
 
 def _count_row_rules(T: Tables, table: str, wanted: Sequence[Rule]) -> DataFrame:
-    """All single-row rules of a table in one scan."""
-    sums = T[table].selectExpr(
-        *[f"count(case when not coalesce({r.valid}, true) then 1 end) as c{i}" for i, r in enumerate(wanted)]
-    )
+    """All single-row rules of a table in one scan.
+
+    Where the table can be looked at before its joins (``Early``), rules on
+    what its rows have there are told there as bits of a number or more, which
+    the joins carry in place of the columns.
+    """
+    broken = [f"not coalesce({r.valid}, true)" for r in wanted]
+    early = getattr(T, "early", {}).get(table)
+    if early:
+        first = [i for i, r in enumerate(wanted) if not early.late & {*re.findall(r"\w+", r.valid), *r.columns}]
+        bits: dict[str, list[str]] = {}
+        for k, i in enumerate(first):
+            number, bit = f"_broken_{k // BITS}", 1 << k % BITS
+            bits.setdefault(number, []).append(f"if({broken[i]}, {bit}L, 0L)")
+            broken[i] = f"{number} & {bit}L <> 0L"
+        rows = early.build(lambda rows: rows.selectExpr("*", *[f"{' | '.join(each)} as {number}" for number, each in bits.items()]))
+    else:
+        rows = T[table]
+    sums = rows.selectExpr(*[f"count(case when {b} then 1 end) as c{i}" for i, b in enumerate(broken)])
     pairs = ", ".join(f"struct('{r.name}' as rule, c{i} as violations)" for i, r in enumerate(wanted))
     return sums.selectExpr(f"'{table}' as `table`", f"inline(array({pairs}))")
 

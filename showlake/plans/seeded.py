@@ -9,12 +9,13 @@ row's key, so violations grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..sources import constraints, schemas
-from ..sources.tables import Tables
+from ..sources.tables import Early, Tables
 
 #: One row in so many is NULL, bad, or twice there; a column's place in its table decides which.
 NULL, BAD, TWICE = 5, 7, 11
@@ -63,15 +64,15 @@ def _bad(table: str, column: str, kind: str, dialect: str) -> str | None:
     return MOMENT[dialect] if kind.startswith("timestamp") else f"cast(-9 as {kind})"
 
 
-def columns(table: str, held: list[str], dialect: str) -> list[str]:
-    """Select expressions of a seeded table over a table that has ``held`` and ``_n``."""
+def columns(table: str, held: list[str], dialect: str, n: str = "_n") -> list[str]:
+    """Select expressions of a seeded table over a table that has ``held`` and ``_n``; cases are told by ``n``."""
     out = []
     for i, (column, kind) in enumerate(declared(table).items()):
         plain = column if column in held else _value(table, column, kind, dialect)
         bad = None if column == constraints.PRIMARY_KEYS[table][0] else _bad(table, column, kind, dialect)
-        cases = f"when _n % {NULL} = {i % NULL} then null"
+        cases = f"when {n} % {NULL} = {i % NULL} then null"
         if bad is not None:
-            cases += f" when _n % {BAD} = {i % BAD} then {bad}"
+            cases += f" when {n} % {BAD} = {i % BAD} then {bad}"
         out.append(f"case {cases} else {plain} end as {column}")
     return out
 
@@ -84,13 +85,38 @@ def number(table: str, dialect: str) -> str:
 def seeded(T: Tables) -> Tables:
     """``T`` with every table seeded."""
 
+    def numbered(name: str, rows: DataFrame) -> DataFrame:
+        rows = rows.selectExpr("*", f"{number(name, 'spark')} as _n")
+        return rows.selectExpr("*", f"explode(sequence(1, if(_n % {TWICE} = 0, 2, 1))) as _copy")
+
     def build(name: str, rows: DataFrame) -> DataFrame:
-        numbered = rows.selectExpr("*", f"{number(name, 'spark')} as _n")
-        numbered = numbered.selectExpr("*", f"explode(sequence(1, if(_n % {TWICE} = 0, 2, 1))) as _copy")
-        return numbered.selectExpr(*columns(name, rows.columns, "spark"))
+        return numbered(name, rows).selectExpr(*columns(name, rows.columns, "spark"))
+
+    def build_early(name: str, mark: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Marks are made of the seeded values; joins need the others, and late columns no more of ``_n`` than ``_case``."""
+        held, late = T[name].columns, T.early[name].late
+        values = dict(zip(declared(name), columns(name, held, "spark"), strict=True))
+        values |= {c: v for c, v in zip(declared(name), columns(name, held, "spark", "_case"), strict=True) if c in late}
+        there = [v for c, v in values.items() if c not in late]
+        marks: list[str] = []
+
+        def spoil(rows: DataFrame) -> DataFrame:
+            plain = [F.col(c).alias(f"_plain_{c}") for c in rows.columns]
+            case = F.expr(f"_n % {NULL * BAD} as _case")
+            spoilt = numbered(name, rows).select(*plain, "_n", case, *map(F.expr, there))
+            marked = mark(spoilt)
+            marks[:] = [c for c in marked.columns if c not in spoilt.columns]
+            return marked.select(*[F.col(f"_plain_{c}").alias(c) for c in rows.columns], "_n", "_case", *marks)
+
+        return T.early[name].build(spoil).selectExpr(*values.values(), *marks)
 
     names = [t for t in dict.fromkeys([*schemas.tables(2), *schemas.tables(1)]) if t in T]
-    return Tables({name: (lambda n=name: build(n, T[n])) for name in names})
+    early = {
+        name: Early(e.late, lambda mark, n=name: build_early(n, mark))
+        for name, e in T.early.items()
+        if name in names and not e.late & {*constraints.PRIMARY_KEYS[name]}
+    }
+    return Tables({name: (lambda n=name: build(n, T[n])) for name in names}, early)
 
 
 def statement(table: str, held: Mapping[str, list[str]]) -> str:

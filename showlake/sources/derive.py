@@ -9,11 +9,12 @@ only meets joins (split by adaptive execution) and partial aggregates.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import RATING_LEVELS, Tables
+from .tables import RATING_LEVELS, Early, Tables
 
 ORDERS_AS_OF = dt.date(2001, 6, 30)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -51,6 +52,10 @@ PLAN_ROWS = (
 )
 
 
+#: Adds columns to rows before they are joined, see ``Early``.
+Mark = Callable[[DataFrame], DataFrame]
+
+
 def _day(start: str, offset: Column) -> Column:
     return F.date_add(F.lit(start).cast("date"), offset.cast("int"))
 
@@ -299,40 +304,50 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             )
         )
 
-    def lines() -> DataFrame:
-        """Lines with their account; the natural key of a line is its id."""
+    def _line_columns() -> dict[str, Column]:
+        """What lines get; the natural key of a line is its id.  The profile needs the account."""
         key = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
         key.append(F.col("l_extendedprice").cast("decimal(10,2)").cast("string"))
-        return (
-            raw["lineitem"]
-            .join(
-                # The orders of a task are hashed, so that its lines, far more and wider, need no sort.
-                raw["orders"]
-                .select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") + 1).alias("user_id"))
-                .hint("shuffle_hash"),
-                "l_orderkey",
-            )
-            .withColumns(
-                {
-                    "id": F.concat_ws("-", *key),
-                    "profile_id": F.col("user_id") * 10 + F.col("l_linenumber") % (F.col("user_id") % 5 + 1) + 1,
-                    "content_id": F.col("l_partkey") + 1,
-                }
-            )
+        return {
+            "id": F.concat_ws("-", *key),
+            "profile_id": F.col("user_id") * 10 + F.col("l_linenumber") % (F.col("user_id") % 5 + 1) + 1,
+            "content_id": F.col("l_partkey") + 1,
+        }
+
+    def _with_account(rows: DataFrame) -> DataFrame:
+        # The orders of a task are hashed, so that its lines, far more and wider, need no sort.
+        accounts = (
+            raw["orders"]
+            .select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") + 1).alias("user_id"))
+            .hint("shuffle_hash")
         )
+        return rows.join(accounts, "l_orderkey")
 
-    def payments() -> DataFrame:
+    def lines() -> DataFrame:
+        """Lines with their account."""
+        return _with_account(raw["lineitem"]).withColumns(_line_columns())
+
+    def _early_lines() -> DataFrame:
+        """Lines before they meet their account."""
+        made = _line_columns()
+        return raw["lineitem"].withColumns({c: made[c] for c in ("id", "content_id")})
+
+    def _with_profile(rows: DataFrame) -> DataFrame:
+        """Early lines with their account's profile."""
+        return _with_account(rows).withColumn("profile_id", _line_columns()["profile_id"])
+
+    def _payment_columns() -> list[Column]:
+        """All but the account."""
         cents = F.col("l_extendedprice").cast("decimal(10,2)")
         failed = F.col("l_returnflag") == "A"
         returned = F.col("l_returnflag") == "R"
         refunded = returned & (F.col("l_linestatus") == "F")
         fifth = F.col("l_suppkey") % 5
-        return t["lines"].select(
+        return [
             F.col("id").alias("payment_id"),
             F.concat(F.lit("txn_"), "id").alias("transaction_id"),
             F.lit("USD").alias("currency"),
             (F.col("l_orderkey") + 1).alias("subscription_id"),
-            "user_id",
             cents.alias("amount"),
             F.when(fifth == 0, "credit_card")
             .when(fifth == 1, "debit_card")
@@ -351,7 +366,14 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             ).alias("refunded_at"),
             F.concat(F.lit("invoice/"), "id").alias("invoice_url"),
             F.col("l_shipdate").alias("created_at"),
-        )
+        ]
+
+    def payments() -> DataFrame:
+        columns = _payment_columns()
+        return t["lines"].select(*columns[:4], "user_id", *columns[4:])
+
+    def early_payments(mark: Mark) -> DataFrame:
+        return _with_account(mark(_early_lines().select("l_orderkey", *_payment_columns())))
 
     def user_devices() -> DataFrame:
         u, n = F.col("user_id"), F.col("n")
@@ -382,20 +404,21 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             .withColumn("episode_id", F.when(exists, F.col("content_id") * 100 + 10 + episode_number))
         )
 
-    def watch_history() -> DataFrame:
+    def _view_columns() -> list[Column]:
         quantity = F.col("l_quantity")
-        titles = raw["part"].agg(F.count("*")).scalar()
-        views = t["lines"].select(
+        return [
             F.col("id").alias("watch_id"),
-            "profile_id",
-            "content_id",
+            F.col("content_id"),
             (quantity.cast("bigint") % 4 + 1).alias("n"),
             F.col("l_shipdate").alias("watched_at"),
             (quantity * 120).cast("int").alias("watch_duration_seconds"),
             (quantity * 100).cast("int").alias("progress_seconds"),
             (F.col("l_linestatus") == "F").alias("completed"),
-        )
-        plays = (
+        ]
+
+    def _plays() -> DataFrame:
+        titles = raw["part"].agg(F.count("*")).scalar()
+        return (
             raw["events"]
             .filter(F.col("event_type").isin("purchase", "signup"))
             .select(
@@ -409,7 +432,10 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
                 (F.col("event_id") % 3 == 0).alias("completed"),
             )
         )
-        return _with_episode(views.unionByName(plays), F.col("n")).select(
+
+    def watch_history() -> DataFrame:
+        views = t["lines"].select("profile_id", *_view_columns())
+        return _with_episode(views.unionByName(_plays()), F.col("n")).select(
             "watch_id",
             "profile_id",
             "content_id",
@@ -420,6 +446,10 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             "completed",
         )
 
+    def early_watch_history(mark: Mark) -> DataFrame:
+        views = _with_profile(mark(_early_lines().select("l_orderkey", "l_linenumber", *_view_columns())))
+        return _with_episode(views.drop("l_orderkey", "l_linenumber", "user_id").unionByName(mark(_plays())), F.col("n"))
+
     def search_history() -> DataFrame:
         """Views and clicks are searches, errors are searches that found nothing; texts grow with the catalogue."""
         e = F.col("event_id")
@@ -436,20 +466,20 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             )
         )
 
-    def ratings() -> DataFrame:
-        c, stars = F.col("content_id"), (F.col("r") - 1) % 5 + 1
-        pairs = (
+    def _pairs() -> DataFrame:
+        return (
             t["lines"]
             .groupBy("profile_id", "content_id")
             .agg(F.min("l_linenumber").alias("r"), F.min("l_shipdate").alias("created_at"))
         )
-        season = (c % 4 == 0) & (F.col("content_type") == "Series")
-        titles = t["content"].select("content_id", "content_type").hint("shuffle_hash")  # pairs need no sort
-        return pairs.join(titles, "content_id").select(
+
+    def _rating_columns() -> list[Column]:
+        """All but the season."""
+        c, stars = F.col("content_id"), (F.col("r") - 1) % 5 + 1
+        return [
             F.concat_ws("-", F.col("profile_id").cast("string"), c.cast("string")).alias("rating_id"),
-            "profile_id",
-            "content_id",
-            F.when(season, c * 10 + 1).alias("season_id"),
+            F.col("profile_id"),
+            c,
             F.lit(None).cast("bigint").alias("episode_id"),
             F.lit(None).cast("bigint").alias("part_id"),
             stars.cast("smallint").alias("rating_value"),
@@ -457,9 +487,23 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             F.when(c % 3 == 1, "  ")
             .when(c % 3 == 2, F.concat(F.lit("review "), c.cast("string")))
             .alias("review_text"),
-            "created_at",
+            F.col("created_at"),
             F.col("created_at").alias("updated_at"),
-        )
+        ]
+
+    def _with_type(rows: DataFrame) -> DataFrame:
+        return rows.join(t["content"].select("content_id", "content_type").hint("shuffle_hash"), "content_id")  # pairs need no sort
+
+    def _season() -> Column:
+        c = F.col("content_id")
+        return F.when((c % 4 == 0) & (F.col("content_type") == "Series"), c * 10 + 1).alias("season_id")
+
+    def ratings() -> DataFrame:
+        columns = _rating_columns()
+        return _with_type(_pairs()).select(*columns[:3], _season(), *columns[3:])
+
+    def early_ratings(mark: Mark) -> DataFrame:
+        return _with_type(mark(_pairs().select(*_rating_columns()))).withColumn("season_id", _season())
 
     def my_list() -> DataFrame:
         return (
@@ -477,15 +521,12 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             )
         )
 
-    def downloads() -> DataFrame:
-        rows = t["lines"].filter(F.col("l_returnflag") == "A")
+    def _download_columns() -> list[Column]:
+        """All that lines have by themselves."""
         unseen = F.col("l_linestatus") == "O"
-        return _with_episode(rows, F.lit(1)).select(
+        return [
             F.col("id").alias("download_id"),
-            "profile_id",
-            "content_id",
-            "episode_id",
-            (F.col("user_id") * 10 + 1).alias("device_id"),
+            F.col("content_id"),
             F.col("l_shipdate").alias("downloaded_at"),
             F.date_add(F.col("l_shipdate").cast("date"), 30).alias("expiry_date"),
             (F.col("l_tax") * 1000 + 1).cast("decimal(10,2)").alias("file_size_mb"),
@@ -493,8 +534,22 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
             .when(unseen, "Expired")
             .otherwise("Deleted")
             .alias("download_status"),
+        ]
+
+    def _device() -> Column:
+        return (F.col("user_id") * 10 + 1).alias("device_id")
+
+    def downloads() -> DataFrame:
+        rows = t["lines"].filter(F.col("l_returnflag") == "A")
+        columns = _download_columns()
+        return _with_episode(rows, F.lit(1)).select(
+            columns[0], "profile_id", "content_id", "episode_id", _device(), *columns[2:]
         )
 
+    def early_downloads(mark: Mark) -> DataFrame:
+        rows = _early_lines().filter(F.col("l_returnflag") == "A").select("l_orderkey", "l_linenumber", *_download_columns())
+        return _with_episode(_with_profile(mark(rows)), F.lit(1)).withColumn("device_id", _device())
+
     def profile_preferences() -> DataFrame:
         return t["profiles"].select(
             (F.col("profile_id") * 10).alias("preference_id"),
@@ -537,6 +592,12 @@ def platform_tables(spark: SparkSession, directory: str) -> Tables:
         lines,
     ):
         t._builders[build.__name__] = build
+    t.early = {
+        "payments": Early(frozenset({"user_id"}), early_payments),
+        "watch_history": Early(frozenset({"profile_id", "episode_id"}), early_watch_history),
+        "downloads": Early(frozenset({"profile_id", "episode_id", "device_id"}), early_downloads),
+        "ratings": Early(frozenset({"season_id"}), early_ratings),
+    }
     return t
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,29 @@ RATING_LEVELS = [
 ]
 
 
+@dataclass(frozen=True)
+class Early:
+    """A table whose rows have all columns but the ``late`` ones before the joins that complete them.
+
+    ``build(mark)`` gives the rows of the table with all of its columns and
+    those that ``mark`` adds to the rows before they are joined; what is told
+    there need not be carried through the joins.
+    """
+
+    late: frozenset[str]
+    build: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]
+
+
 class Tables(Mapping[str, DataFrame]):
-    """Name -> DataFrame; a table is only planned when it is first asked for."""
+    """Name -> DataFrame; a table is only planned when it is first asked for.
+
+    ``early`` holds those tables that can be looked at before their joins.
+    """
 
-    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], early: Mapping[str, Early] | None = None):
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
+        self.early = dict(early or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -50,7 +68,7 @@ class Tables(Mapping[str, DataFrame]):
 
     def replace(self, **frames: DataFrame) -> Tables:
         """A copy in which the given tables are swapped for new snapshots."""
-        out = Tables(self._builders)
+        out = Tables(self._builders, {name: e for name, e in self.early.items() if name not in frames})
         out._built = {**self._built, **frames}
         out._builders.update({name: (lambda df=df: df) for name, df in frames.items()})
         return out

@@ -147,3 +147,18 @@ def test_genre_sums_are_not_made_per_task_of_titles(plan, name):
     text = plan(name)
     assert re.search(r"Exchange hashpartitioning\(profile_id#\d+L, genre_name#\d+, \d+\), REPARTITION_BY_NUM", text)
     assert not re.search(r"Exchange hashpartitioning\(profile_id#\d+L, genre_name#\d+, \d+\)[^\n]*\n[^\n]*HashAggregate", text)
+
+
+@pytest.mark.parametrize("name", ["v1_rules", "v1_seeded", "v7_rules", "v7_seeded"])
+def test_row_rules_are_told_before_lines_are_shuffled(spark, name):
+    """Lines meet their accounts and titles with the rules they break as a number, not with prices and names; ratings are made of pairs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = CHANGES[name](platform_tables(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    while re.search(r"\([^()]*\)", text):  # what is left of expressions is what they are called
+        text = re.sub(r"\([^()]*\)", "", text)
+    moved = re.findall(r"Exchange hashpartitioning, ENSURE[^\n]*\n[^\n]*Project \[([^\n]*)\]", text)
+    assert sum("_broken_0" in columns for columns in moved) >= 4
+    assert not any(re.search(r"l_(extendedprice|discount|quantity)#|watch_id|download_id|payment_id", columns) for columns in moved)

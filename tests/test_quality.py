@@ -181,3 +181,30 @@ def test_every_rule_finds_seeded_violations(spark):
     wanted = [r for k in ("v1", "v2", "v3", "v4", "v5", "v6", "v7", "v8") for r in change_queries.quality_rules(k)]
     found = {(r["table"], r["rule"]): r["violations"] for r in quality.validate(seeded.seeded(Tables(keys)), wanted).collect()}
     assert len(found) == len(wanted) and [k for k, v in found.items() if not v] == []
+
+
+def test_early_rows_are_those_of_the_tables(spark):
+    """With every column, and with marks made before the joins, seeded or not; titles may be there twice or not at all."""
+    derived = platform_tables(spark, "/root/testdata/sf0.001")
+    for T in (derived, seeded.seeded(derived)):
+        assert set(T.early) == {"payments", "watch_history", "downloads", "ratings"}
+        for name, early in T.early.items():
+            key = constraints.PRIMARY_KEYS[name][0]
+            rows = early.build(lambda df, key=key: df.selectExpr("*", f"length({key}) as _mark"))
+            assert rows.filter(f"not (_mark <=> length({key}))").isEmpty()
+            plain, rows = T[name], rows.select(*T[name].columns)
+            assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+
+
+def test_rules_are_told_before_joins_as_after(spark):
+    """More rules than a number has bits, late columns among them, and a table that was replaced."""
+    T = seeded.seeded(platform_tables(spark, "/root/testdata/sf0.001"))
+    many = [quality.Rule("payments", f"amount_{i}", "row", ("amount",), f"amount > {i}") for i in range(quality.BITS + 3)]
+    named = [r for k in ("v1", "v6", "v7", "v8") for r in change_queries.quality_rules(k) if r.table in T.early]
+    mixed = quality.Rule("watch_history", "mixed", "row", (), "profile_id > 0 or watch_duration_seconds > 0")
+    wanted = [*dict.fromkeys([*many, *named, mixed])]
+    plain = {name: T[name] for name in T.early}
+    assert counts(T, wanted) == counts(plain, wanted)
+    few = T.replace(payments=T["payments"].limit(5))
+    assert "payments" not in few.early and counts(few, many[:1]).keys() == {("payments", "amount_0")}
+    assert counts(few, [quality.Rule("payments", "none", "row", ("amount",), "false")]) == {("payments", "none"): 5}
