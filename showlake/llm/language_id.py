@@ -31,6 +31,8 @@ SWITCH, FLOOR = 12.0, 8.0
 SCRIPT_SHARE = 0.01
 #: Scored words that a worker remembers, and documents that are labelled together.
 MEMO, BATCH = 300_000, 256
+#: Scores of one step from which on texts are stepped through side by side; fewer are faster one by one.
+SIDE_BY_SIDE = 24
 #: Runs of letters; longer ones, as in scripts without spaces, are cut into chunks that are scored and labelled each.
 WORD = re.compile(r"[^\W\d_]{1,64}")
 #: What keeps a deviation above zero where all training texts are alike.
@@ -148,18 +150,56 @@ class Model:
         return np.maximum(found - np.where(np.isinf(best), np.nan, best), -FLOOR)
 
     def path(self, scores: np.ndarray) -> np.ndarray:
-        """The best language of each word, given a penalty for each switch."""
-        rows = scores.tolist()
-        best, back = rows[0], []
-        for row in rows[1:]:
-            most = max(best)
-            top, switched = best.index(most), most - self.switch
-            back.append([k if b >= switched else top for k, b in enumerate(best)])
-            best = [(b if b >= switched else switched) + s for b, s in zip(best, row)]
-        out = [best.index(max(best))]
-        for step in reversed(back):
-            out.append(step[out[-1]])
-        return np.array(out[::-1])
+        """The best language of each word of one text."""
+        return self.paths(scores, np.array([len(scores)]))
+
+    def paths(self, scores: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The best language of each word of texts that lie one behind the other, given a penalty for each switch.
+
+        ``stops`` has the end of each text, none of them empty.  Texts are
+        stepped through side by side, a word of each at a time.
+        """
+        starts = np.append(0, stops[:-1])
+        bests = self._bests(scores, starts, stops - starts)
+        tops = bests.argmax(axis=0)
+        left = [np.flatnonzero(each) for each in bests < bests.max(axis=0) - self.switch]  # words after which it is better to switch
+        out = np.empty(len(scores), np.int64)
+        for first, end in zip(starts.tolist(), stops.tolist(), strict=True):
+            while end > first:
+                language = tops[end - 1]
+                turn = np.searchsorted(left[language], end - 1) - 1
+                begin = max(first, left[language][turn] + 1) if turn >= 0 else first
+                out[begin:end] = language
+                end = begin
+        return out
+
+    def _bests(self, scores: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Of each language the score of the best path that ends in it, for each word."""
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes = starts[order], sizes[order]
+        going = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # texts that have a word at this step
+        side = int(np.count_nonzero(going * scores.shape[1] >= SIDE_BY_SIDE))
+        begins = np.append(0, np.cumsum(going[:side]))
+        step = np.repeat(np.arange(side), going[:side])
+        places = starts[np.arange(len(step)) - begins[step]] + step
+        rows = np.ascontiguousarray(scores[places].T)
+        begins = begins.tolist()
+        for at, begin, end in zip(begins, begins[1:], begins[2:]):
+            before = rows[:, at : at + end - begin]
+            rows[:, begin:end] += np.maximum(before, before.max(axis=0) - self.switch)
+        out = scores.T.astype(float)
+        out[:, places] = rows
+        first = max(1, side)
+        for start, size in zip(starts.tolist(), sizes.tolist()):
+            if size <= first:
+                break
+            best, rest = out[:, start + first - 1].tolist(), []
+            for row in scores[start + first : start + size].tolist():
+                switched = max(best) - self.switch
+                best = [(b if b >= switched else switched) + s for b, s in zip(best, row)]
+                rest.append(best)
+            out[:, start + first : start + size] = np.array(rest).T
+        return out
 
     def label(self, batch: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans) of each text."""
@@ -170,9 +210,9 @@ class Model:
 
         One language is the best path as it stands if no run of words gains
         more than half a switch by leaving it, since n runs that leave it take
-        n - 1 switches at least; only other texts go through Viterbi.
+        n - 1 switches at least; only other texts go through Viterbi, together.
         """
-        words = [[w for w in WORD.findall(t.lower()) if has_letter(w)] for t in batch]
+        words = [[w for w in WORD.findall(t.lower()) if w.isalpha() or has_letter(w)] for t in batch]
         flat = [w for ws in words for w in ws]
         if not flat:
             return [(UNKNOWN, 0.0, [], 0.0)] * len(batch)
@@ -191,11 +231,15 @@ class Model:
             low = np.minimum.accumulate(before + apart) - apart
             least = np.maximum(least, np.maximum.reduceat(gain - low, starts[full]))
         sizes = np.fromiter(map(len, flat), np.int64, len(flat))
+        best = whole[owner]
+        mixed = least > self.switch / 2
+        if mixed.any():
+            some = mixed[owner]
+            best[some] = self.paths(scores[some], np.cumsum((ends - starts)[full][mixed]))
         out: list = [(UNKNOWN, 0.0, [], 0.0)] * len(batch)
-        for j, i in enumerate(full.tolist()):
+        for i in full.tolist():
             a, b = starts[i], ends[i]
-            mixed = least[j] > self.switch / 2
-            labels = self.path(scores[a:b]) if mixed else np.full(b - a, whole[j])
+            labels = best[a:b]
             weight = np.bincount(labels, sizes[a:b], len(self.languages))
             chosen = int(weight.argmax())
             agree = self.beliefs[places[a:b], chosen] * (labels == chosen)

@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, spans of mixed texts, and Viterbi against all paths."""
 
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -96,6 +97,43 @@ def test_viterbi_and_its_shortcut():
         assert value(path) == best
 
 
+def plain_path(scores, switch):
+    best, back = scores[0].tolist(), []
+    for row in scores[1:].tolist():
+        most = max(best)
+        back.append([k if b >= most - switch else best.index(most) for k, b in enumerate(best)])
+        best = [max(b, most - switch) + s for b, s in zip(best, row)]
+    out = [best.index(max(best))]
+    for step in reversed(back):
+        out.append(step[out[-1]])
+    return out[::-1]
+
+
+def test_texts_side_by_side():
+    """Texts of unequal length, many or few at a step, get the very paths that each has alone, ties included."""
+    r = np.random.default_rng(9)
+    for n, languages in ((1, 1), (1, 4), (3, 4), (40, 4), (9, 30)):
+        sizes = r.integers(1, 60, n)
+        sizes[0] = 200
+        scores = -np.round(r.random((sizes.sum(), languages)) * 8 * (r.random((sizes.sum(), 1)) < 0.6), 1)
+        model = li.Model([f"l{k}" for k in range(languages)], np.zeros((1, languages)), {}, switch=float(r.integers(1, 9)))
+        stops = np.cumsum(sizes)
+        alone = [plain_path(scores[b - n : b], model.switch) for b, n in zip(stops, sizes, strict=True)]
+        assert model.paths(scores, stops).tolist() == list(itertools.chain(*alone))
+
+
+def test_many_texts_take_less_time_than_one_by_one():
+    r = np.random.default_rng(3)
+    model = li.Model(list("abcd"), np.zeros((1, 4)), {})
+    scores = -np.round(r.random((256 * 400, 4)) * 8, 1)
+    took = []
+    for run in (lambda: model.paths(scores, np.arange(400, len(scores) + 1, 400)), lambda: [plain_path(x, 12.0) for x in np.split(scores, 256)]):
+        start = time.process_time()
+        run()
+        took.append(time.process_time() - start)
+    assert took[0] < took[1] / 2
+
+
 def test_two_languages_beat_a_third():
     """Both halves gain less than a switch over the best single language, together they gain more."""
     scores = np.array([[0.0, -8, -3]] * 3 + [[-8.0, 0, -3]] * 3)
