@@ -16,6 +16,7 @@ import hashlib
 import json
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -86,41 +87,42 @@ def _tokenizers(a: str, pattern: str, b: str) -> tuple[ByteLevel, Pieces, Side,
 
 
 class Side:
-    """Of each token by id: its bytes, their number, and the letters of the id in the first seven bytes of a long."""
+    """Of each token by id: its bytes, their number, and the letters of the id and a comma as the first seven and the last byte of a long."""
 
     def __init__(self, pieces: dict[int, bytes]):
         self.pieces = [pieces.get(i, b"") for i in range(max(pieces) + 1)]
         self.sizes = np.array(list(map(len, self.pieces)))
-        self.names = np.array([int.from_bytes(str(i).encode(), "little") for i in range(len(self.pieces))], "<i8")
+        self.names = np.array([int.from_bytes(str(i).encode(), "little") | ord(",") << 56 for i in range(len(self.pieces))], "<i8")
 
+    def joined(self, ids: Sequence[int]) -> bytes:
+        """The bytes of all tokens."""
+        return b"".join(itemgetter(*ids)(self.pieces)) if len(ids) > 1 else b"".join(self.pieces[i] for i in ids)
 
-def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens of either side end by each byte at which both have an end."""
-    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
-    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
-    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
 
-
-def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the tokens of every link, in order.
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """How many tokens of either side end by each byte at which both have an end, and the places of the tokens of every link, in order.
 
     A slice of m and n tokens without a common end inside has m + n - 1 links:
     each byte at which a token of either side begins adds the two tokens over it.
     """
-    begins = np.zeros((2, ends_a[-1] if len(ends_a) else 0), np.int8)
+    if not len(ends_a):
+        return (np.zeros(0, np.int64),) * 4
+    begins = np.zeros((2, ends_a[-1]), np.int8)
     for side, ends in zip(begins, (ends_a, ends_b), strict=True):
         side[ends[:-1]] = 1
-    over = np.cumsum(begins, axis=1, dtype=np.int64)
-    begins[:, :1] = 1
-    at = np.flatnonzero(begins.any(axis=0))
-    return over[0, at], over[1, at]
+    at = np.flatnonzero(begins[0] | begins[1])
+    moved = begins[:, at]
+    over = np.zeros((2, len(at) + 1), np.int64)
+    np.cumsum(moved, axis=1, dtype=np.int64, out=over[:, 1:])
+    both = np.flatnonzero(moved[0] & moved[1]) + 1
+    stops_a, stops_b = np.append(over[0, both], len(ends_a)), np.append(over[1, both], len(ends_b))
+    return stops_a, stops_b, over[0], over[1]
 
 
 def written(ids: np.ndarray, stops: np.ndarray, side: Side, end: str) -> np.ndarray:
     """The letters of each id and, in the last byte, the comma after it, or ``end`` after the last one of a group."""
-    out = side.names[ids] | ord(",") << 56
-    out[stops - 1] = side.names[ids[stops - 1]] | ord(end) << 56
+    out = side.names[ids]
+    out[stops - 1] ^= (ord(",") ^ ord(end)) << 56
     return out
 
 
@@ -129,12 +131,11 @@ class Aligned:
 
     def __init__(self, text: str, a: Sequence[int], b: Sequence[int], side_a: Side, side_b: Side):
         raw = (" " + text).encode()
-        if not text or b"".join(map(side_a.pieces.__getitem__, a)) != raw or b"".join(map(side_b.pieces.__getitem__, b)) != raw:
+        if not text or side_a.joined(a) != raw or side_b.joined(b) != raw:
             a = b = []
-        self.a, self.b, self.sides = np.array(a, np.int64), np.array(b, np.int64), (side_a, side_b)
+        self.a, self.b, self.sides = np.fromiter(a, np.int64, len(a)), np.fromiter(b, np.int64, len(b)), (side_a, side_b)
         ends_a, ends_b = np.cumsum(side_a.sizes[self.a]), np.cumsum(side_b.sizes[self.b])
-        self.stops_a, self.stops_b = cuts(ends_a, ends_b)
-        left, right = links(ends_a, ends_b)
+        self.stops_a, self.stops_b, left, right = overlaps(ends_a, ends_b)
         self.n_links = len(left)
         self.pairs, self.times = np.unique(self.a[left] << 32 | self.b[right], return_counts=True)
 
@@ -145,12 +146,11 @@ class Aligned:
             return ""
         one, other = written(self.a, self.stops_a, self.sides[0], "|"), written(self.b, self.stops_b, self.sides[1], ";")
         # The tokens of a group stand behind those of all groups before it, and the second side's behind the first's.
-        groups = [np.repeat(np.arange(len(s)), np.diff(s, prepend=0)) for s in (self.stops_a, self.stops_b)]
-        out = np.zeros(n_a + n_b, "<i8")
-        out[np.arange(n_a) + np.concatenate([[0], self.stops_b])[groups[0]]] = one
-        out[np.arange(n_b) + self.stops_a[groups[1]]] = other
-        letters = out.view(np.uint8)
-        return hashlib.sha256(letters[letters != 0][:-1].tobytes()).hexdigest()
+        before_a, before_b = np.append(0, self.stops_a), np.append(0, self.stops_b)
+        out = np.empty(n_a + n_b, "<i8")
+        out[np.arange(n_a) + np.repeat(before_b[:-1], np.diff(before_a))] = one
+        out[np.arange(n_b) + np.repeat(self.stops_a, np.diff(before_b))] = other
+        return hashlib.sha256(out.tobytes().translate(None, b"\0")[:-1]).hexdigest()
 
 
 def _each(batches: Iterator[pa.RecordBatch], a: str, pattern: str, b: str) -> Iterator[tuple[pa.Array, list[Aligned]]]:

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -105,6 +107,36 @@ def test_odd_texts(spark, got, libraries):
         assert cut == groups
 
 
+def test_overlaps():
+    """Common ends and links of random cuts against sets; no tokens have none."""
+    r = random.Random(3)
+    for size in [1, 2, 3, *range(4, 60), 500]:
+        ends = [sorted({*r.sample(range(1, size + 1), r.randint(0, size)), size}) for _ in range(2)]
+        owners = [np.searchsorted(e, np.arange(size), "right").tolist() for e in ends]
+        common = sorted({*ends[0]} & {*ends[1]})
+        got = [x.tolist() for x in alignment.overlaps(*map(np.array, ends))]
+        assert got[:2] == [[e.index(x) + 1 for x in common] for e in ends]
+        assert list(zip(*got[2:], strict=True)) == sorted(set(zip(*owners, strict=True)))
+    assert [len(x) for x in alignment.overlaps(np.zeros(0, int), np.zeros(0, int))] == [0] * 4
+
+
+def test_overlaps_take_less_time_than_places_by_end():
+    """Marks on bytes against dictionaries of ends, for common ends alone."""
+    r = np.random.default_rng(4)
+    given = [[np.append(np.unique(r.integers(1, 12000, 3000)), 12000) for _ in range(2)] for _ in range(60)]
+
+    def places(*ends):
+        at = [dict(zip(e.tolist(), range(1, len(e) + 1))) for e in ends]
+        return [[a[x] for x in sorted(at[0].keys() & at[1].keys())] for a in at]
+
+    clock = [time.process_time()]
+    for run in (alignment.overlaps, places):
+        found = [run(*ends) for ends in given]
+        clock.append(time.process_time())
+    assert clock[1] - clock[0] < clock[2] - clock[1]
+    assert [x.tolist() for x in alignment.overlaps(*given[-1])[:2]] == found[-1]
+
+
 def test_encoders_agree(libraries):
     """Both encoders of the byte-level side, over letters of all planes and around the length at which they take turns."""
     a, *_ = libraries
